@@ -1,0 +1,6 @@
+"""Queries over the test tables."""
+
+from panelcast.catalog import model_queries, series_queries, source_queries
+from panelcast.catalog.registry import ENTRIES
+
+__all__ = ["ENTRIES", "model_queries", "series_queries", "source_queries"]

@@ -26,7 +26,8 @@ def addable(value: Column, dtype: T.DataType, scale: int | None) -> Column:
 
 def in_crore(value: Column, digits: int = 2) -> Column:
     """Text such as ``3.27Cr``; the numeric column is kept by the caller."""
-    return F.concat(F.format_number(value / CRORE, digits), F.lit("Cr"))
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.concat(F.call_function("format_number", value / CRORE, F.lit(pattern)), F.lit("Cr"))
 
 
 def with_separators(value: Column, digits: int = 0) -> Column:

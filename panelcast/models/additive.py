@@ -10,14 +10,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from panelcast.functions.calendar import day_number, resolve_freq, shift_label
 from panelcast.models import kernels
-from panelcast.models.series import array_total, explode_rows
+from panelcast.models.series import explode_rows
 
 MODEL = "additive"
 
@@ -35,25 +35,21 @@ def _curve_type() -> T.StructType:
     )
 
 
-def predict_at(params: Column, label: Column) -> Column:
-    """Value of the fitted curve at a date; the design is rebuilt as column arithmetic."""
-    day = day_number(label)
-    t = (day - params["t0"]) / params["span"]
-    curve = params["trend"][0] + params["trend"][1] * t
-    hinges = F.zip_with(
-        params["changes"],
-        params["hinges"],
-        lambda c, d: d * F.greatest(t - (c - params["t0"]) / params["span"], F.lit(0.0)),
-    )
-    curve = curve + array_total(hinges)
-    offset = 0
+def curve_value(day: str) -> str:
+    """SQL of the fitted curve at a day number; the design is rebuilt as plain arithmetic."""
+    t = f"(({day}) - curve.t0) / curve.span"
+    terms = [
+        f"curve.trend[0] + curve.trend[1] * {t}",
+        "aggregate(zip_with(curve.changes, curve.hinges, "
+        f"(c, d) -> d * greatest({t} - (c - curve.t0) / curve.span, 0D)), 0D, (acc, v) -> acc + v)",
+    ]
+    place = 0
     for period, pairs in kernels.SEASONS:
-        for trig, shift in ((F.sin, 0), (F.cos, pairs)):
+        for trig in ("sin", "cos"):
             for k in range(1, pairs + 1):
-                factor = F.get(params["season"], F.lit(offset + shift + k - 1))
-                curve = curve + factor * trig(day * F.lit(2 * math.pi * k / period))
-        offset += 2 * pairs
-    return curve * params["scale"]
+                terms.append(f"curve.season[{place}] * {trig}(({day}) * {2 * math.pi * k / period!r}D)")
+                place += 1
+    return f"curve.scale * ({' + '.join(terms)})"
 
 
 def fit(series: DataFrame) -> DataFrame:
@@ -68,12 +64,9 @@ def parameters(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
     return fitted.select(*keys, F.lit(MODEL).alias("model"), "n", "last_period", "curve")
 
 
-def _banded(df: DataFrame) -> DataFrame:
-    yhat = predict_at(F.col("curve"), F.col("ds"))
-    margin = F.col("curve.sigma") * F.col("curve.scale") * BAND_Z
-    return df.withColumn("yhat", yhat).withColumns(
-        {"yhat_lower": F.col("yhat") - margin, "yhat_upper": F.col("yhat") + margin}
-    )
+def _valued(rows: DataFrame) -> DataFrame:
+    """Add ``yhat`` at ``ds``."""
+    return rows.withColumn("_day", day_number(F.col("ds"))).withColumn("yhat", F.expr(curve_value("_day"))).drop("_day")
 
 
 def forecast(fitted: DataFrame, keys: Sequence[str], freq: str, history: bool = True) -> DataFrame:
@@ -86,7 +79,11 @@ def forecast(fitted: DataFrame, keys: Sequence[str], freq: str, history: bool =
     dates = F.concat(F.col("periods"), ahead) if history else ahead
     usable = fitted.where(F.col("n") >= MIN_POINTS)
     rows = explode_rows(usable, [*keys, F.lit(MODEL).alias("model"), "curve"], dates, "ds")
-    return _banded(rows).drop("curve", "pos")
+    margin = F.expr(f"curve.sigma * curve.scale * {BAND_Z}D")
+    banded = _valued(rows).withColumns(
+        {"yhat_lower": F.col("yhat") - margin, "yhat_upper": F.col("yhat") + margin}
+    )
+    return banded.drop("curve", "pos")
 
 
 def predict_test(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -96,4 +93,4 @@ def predict_test(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
     rows = explode_rows(usable, [*keys, F.lit(MODEL).alias("model"), "curve"], test, "_test").select(
         *keys, "model", "curve", F.col("_test.test_periods").alias("ds"), F.col("_test.test_ys").alias("y")
     )
-    return rows.withColumn("yhat", predict_at(F.col("curve"), F.col("ds"))).drop("curve")
+    return _valued(rows).drop("curve")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -18,134 +18,94 @@ from pyspark.sql.functions import pandas_udf
 from panelcast.models import kernels, smoothing
 
 MODEL = "arima"
-
-
-def long_order(p: int, q: int) -> int:
-    """Lags of the stage-1 regression."""
-    return max(p, q) + 2
+_EMPTY = "cast(array() AS array<double>)"
 
 
 def min_length(order: tuple[int, int, int]) -> int:
     p, d, q = order
-    return 3 * (long_order(p, q) + q) + d
-
-
-def difference(values: Column, lag: int = 1) -> Column:
-    return F.zip_with(
-        F.slice(values, lag + 1, F.greatest(F.lit(0), F.size(values) - lag)),
-        F.slice(values, 1, F.greatest(F.lit(0), F.size(values) - lag)),
-        lambda later, earlier: later - earlier,
-    )
+    return 3 * (max(p, q) + 2 + q) + d
 
 
 def differenced(series: DataFrame, order: tuple[int, int, int]) -> DataFrame:
     """Add ``scale``, ``w`` (scaled, differenced, centred when d = 0), ``mean`` and ``tails``,
     the last value at each differencing level. Rows under the minimum length get null ``w``."""
     _, d, _ = order
-    peak = F.aggregate("ys", F.lit(0.0), lambda acc, y: F.greatest(acc, F.abs(y)))
-    scaled = F.transform("ys", lambda y: y / F.col("scale"))
-    out = series.withColumn("scale", F.when(peak > 0, peak).otherwise(1.0)).withColumn(
-        "_level0", F.when(F.col("n") >= min_length(order), scaled)
+    peak = "aggregate(ys, 0D, (acc, y) -> greatest(acc, abs(y)))"
+    out = series.withColumn("scale", F.expr(f"coalesce(nullif({peak}, 0D), 1D)")).withColumn(
+        "_level0", F.expr(f"CASE WHEN n >= {min_length(order)} THEN transform(ys, y -> y / scale) END")
     )
     for i in range(d):
-        out = out.withColumn(f"_level{i + 1}", difference(F.col(f"_level{i}")))
-    mean = F.lit(0.0)
-    if d == 0:
-        mean = F.aggregate("_level0", F.lit(0.0), lambda acc, v: acc + v) / F.size("_level0")
-    out = out.withColumn("mean", mean).withColumn(
-        "w", F.transform(f"_level{d}", lambda v: v - F.col("mean"))
-    )
-    tails = F.array(*[F.element_at(f"_level{i}", -1) for i in range(d)]) if d else F.array().cast("array<double>")
-    return out.withColumn("tails", F.when(F.col("w").isNotNull(), tails)).drop(
-        *[f"_level{i}" for i in range(d + 1)]
-    )
+        level = f"_level{i}"
+        steps = f"zip_with(slice({level}, 2, size({level}) - 1), slice({level}, 1, size({level}) - 1), (b, a) -> b - a)"
+        out = out.withColumn(f"_level{i + 1}", F.expr(steps))
+    if d:
+        tails = ", ".join(f"element_at(_level{i}, -1)" for i in range(d))
+        out = out.withColumns({"mean": F.lit(0.0), "tails": F.expr(f"array({tails})"), "w": F.col(f"_level{d}")})
+    else:
+        mean = "aggregate(_level0, 0D, (acc, v) -> acc + v) / size(_level0)"
+        out = out.withColumns({"mean": F.expr(mean), "tails": F.expr(_EMPTY)}).withColumn(
+            "w", F.expr("transform(_level0, v -> v - mean)")
+        )
+    return out.drop(*[f"_level{i}" for i in range(d + 1)])
 
 
-def _dot(coefs: Column, start: int, values: Column, count: int) -> Column:
-    total = F.lit(0.0)
-    for i in range(count):
-        total = total + F.get(coefs, F.lit(start + i)) * F.get(values, F.lit(i))
-    return total
+def _zeros(size: int) -> str:
+    return f"array({', '.join(['0D'] * size)})" if size else _EMPTY
 
 
-def _push(queue: Column, value: Column, size: int) -> Column:
-    return F.concat(F.array(value), F.slice(queue, 1, size - 1)) if size else queue
+def _push(queue: str, value: str, size: int) -> str:
+    """A queue of fixed size with its newest value first."""
+    return f"concat(array({value}), slice({queue}, 1, {size - 1}))" if size else queue
 
 
-def _zeros(size: int) -> Column:
-    return F.array(*[F.lit(0.0)] * size) if size else F.array().cast("array<double>")
+def _dot(terms: list[str]) -> str:
+    return " + ".join(f"get(coef, {i}) * {term}" for i, term in enumerate(terms)) or "0D"
 
 
-def _filter(order: tuple[int, int, int]) -> Column:
-    """Run the fitted model over ``w``: last values, last residuals (newest first), sse."""
+def _filter(order: tuple[int, int, int]) -> str:
+    """Run the fitted model over ``w``: last residuals (newest first) and squared error."""
     p, _, q = order
-    w, coef = F.col("w"), F.col("coef")
-
-    def step(state: Column, t: Column) -> Column:
-        ar = F.lit(0.0)
-        for i in range(p):
-            ar = ar + F.get(coef, F.lit(i)) * F.get(w, t - (i + 1))
-        e = F.get(w, t) - ar - _dot(coef, p, state["eh"], q)
-        return F.struct(_push(state["eh"], e, q).alias("eh"), (state["sse"] + e * e).alias("sse"))
-
-    start = F.struct(_zeros(q).alias("eh"), F.lit(0.0).alias("sse"))
-    return F.aggregate(F.sequence(F.lit(p), F.size(w) - 1), start, step)
+    fit = _dot([f"get(w, t - {i + 1})" for i in range(p)] + [f"get(x.eh, {j})" for j in range(q)])
+    error = f"(get(w, t) - ({fit}))"
+    return f"""aggregate(sequence({p}, size(w) - 1), named_struct('eh', {_zeros(q)}, 'sse', 0D),
+        (x, t) -> named_struct('eh', {_push("x.eh", error, q)}, 'sse', x.sse + {error} * {error}))"""
 
 
 def estimate(series: DataFrame, order: tuple[int, int, int] = (2, 1, 1)) -> DataFrame:
     """Add ``coef`` (p AR then q MA), ``adjusted``, ``eh``, ``wh``, ``sigma2`` to series rows."""
     p, _, q = order
-    w = F.col("w")
     out = differenced(series, order)
-    has = w.isNotNull()
     if p + q == 0:
-        out = out.withColumns({"coef": F.when(has, _zeros(0)), "adjusted": F.when(has, F.lit(False))})
+        out = out.withColumns({"coef": F.expr(_EMPTY), "adjusted": F.lit(False)})
     else:
         fields = [T.StructField("coef", T.ArrayType(T.DoubleType())), T.StructField("adjusted", T.BooleanType())]
         regress = pandas_udf(kernels.arma_rows(p, q), T.StructType(fields))
-        out = out.withColumn("_arma", regress(w))
+        out = out.withColumn("_arma", regress(F.col("w")))
         out = out.withColumns({"coef": F.col("_arma.coef"), "adjusted": F.col("_arma.adjusted")}).drop("_arma")
-    out = out.withColumn("_run", F.when(has, _filter(order)))
-    newest = F.when(has, F.transform(F.sequence(F.lit(1), F.lit(max(p, 1))), lambda i: F.get(w, F.size(w) - i)))
+    out = out.withColumn("_run", F.expr(f"CASE WHEN w IS NOT NULL THEN {_filter(order)} END"))
+    newest = f"CASE WHEN w IS NOT NULL THEN transform(sequence(1, {max(p, 1)}), i -> get(w, size(w) - i)) END"
     return out.withColumns(
         {
             "eh": F.col("_run.eh"),
-            "wh": newest,
-            "sigma2": F.col("_run.sse") / (F.size(w) - p) * F.col("scale") * F.col("scale"),
+            "wh": F.expr(newest),
+            "sigma2": F.expr(f"_run.sse / (size(w) - {p}) * scale * scale"),
         }
     ).drop("_run")
 
 
-def _integrate(values: Column, start: Column) -> Column:
-    """Undo one difference: running sums from ``start``."""
-
-    def step(acc: Column, v: Column) -> Column:
-        total = acc["last"] + v
-        return F.struct(total.alias("last"), F.concat(acc["out"], F.array(total)).alias("out"))
-
-    begin = F.struct(start.alias("last"), F.array().cast("array<double>").alias("out"))
-    return F.aggregate(values, begin, step, lambda acc: acc["out"])
-
-
-def recursion(order: tuple[int, int, int], steps: Column) -> Column:
-    """Forecast array of the original series from the state columns of :func:`estimate`."""
+def recursion(order: tuple[int, int, int]) -> str:
+    """SQL of the forecast array from the state columns of :func:`estimate`."""
     p, d, q = order
-    coef = F.col("coef")
-
-    def step(state: Column, _: Column) -> Column:
-        nxt = _dot(coef, 0, state["wh"], p) + _dot(coef, p, state["eh"], q)
-        return F.struct(
-            _push(state["wh"], nxt, max(p, 1)).alias("wh"),
-            _push(state["eh"], F.lit(0.0), q).alias("eh"),
-            F.concat(state["out"], F.array(nxt)).alias("out"),
-        )
-
-    begin = F.struct(F.col("wh").alias("wh"), F.col("eh").alias("eh"), F.array().cast("array<double>").alias("out"))
-    path = F.aggregate(F.sequence(F.lit(1), steps), begin, step, lambda s: s["out"])
-    path = F.transform(path, lambda v: v + F.col("mean"))
+    ahead = _dot([f"get(x.wh, {i})" for i in range(p)] + [f"get(x.eh, {j})" for j in range(q)])
+    path = f"""aggregate(sequence(1, steps), named_struct('wh', wh, 'eh', eh, 'out', {_EMPTY}),
+        (x, k) -> named_struct('wh', {_push("x.wh", ahead, max(p, 1))}, 'eh', {_push("x.eh", "0D", q)},
+                               'out', concat(x.out, array({ahead}))),
+        x -> transform(x.out, v -> v + mean))"""
     for level in range(d - 1, -1, -1):
-        path = _integrate(path, F.get("tails", F.lit(level)))
-    return F.transform(path, lambda v: v * F.col("scale"))
+        # Undo one difference: running sums from the last value of that level.
+        path = f"""aggregate({path}, named_struct('last', get(tails, {level}), 'out', {_EMPTY}),
+            (x, v) -> named_struct('last', x.last + v, 'out', concat(x.out, array(x.last + v))), x -> x.out)"""
+    return f"transform({path}, v -> v * scale)"
 
 
 def fit(series: DataFrame, order: tuple[int, int, int] = (2, 1, 1)) -> DataFrame:
@@ -164,11 +124,8 @@ def fit(series: DataFrame, order: tuple[int, int, int] = (2, 1, 1)) -> DataFrame
 
 def forecast_array(fitted: DataFrame, order: tuple[int, int, int] = (2, 1, 1), out: str = "yhat") -> DataFrame:
     """Add the forecast of ``steps`` periods to fitted rows."""
-    final = F.col("final")
-    other = smoothing.project(final["l"], final["b"], final["s"], F.col("steps"))
-    return fitted.withColumn(
-        out, F.when(F.col("model") == MODEL, recursion(order, F.col("steps"))).otherwise(other)
-    )
+    rule = f"CASE WHEN model = '{MODEL}' THEN {recursion(order)} ELSE {smoothing.STATE_FORECAST} END"
+    return fitted.withColumn(out, F.expr(rule))
 
 
 def parameters(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:

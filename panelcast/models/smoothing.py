@@ -4,6 +4,9 @@ Each series is one row, so a fit is a projection: no join, no shuffle beyond the
 builds the rows. Smoothing with given parameters is an ``aggregate`` over the row's values.
 Only the search for the parameters, some seventy candidate passes per series, goes to NumPy in
 Arrow batches, where all series and candidates of a batch advance together.
+
+The three kinds share one recursion: without a trend its weight and slope are 0, without a
+season the seasonal queue holds a single 0.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from panelcast.models import kernels
-from panelcast.models.series import array_total, explode_rows
+from panelcast.models.series import explode_rows
 
 ALPHAS = (0.1, 0.3, 0.5, 0.7, 0.9)
 BETAS = (0.05, 0.2, 0.4)
@@ -32,82 +35,41 @@ SEARCH = {
     LEVEL: ((TREND_GRID, (0.0,), (0.0,)), (0.05, 0.0, 0.0)),
 }
 
-
-def _state(level: Column, trend: Column, season: Column) -> Column:
-    return F.struct(
-        level.cast("double").alias("l"),
-        trend.cast("double").alias("b"),
-        season.alias("s"),
-        F.lit(0.0).alias("sse"),
+# Row state: level l, slope b, season queue s (head = current position), squared error sse.
+_LEVEL = "best.alpha * (y - x.s[0]) + (1 - best.alpha) * (x.l + x.b)"
+_NEXT = f"""named_struct(
+    'l', {_LEVEL},
+    'b', best.beta * (({_LEVEL}) - x.l) + (1 - best.beta) * x.b,
+    's', concat(slice(x.s, 2, size(x.s) - 1),
+                array(best.gamma * (y - (x.l + x.b)) + (1 - best.gamma) * x.s[0])),
+    'sse', x.sse + (y - (x.l + x.b + x.s[0])) * (y - (x.l + x.b + x.s[0])))"""
+_FINAL = f"aggregate(tail, start, (x, y) -> {_NEXT})"
+_FITTED = """aggregate(tail, named_struct('x', start, 'out', cast(array() AS array<double>)),
+    (acc, y) -> named_struct('x', {next}, 'out', concat(acc.out, array(acc.x.l + acc.x.b + acc.x.s[0]))),
+    acc -> acc.out)""".format(next=_NEXT.replace("x.", "acc.x."))
+
+
+def _total(first: int, length: int) -> str:
+    return f"aggregate(slice(ys, {first}, {length}), 0D, (acc, y) -> acc + y)"
+
+
+def _start(m: int) -> Column:
+    """First state of the row's kind: two cycles, two points or one point."""
+    level = f"{_total(1, m)} / {m}"
+    slope = f"({_total(m + 1, m)} - {_total(1, m)}) / {m * m}"
+    return F.expr(
+        f"""CASE model
+        WHEN '{SEASONAL}' THEN named_struct('l', {level}, 'b', {slope},
+            's', transform(slice(ys, 1, {m}), y -> y - {level}), 'sse', 0D)
+        WHEN '{TREND}' THEN named_struct('l', get(ys, 1), 'b', get(ys, 1) - get(ys, 0), 's', array(0D), 'sse', 0D)
+        WHEN '{LEVEL}' THEN named_struct('l', get(ys, 0), 'b', 0D, 's', array(0D), 'sse', 0D) END"""
     )
 
 
-def seasonal_start(ys: Column, m: int) -> Column:
-    """Level, trend and season from the first two cycles."""
-    first, second = F.slice(ys, 1, m), F.slice(ys, m + 1, m)
-    level = array_total(first) / m
-    trend = (array_total(second) - array_total(first)) / (m * m)
-    return _state(level, trend, F.transform(first, lambda y: y - level))
-
-
-def trend_start(ys: Column) -> Column:
-    return _state(F.get(ys, F.lit(1)), F.get(ys, F.lit(1)) - F.get(ys, F.lit(0)), _no_season())
-
-
-def level_start(ys: Column) -> Column:
-    return _state(F.get(ys, F.lit(0)), F.lit(0.0), _no_season())
-
-
-def _no_season() -> Column:
-    return F.array().cast("array<double>")
-
-
-def _advance(state: Column, y: Column, g: Column, kind: str, m: int) -> tuple[Column, Column]:
-    """Next state and one-step forecast. The season is a queue whose head is the current
-    position, so a step moves one value instead of touching all ``m``."""
-    level, trend = state["l"], state["b"]
-    season = state["s"][0] if kind == SEASONAL else F.lit(0.0)
-    base = level + trend if kind != LEVEL else level
-    forecast = base + season
-    new_level = g["alpha"] * (y - season) + (1 - g["alpha"]) * base
-    new_trend = g["beta"] * (new_level - level) + (1 - g["beta"]) * trend if kind != LEVEL else trend
-    queue = state["s"]
-    if kind == SEASONAL:
-        moved = g["gamma"] * (y - base) + (1 - g["gamma"]) * season
-        queue = F.concat(F.slice(queue, 2, m - 1), F.array(moved))
-    error = y - forecast
-    nxt = F.struct(
-        new_level.alias("l"),
-        new_trend.alias("b"),
-        queue.alias("s"),
-        (state["sse"] + error * error).alias("sse"),
-    )
-    return nxt, forecast
-
-
-def run_filter(start: Column, tail: Column, g: Column, kind: str, m: int) -> Column:
-    """Final state ``{l, b, s, sse}`` after smoothing ``tail``."""
-    return F.aggregate(tail, start, lambda s, y: _advance(s, y, g, kind, m)[0])
-
-
-def run_fitted(start: Column, tail: Column, g: Column, kind: str, m: int) -> Column:
-    """One-step forecasts of ``tail``."""
-
-    def step(acc: Column, y: Column) -> Column:
-        state, forecast = _advance(acc["state"], y, g, kind, m)
-        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(forecast)).alias("out"))
-
-    begin = F.struct(start.alias("state"), F.array().cast("array<double>").alias("out"))
-    return F.aggregate(tail, begin, step, lambda acc: acc["out"])
-
-
-def _by_kind(rule) -> Column:
-    """A column that evaluates only the branch of the row's model kind; null without one."""
-    return (
-        F.when(F.col("model") == SEASONAL, rule(SEASONAL))
-        .when(F.col("model") == TREND, rule(TREND))
-        .when(F.col("model") == LEVEL, rule(LEVEL))
-    )
+def _tail(m: int) -> Column:
+    """Values after the ones used by the first state."""
+    used = f"CASE model WHEN '{SEASONAL}' THEN {m} WHEN '{TREND}' THEN 2 WHEN '{LEVEL}' THEN 1 END"
+    return F.expr(f"slice(ys, {used} + 1, greatest(1, size(ys)))")
 
 
 def choose_kind(n: Column, m: int) -> Column:
@@ -116,22 +78,6 @@ def choose_kind(n: Column, m: int) -> Column:
     return F.when(seasonal_ok, SEASONAL).when(n >= 3, TREND).otherwise(LEVEL)
 
 
-def _prepare(series: DataFrame, m: int) -> DataFrame:
-    """Start state and remaining values for the row's model kind."""
-    ys = F.col("ys")
-    starts = {
-        SEASONAL: (seasonal_start(ys, max(m, 1)), m),
-        TREND: (trend_start(ys), 2),
-        LEVEL: (level_start(ys), 1),
-    }
-    return series.withColumns(
-        {
-            "start": _by_kind(lambda kind: starts[kind][0]),
-            "tail": _by_kind(lambda kind: F.slice(ys, starts[kind][1] + 1, F.greatest(F.lit(1), F.size(ys)))),
-        }
-    )
-
-
 def grid_search(series: DataFrame, season: int, refine: int = 1, kind: Column | None = None) -> DataFrame:
     """Add ``model, best``; ``best`` is the winning ``{sse, alpha, beta, gamma}``.
 
@@ -144,26 +90,45 @@ def grid_search(series: DataFrame, season: int, refine: int = 1, kind: Column |
     return series.withColumn("model", kind).withColumn("best", search(F.col("model"), F.col("ys")))
 
 
+def run(series: DataFrame, season: int) -> DataFrame:
+    """Smooth rows that have ``model`` and ``best``; adds ``start``, ``tail`` and ``final``."""
+    m = int(season)
+    prepared = series.withColumns({"start": _start(m), "tail": _tail(m)})
+    return prepared.withColumn("final", F.expr(_FINAL))
+
+
 def smooth(series: DataFrame, season: int, refine: int = 1, kind: Column | None = None) -> DataFrame:
     """Fit every series; adds ``model, best, final`` (the last state).
 
     A series whose error is not finite falls back to the level-only model.
     """
-    m = int(season)
-    fitted = grid_search(series, m, refine, kind)
-    usable = F.when(F.col("best.sse") == float("inf"), LEVEL).otherwise(F.col("model"))
-    prepared = _prepare(fitted.withColumn("model", usable), m)
-    final = _by_kind(lambda k: run_filter(F.col("start"), F.col("tail"), F.col("best"), k, m))
-    return prepared.withColumn("final", final)
+    fitted = grid_search(series, season, refine, kind)
+    broken = F.col("best.sse") == float("inf")
+    level_only = F.struct(
+        F.col("best.sse").alias("sse"),
+        F.col("best.alpha").alias("alpha"),
+        F.lit(0.0).alias("beta"),
+        F.lit(0.0).alias("gamma"),
+    )
+    usable = fitted.withColumns(
+        {
+            "model": F.when(broken, LEVEL).otherwise(F.col("model")),
+            "best": F.when(broken, level_only).otherwise(F.col("best")),
+        }
+    )
+    return run(usable, season)
 
 
-def fixed(series: DataFrame, kind: str, season: int, alpha: float, beta: float = 0.0, gamma: float = 0.0) -> DataFrame:
+def fixed(
+    series: DataFrame, kind: str, season: int, alpha: float, beta: float = 0.0, gamma: float = 0.0
+) -> DataFrame:
     """Smoothing with given parameters instead of a search."""
-    m = int(season)
-    g = F.struct(F.lit(None).cast("double").alias("sse"), F.lit(float(alpha)).alias("alpha"),
-                 F.lit(float(beta)).alias("beta"), F.lit(float(gamma)).alias("gamma"))
-    prepared = _prepare(series.withColumn("model", F.lit(kind)), m).withColumn("best", g)
-    return prepared.withColumn("final", run_filter(F.col("start"), F.col("tail"), F.col("best"), kind, m))
+    beta = 0.0 if kind == LEVEL else float(beta)
+    gamma = float(gamma) if kind == SEASONAL else 0.0
+    best = F.expr(
+        f"named_struct('sse', cast(NULL AS double), 'alpha', {float(alpha)}D, 'beta', {beta}D, 'gamma', {gamma}D)"
+    )
+    return run(series.withColumns({"model": F.lit(kind), "best": best}), season)
 
 
 def parameters(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -183,41 +148,32 @@ def parameters(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def project(level: Column, trend: Column, season: Column, steps: Column) -> Column:
-    """Forecast array: level plus trend plus the season repeated in turn."""
-    m = F.size(season)
+def project(level: str, trend: str, season: str, steps: str) -> str:
+    """SQL of a forecast array: level plus trend plus the season repeated in turn."""
+    return f"transform(sequence(1, {steps}), h -> {level} + h * {trend} + {season}[(h - 1) % size({season})])"
 
-    def at(h: Column) -> Column:
-        seasonal = F.when(m > 0, F.get(season, F.pmod(h - 1, F.greatest(m, F.lit(1))))).otherwise(F.lit(0.0))
-        return level + h * trend + seasonal
 
-    return F.transform(F.sequence(F.lit(1), steps), at)
+STATE_FORECAST = project("final.l", "final.b", "final.s", "steps")
 
 
 def forecast_array(fitted: DataFrame, out: str = "yhat") -> DataFrame:
     """Add the forecast of ``steps`` periods to fitted rows."""
-    final = F.col("final")
-    return fitted.withColumn(out, project(final["l"], final["b"], final["s"], F.col("steps")))
+    return fitted.withColumn(out, F.expr(STATE_FORECAST))
 
 
 def forecast_parameters(params: DataFrame, horizon: int, out: str = "yhat") -> DataFrame:
     """The same from persisted parameter rows."""
-    return params.withColumn(
-        out, project(F.col("level"), F.col("trend"), F.col("season"), F.lit(int(horizon)))
-    )
+    return params.withColumn(out, F.expr(project("level", "trend", "season", str(int(horizon)))))
 
 
-def fitted_values(fitted: DataFrame, keys: Sequence[str], season: int) -> DataFrame:
+def fitted_values(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One-step-ahead fitted values ``keys…, model, period, sales, fitted`` of smoothed rows.
 
     Periods used only to start the recursion have no fitted value.
     """
-    m = int(season)
-    values = _by_kind(lambda k: run_fitted(F.col("start"), F.col("tail"), F.col("best"), k, m))
-    skip = (F.size("ys") - F.size("_fit")).alias("_skip")
     rows = explode_rows(
-        fitted.withColumn("_fit", values),
-        [*keys, "model", skip, "_fit"],
+        fitted.withColumn("_fit", F.expr(_FITTED)),
+        [*keys, "model", F.expr("size(ys) - size(tail)").alias("_skip"), "_fit"],
         F.arrays_zip("periods", "ys"),
         "_point",
     )
@@ -226,5 +182,5 @@ def fitted_values(fitted: DataFrame, keys: Sequence[str], season: int) -> DataFr
         "model",
         F.col("_point.periods").alias("period"),
         F.col("_point.ys").alias("sales"),
-        F.when(F.col("pos") >= F.col("_skip"), F.get("_fit", F.col("pos") - F.col("_skip"))).alias("fitted"),
+        F.expr("CASE WHEN pos >= _skip THEN get(_fit, pos - _skip) END").alias("fitted"),
     )

@@ -94,7 +94,7 @@ def _smoothing_test(series: DataFrame, keys: Sequence[str], freq: str, m: int, i
         return explode_test(smoothing.forecast_array(fitted), keys, freq, F.col("model"))
     # The start of the test part bounds the in-sample rows; no join is needed.
     first = F.element_at("test_periods", 1)
-    values = smoothing.fitted_values(fitted.withColumn("_first", first), [*keys, "_first"], m)
+    values = smoothing.fitted_values(fitted.withColumn("_first", first), [*keys, "_first"])
     return values.where(F.col("period") >= F.col("_first")).select(
         *keys, "model", F.col("period").alias("ds"), F.col("sales").alias("y"), F.col("fitted").alias("yhat")
     )
