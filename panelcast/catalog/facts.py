@@ -61,12 +61,12 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def store_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``date, Store_ID, Revenue, City``; the nation of the supplier is the city."""
+def with_store_city(spark: SparkSession, sf_dir: str, stores: DataFrame) -> DataFrame:
+    """Rows keyed by ``Store_ID`` with ``City``, the nation of the supplier."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("City"))
-    facts = attach(line_facts(spark, sf_dir), supplier, "Store_ID", "s_suppkey")
-    return attach(facts, nation, "s_nationkey", "n_nationkey").select("date", "Store_ID", "Revenue", "City")
+    stores = attach(stores, supplier, "Store_ID", "s_suppkey")
+    return attach(stores, nation, "s_nationkey", "n_nationkey").drop("s_nationkey")
 
 
 def category_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -373,13 +373,13 @@ def backtest_all_models(spark, sf_dir):
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
     facts = stand_in.city_facts(spark, sf_dir, "MS")
-    return reports.model_comparison(facts, KEYS, sales_col="Revenue")["leaderboard"]
+    return reports.ModelComparison(facts, KEYS, sales_col="Revenue").leaderboard
 
 
 @register("dashboard_forecast")
 def dashboard_forecast(spark, sf_dir):
     facts = stand_in.city_facts(spark, sf_dir, "M")
-    return reports.dashboard(facts, city="NATION_7", horizon=HORIZON)["forecast"]
+    return reports.Dashboard(facts, city="NATION_7", horizon=HORIZON).forecast
 
 
 # --- many series -------------------------------------------------------------------------

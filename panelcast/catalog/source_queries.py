@@ -40,7 +40,10 @@ def table_profile(spark, sf_dir):
     """,
 )
 def load_summary(spark, sf_dir):
-    return profile.load_summary(stand_in.store_facts(spark, sf_dir))
+    """Lines are reduced to one row per store before the store's city is looked up."""
+    stores = profile.summary_parts(stand_in.line_facts(spark, sf_dir), ["Store_ID"])
+    parts = stand_in.with_store_city(spark, sf_dir, stores)
+    return profile.summary_from_parts(parts, 4, {"City": "n_cities", "Store_ID": "n_stores"})
 
 
 def _mixed_orders(spark, sf_dir):
@@ -199,7 +202,7 @@ def csv_load_periods(spark, sf_dir):
 @register("city_list", "SELECT DISTINCT n_name AS City FROM nation JOIN customer ON c_nationkey = n_nationkey "
           "JOIN orders ON o_custkey = c_custkey")
 def city_list(spark, sf_dir):
-    return summaries.distinct_sorted(stand_in.city_facts(spark, sf_dir), "City")
+    return summaries.distinct_sorted(stand_in.city_facts(spark, sf_dir, "YS"), "City")
 
 
 @register(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,21 +31,31 @@ def table_profile(df: DataFrame, order_by: str) -> DataFrame:
     return totals.select("n_rows", F.lit(len(columns)).alias("n_columns"), F.inline(entries))
 
 
+def summary_parts(df: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Row counts and date ranges per distinct combination of ``dims``: a small table that can
+    be joined to dimensions in place of the facts."""
+    return df.groupBy(*dims).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("date").alias("_lo"), F.max("date").alias("_hi")
+    )
+
+
+def summary_from_parts(parts: DataFrame, n_columns: int, distinct: Mapping[str, str]) -> DataFrame:
+    """Finish a summary; ``distinct`` maps columns to the names of their distinct counts."""
+    return parts.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("n_rows"),
+        F.lit(n_columns).alias("n_columns"),
+        F.min("_lo").cast("date").alias("first_date"),
+        F.max("_hi").cast("date").alias("last_date"),
+        *[F.count_distinct(column).alias(name) for column, name in distinct.items()],
+    )
+
+
 def load_summary(df: DataFrame, city_col: str = "City", store_col: str = "Store_ID") -> DataFrame:
     """Rows, columns, date range, distinct cities and distinct stores of a fact table.
 
     Rows are first reduced to distinct (city, store) pairs with partial sums, so the
     distinct counts never expand the raw facts. Columns that are absent are left out.
     """
-    dims = [c for c in (city_col, store_col) if c in df.columns]
-    reduced = df.groupBy(*dims).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("date").alias("_lo"), F.max("date").alias("_hi")
-    )
     names = {city_col: "n_cities", store_col: "n_stores"}
-    return reduced.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("n_rows"),
-        F.lit(len(df.columns)).alias("n_columns"),
-        F.min("_lo").cast("date").alias("first_date"),
-        F.max("_hi").cast("date").alias("last_date"),
-        *[F.count_distinct(c).alias(names[c]) for c in dims],
-    )
+    distinct = {c: n for c, n in names.items() if c in df.columns}
+    return summary_from_parts(summary_parts(df, list(distinct)), len(df.columns), distinct)
