@@ -14,7 +14,13 @@ from panelcast.operators.periods import fill_period_gaps, horizon_calendar, to_p
 from panelcast.operators.scale import apply_scaler, fit_scaler, invert_scaler, scale_series
 from panelcast.operators.split import sequence_split, sequence_windows, time_split
 from panelcast.operators.summaries import category_share, kpi_row, ranked_totals, year_month_pivot
-from panelcast.plans.forecasting import backtest, comparison_series, forecast
+from panelcast.plans.forecasting import (
+    backtest,
+    comparison_series,
+    fit_parameters,
+    forecast,
+    forecast_parameters,
+)
 from panelcast.plans.reports import Dashboard, ModelComparison, exploration
 from panelcast.session import build_session, materialize
 from panelcast.sources.profile import load_summary, table_profile
@@ -39,8 +45,10 @@ __all__ = [
     "exploration",
     "feature_table",
     "fill_period_gaps",
+    "fit_parameters",
     "fit_scaler",
     "forecast",
+    "forecast_parameters",
     "horizon_calendar",
     "invert_scaler",
     "keep_test_months",

@@ -11,6 +11,7 @@ from panelcast.models import additive, arima, sequence, smoothing
 from panelcast.models.series import explode_forecast, hold_out, series_arrays, with_horizon
 from panelcast.operators import metrics, periods, split
 from panelcast.plans import forecasting, reports
+from panelcast.session import materialize
 
 KEYS = ["City"]
 HORIZON = 6
@@ -127,6 +128,21 @@ def hw_panel_forecast(spark, sf_dir):
     return _rounded(forecasting.forecast(panel, KEYS, "MS", ["holt_winters"], HORIZON))
 
 
+@register(
+    "hw_stored_forecast",
+    f"""{_WHOLE}, {_search("series")}, f AS ({_HW_AHEAD})
+    SELECT City, 'holt_winters' AS model, 'holt_winters' AS variant, ds, round(yhat, 2) AS yhat,
+           round(yhat * 0.92::double, 2) AS yhat_lower, round(yhat * 1.08::double, 2) AS yhat_upper
+    FROM f
+    """,
+)
+def hw_stored_forecast(spark, sf_dir):
+    """Parameters written as a table, forecasts read from it."""
+    panel = stand_in.city_panel(spark, sf_dir)
+    stored = materialize(forecasting.fit_parameters(panel, KEYS, "holt_winters"), "parameters")
+    return _rounded(forecasting.forecast_parameters(stored, KEYS, "holt_winters"))
+
+
 _FITTED = """
     fit AS (
       SELECT p.City, p.periods[r.i + 1] AS period, r.l + r.b + r.s[1] AS fitted

@@ -179,7 +179,7 @@ def arma_rows(p, q):
     def run(w: pd.Series) -> pd.DataFrame:
         found = [(None, None)] * len(w)
         for rows, matrix in by_length(w):
-            raw = two_stage(matrix, p, q)
+            raw = np.nan_to_num(two_stage(matrix, p, q), nan=0.0, posinf=0.0, neginf=0.0)
             fixed = np.concatenate(stable(raw[:, :p], raw[:, p:]), axis=1)
             changed = ~np.isclose(fixed, raw, rtol=0, atol=1e-12).all(axis=1)
             for i, coef, flag in zip(rows, fixed, changed, strict=True):

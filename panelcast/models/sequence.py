@@ -116,14 +116,16 @@ def fit(
     recomputing the panel from the facts. Boosted trees stop early on the validation rows.
     """
     stored = materialize(rows, "sequences").withColumn("features", array_to_vector(F.col("seq")))
+    sides = stored.agg(F.count_distinct("is_val").alias("sides")).first()["sides"]
+    if sides == 0:
+        raise ValueError(f"no series has more than {length} fitted points")
     if kind == "linear":
         learner = LinearRegression(featuresCol="features", labelCol="y", regParam=1e-6)
     elif kind == "gbt":
         learner = GBTRegressor(
             featuresCol="features", labelCol="y", maxIter=rounds, maxDepth=depth, seed=seed
         )
-        both_sides = stored.agg(F.count_distinct("is_val").alias("sides")).first()["sides"] == 2
-        if both_sides:
+        if sides == 2:
             learner = learner.setValidationIndicatorCol("is_val")
     else:
         raise ValueError("kind is 'gbt' or 'linear'")

@@ -23,8 +23,9 @@ def series_arrays(
     """
     if keys:
         panel = panel.repartition(_fan_out(panel), *keys)
-    points = F.sort_array(F.collect_list(F.struct(F.col(order).alias("p"), F.col(target).alias("v"))))
-    packed = panel.where(F.col(target).isNotNull()).groupBy(*keys).agg(points.alias("points"))
+    value = F.col(target).cast("double")
+    points = F.sort_array(F.collect_list(F.struct(F.col(order).alias("p"), value.alias("v"))))
+    packed = panel.where(value.isNotNull() & ~F.isnan(value)).groupBy(*keys).agg(points.alias("points"))
     return packed.where(F.size("points") > 0).select(
         *keys,
         F.col("points.p").alias("periods"),
@@ -77,7 +78,7 @@ def hold_out(
             }
         ).withColumns({"n": F.col("n_train"), "last_period": F.element_at("periods", -1)})
     steps = F.greatest(
-        F.lit(1), periods_between(F.col("last_period"), F.element_at("test_periods", -1), freq)
+        F.lit(1), periods_between(F.col("last_period"), F.try_element_at("test_periods", F.lit(-1)), freq)
     )
     return out.withColumn("steps", F.coalesce(steps, F.lit(1))).drop("n_train")
 

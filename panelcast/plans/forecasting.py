@@ -139,8 +139,11 @@ def forecast(
             model = sequence.fit(rows, length, sequence_kind)
             path = sequence.forecast_array(model, series, horizon).withColumn("model", F.lit(name))
             parts.append(_future(path, keys, freq, name, band))
-    columns = [*keys, "model", "variant", "ds", "yhat", "yhat_lower", "yhat_upper"]
-    return _union([p.select(*columns) for p in parts])
+    return _union([p.select(*_forecast_columns(keys)) for p in parts])
+
+
+def _forecast_columns(keys: Sequence[str]) -> list[str]:
+    return [*keys, "model", "variant", "ds", "yhat", "yhat_lower", "yhat_upper"]
 
 
 def _future(fitted: DataFrame, keys: Sequence[str], freq: str, name: str, band: float) -> DataFrame:
@@ -148,6 +151,46 @@ def _future(fitted: DataFrame, keys: Sequence[str], freq: str, name: str, band:
     return relative_band(_tagged(rows, name), share=band)
 
 
+def fit_parameters(
+    panel: DataFrame,
+    keys: Sequence[str] = (),
+    model: str = "holt_winters",
+    freq: str = "MS",
+    season: int | None = None,
+    order: tuple[int, int, int] = (2, 1, 1),
+) -> DataFrame:
+    """One row of parameters and state per series, ready to be stored as a table."""
+    series = series_arrays(panel, keys)
+    if model == "holt_winters":
+        return smoothing.parameters(smoothing.smooth(series, _season(season, freq)), keys)
+    if model == "arima":
+        return arima.parameters(arima.fit(series, order), keys)
+    if model == "additive":
+        return additive.parameters(additive.fit(series), keys)
+    raise ValueError("parameter tables are for 'holt_winters', 'arima' and 'additive'")
+
+
+def forecast_parameters(
+    params: DataFrame,
+    keys: Sequence[str] = (),
+    model: str = "holt_winters",
+    freq: str = "MS",
+    horizon: int = DEFAULT_HORIZON,
+    order: tuple[int, int, int] = (2, 1, 1),
+    band: float = BAND,
+) -> DataFrame:
+    """Forecast from stored parameter rows, without the history: the columns of :func:`forecast`.
+
+    A filter on the keys of the stored table gives one city's forecast without refitting."""
+    if model == "additive":
+        rows = _tagged(additive.forecast(with_horizon(params, horizon), keys, freq, history=False), model)
+    elif model == "arima":
+        rows = _future(arima.forecast_array(with_horizon(params, horizon), order), keys, freq, model, band)
+    else:
+        rows = _future(smoothing.forecast_parameters(params, horizon), keys, freq, model, band)
+    return rows.select(*_forecast_columns(keys))
+
+
 def comparison_series(
     split_panel: DataFrame, predictions: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -71,6 +71,9 @@ def _date_from_parts(df: DataFrame, part: str, mode: str) -> DataFrame:
     return df.withColumn("date", date)
 
 
+READERS = {"csv": read_csv_facts, "parquet": read_parquet_facts}
+
+
 def load_sales(
     spark: SparkSession,
     path: str,
@@ -78,13 +81,16 @@ def load_sales(
     date_col: str | None = None,
     sales_col: str | None = None,
     legacy_dayfirst: bool = False,
+    source: str = "csv",
 ) -> DataFrame:
-    """Fact table from CSV with ``date``; rows without a date are dropped.
+    """Fact table with ``date`` from CSV or Parquet; rows without a date are dropped.
 
     The rows dropped are available as ``rejected_rows`` of the same arguments.
     """
-    facts = with_dates(read_csv_facts(spark, path), mode, date_col, legacy_dayfirst)
-    return _numeric(facts, sales_col).where(F.col("date").isNotNull())
+    facts = with_dates(READERS[source](spark, path), mode, date_col, legacy_dayfirst)
+    if source == "csv":
+        facts = _numeric(facts, sales_col)
+    return facts.where(F.col("date").isNotNull())
 
 
 def rejected_rows(
@@ -92,9 +98,10 @@ def rejected_rows(
     path: str,
     date_col: str | None = None,
     legacy_dayfirst: bool = False,
+    source: str = "csv",
 ) -> DataFrame:
     """The rows ``load_sales`` drops because no date could be built."""
-    facts = with_dates(read_csv_facts(spark, path), "permissive", date_col, legacy_dayfirst)
+    facts = with_dates(READERS[source](spark, path), "permissive", date_col, legacy_dayfirst)
     return facts.where(F.col("date").isNull())
 
 

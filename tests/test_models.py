@@ -75,6 +75,28 @@ def test_parameters_round_trip(spark, series, tmp_path):
     assert {r["City"]: r["yhat"] for r in again.collect()} == want
 
 
+@pytest.mark.parametrize("model", ["holt_winters", "arima", "additive"])
+def test_stored_parameters_give_the_same_forecast(spark, data, tmp_path, model):
+    path = str(tmp_path / model)
+    forecasting.fit_parameters(data, ["City"], model).write.parquet(path)
+    again = forecasting.forecast_parameters(spark.read.parquet(path), ["City"], model, horizon=4)
+    direct = forecasting.forecast(data, ["City"], models=[model], horizon=4)
+    assert again.columns == direct.columns
+    # The short series of the additive model are served by the smoother, which has its own table.
+    want = {(r["City"], r["ds"]): r["yhat"] for r in direct.collect() if model != "additive" or r["variant"] == model}
+    assert {(r["City"], r["ds"]): r["yhat"] for r in again.collect()} == want
+
+
+def test_sequence_needs_history(spark):
+    with pytest.raises(ValueError, match="no series has more than 6"):
+        forecasting.forecast(panel(spark, {"a": [1, 2, 3]}), ["City"], models=["sequence"])
+
+
+def test_values_that_are_not_numbers_are_left_out(spark):
+    df = panel(spark, {"a": [1.0, float("nan"), 3.0]})
+    assert series_arrays(df, ["City"]).first()["ys"] == [1.0, 3.0]
+
+
 def test_infinite_error_falls_back(spark):
     wild = with_horizon(series_arrays(panel(spark, {"a": [1e200 if i % 7 else -1e200 for i in range(30)]}), ["City"]), 2)
     row = smoothing.forecast_array(smoothing.smooth(wild, 12)).first()

@@ -31,6 +31,14 @@ def test_month_and_year(spark, tmp_path):
     assert [(r["City"], r["sales"]) for r in totals] == [("x", 3.5), ("y", 12.0)]
 
 
+def test_parquet_facts(spark, tmp_path):
+    df = spark.createDataFrame([(3, 2024, 5.0), (14, 2024, 6.0)], "Month int, Year int, Revenue double")
+    df.write.parquet(str(tmp_path / "p"))
+    rows = readers.load_sales(spark, str(tmp_path / "p"), source="parquet").collect()
+    assert [(r["date"], r["Revenue"]) for r in rows] == [(dt.date(2024, 3, 1), 5.0)]
+    assert readers.rejected_rows(spark, str(tmp_path / "p"), source="parquet").count() == 1
+
+
 def test_quarter_and_year(spark, tmp_path):
     path = write(tmp_path, "q.csv", "Quarter,Year,Sales\nQ1,2022,1\n2,2022,2\nQ3,2022,3\n4,2022,4\nQ5,2022,5\nq1,2022,6\n")
     rows = readers.load_sales(spark, path).orderBy("date").collect()
