@@ -159,7 +159,7 @@ _FITTED = """
 )
 def hw_fitted(spark, sf_dir):
     fitted = smoothing.smooth(_series(spark, sf_dir), SEASON)
-    return _rounded(smoothing.fitted_values(fitted, KEYS))
+    return _rounded(smoothing.fitted_values(fitted, KEYS, SEASON))
 
 
 @register(
@@ -171,7 +171,7 @@ def hw_fitted(spark, sf_dir):
 )
 def history_and_forecast(spark, sf_dir):
     fitted = smoothing.smooth(_series(spark, sf_dir), SEASON)
-    past = smoothing.fitted_values(fitted, KEYS)
+    past = smoothing.fitted_values(fitted, KEYS, SEASON)
     future = explode_forecast(smoothing.forecast_array(fitted), KEYS, "MS", ["model"])
     return _rounded(forecasting.history_and_forecast(past, future, KEYS))
 
@@ -372,6 +372,12 @@ def sequence_linear_forecast(spark, sf_dir):
     return forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="linear")
 
 
+@register("sequence_calendar_forecast")
+def sequence_calendar_forecast(spark, sf_dir):
+    panel = stand_in.city_panel(spark, sf_dir)
+    return forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="linear", calendar=True)
+
+
 @register("sequence_holdout")
 def sequence_holdout(spark, sf_dir):
     series = hold_out(series_arrays(stand_in.city_panel(spark, sf_dir), KEYS), "MS")

@@ -45,9 +45,9 @@ def by_length(values: pd.Series, *labels):
 # --- smoothing parameters ---------------------------------------------------------------
 
 
-def smoothing_error(y, kind, m, alpha, beta, gamma):
-    """Sum of squared one-step errors of every series (rows of ``y``) under every candidate
-    (columns of the parameter matrices)."""
+def one_step_forecasts(y, kind, m, alpha, beta, gamma):
+    """Yield ``(t, forecast)`` for every series (rows of ``y``) under every candidate (columns
+    of the parameter matrices), from the first value not used to start the recursion."""
     season = [0.0] * max(m, 1)
     if kind == "holt_winters":
         first, second = y[:, :m].sum(axis=1), y[:, m : 2 * m].sum(axis=1)
@@ -59,17 +59,23 @@ def smoothing_error(y, kind, m, alpha, beta, gamma):
         level, trend, begin = y[:, [1]], y[:, [1]] - y[:, [0]], 2
     else:
         level, trend, begin = y[:, [0]], 0.0, 1
-    sse = np.zeros(alpha.shape)
     for t in range(begin, y.shape[1]):
         value, k = y[:, [t]], t % max(m, 1)
         base, s = level + trend, season[k]
-        sse += (value - (base + s)) ** 2
+        yield t, base + s
         new_level = alpha * (value - s) + (1 - alpha) * base
         if kind != "ses":
             trend = beta * (new_level - level) + (1 - beta) * trend
         if kind == "holt_winters":
             season[k] = gamma * (value - base) + (1 - gamma) * s
         level = new_level
+
+
+def smoothing_error(y, kind, m, alpha, beta, gamma):
+    """Sum of squared one-step errors per series and candidate."""
+    sse = np.zeros(alpha.shape)
+    for t, forecast in one_step_forecasts(y, kind, m, alpha, beta, gamma):
+        sse += (y[:, [t]] - forecast) ** 2
     return sse
 
 
@@ -113,6 +119,22 @@ def search_rows(plans, m, refine):
     return run
 
 
+def fitted_rows(m):
+    """One-step forecasts of whole series under their own parameters."""
+
+    def run(kind: pd.Series, ys: pd.Series, alpha: pd.Series, beta: pd.Series, gamma: pd.Series) -> pd.Series:
+        found = [None] * len(ys)
+        for rows, y, name in by_length(ys, kind):
+            given = [column.iloc[rows].to_numpy()[:, None] for column in (alpha, beta, gamma)]
+            steps = [np.broadcast_to(f, (len(y), 1)) for _, f in one_step_forecasts(y, name, m, *given)]
+            values = np.concatenate(steps, axis=1) if steps else np.empty((len(y), 0))
+            for i, row in zip(rows, values, strict=True):
+                found[i] = row
+        return pd.Series(found, dtype=object)
+
+    return run
+
+
 # --- two-stage least squares ------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.functions.calendar import calendar_columns, shift_label
 from panelcast.models.series import array_total, explode_rows
 from panelcast.operators.scale import scale_value, unscale_value
 from panelcast.operators.split import train_size
@@ -25,20 +26,34 @@ ROUNDS = 100
 SEED = 42
 
 
+# Calendar features offered to the regressor next to the history.
+CALENDAR_INPUTS = ("dayofweek", "month", "quarter", "is_festive_month", "india_fy_quarter")
+
+
+def _calendar(ds: Column) -> Column:
+    columns = calendar_columns(ds)
+    return F.array(*[columns[c].cast("double") for c in CALENDAR_INPUTS])
+
+
+def _inputs(seq: Column, ds: Column, calendar: bool) -> Column:
+    return array_to_vector(F.concat(seq, _calendar(ds)) if calendar else seq)
+
+
 @dataclass(frozen=True)
 class SequenceModel:
-    """A fitted regressor and the history length it reads."""
+    """A fitted regressor, the history length it reads, and whether it reads the calendar."""
 
     length: int
     regressor: object
+    calendar: bool = False
 
     @property
     def is_linear(self) -> bool:
         return hasattr(self.regressor, "coefficients")
 
-    def predict(self, rows: DataFrame, seq: str = "seq", out: str = "predicted") -> DataFrame:
-        """Add the next (scaled) value of each ``seq``."""
-        featured = rows.withColumn("features", array_to_vector(F.col(seq)))
+    def predict(self, rows: DataFrame, out: str = "predicted") -> DataFrame:
+        """Add the (scaled) value that follows each ``seq`` and falls on ``ds``."""
+        featured = rows.withColumn("features", _inputs(F.col("seq"), F.col("ds"), self.calendar))
         scored = self.regressor.transform(featured)
         return scored.withColumnRenamed("prediction", out).drop("features")
 
@@ -68,15 +83,19 @@ def _windows(values: Column, first: Column, last: Column, length: int) -> Column
 def training_rows(
     series: DataFrame, keys: Sequence[str] = (), length: int = DEFAULT_LENGTH, train_share: float = 0.8
 ) -> DataFrame:
-    """``keys…, target, seq, y, is_val``: scaled sequences of the fitted part; the last ones of
+    """``keys…, target, ds, seq, y, is_val``: scaled sequences of the fitted part; the last ones of
     each series are marked for validation (early stopping), at least one is not."""
     scaled = _bounds(series).withColumn("scaled", _scaled("ys"))
     n_seq = F.size("scaled") - length
     cut = F.greatest(F.lit(1), train_size(n_seq, 1 - train_share))
     windows = _windows(F.col("scaled"), F.lit(length), F.size("scaled") - 1, length)
-    rows = explode_rows(scaled, [*keys, cut.alias("_cut")], windows, "_w")
+    rows = explode_rows(scaled, [*keys, "periods", cut.alias("_cut")], windows, "_w")
     return rows.select(
-        *keys, F.col("_w.target").alias("target"), F.col("_w.seq").alias("seq"), F.col("_w.y").alias("y"),
+        *keys,
+        F.col("_w.target").alias("target"),
+        F.get("periods", F.col("_w.target")).alias("ds"),
+        F.col("_w.seq").alias("seq"),
+        F.col("_w.y").alias("y"),
         (F.col("pos") >= F.col("_cut")).alias("is_val"),
     )
 
@@ -109,13 +128,15 @@ def fit(
     rounds: int = ROUNDS,
     depth: int = 3,
     seed: int = SEED,
+    calendar: bool = False,
 ) -> SequenceModel:
     """Train one regressor over all rows of :func:`training_rows`.
 
     The rows are written once to the shared folder, so boosting rounds read a table instead of
     recomputing the panel from the facts. Boosted trees stop early on the validation rows.
     """
-    stored = materialize(rows, "sequences").withColumn("features", array_to_vector(F.col("seq")))
+    inputs = _inputs(F.col("seq"), F.col("ds"), calendar)
+    stored = materialize(rows, "sequences").withColumn("features", inputs)
     sides = stored.agg(F.count_distinct("is_val").alias("sides")).first()["sides"]
     if sides == 0:
         raise ValueError(f"no series has more than {length} fitted points")
@@ -129,7 +150,7 @@ def fit(
             learner = learner.setValidationIndicatorCol("is_val")
     else:
         raise ValueError("kind is 'gbt' or 'linear'")
-    return SequenceModel(length, learner.fit(stored))
+    return SequenceModel(length, learner.fit(stored), calendar)
 
 
 def predict_test(model: SequenceModel, series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -139,22 +160,33 @@ def predict_test(model: SequenceModel, series: DataFrame, keys: Sequence[str] =
     return scored.select(*keys, F.lit(MODEL).alias("model"), "ds", "y", yhat.alias("yhat"))
 
 
-def _linear_path(model: SequenceModel, steps: Column) -> Column:
-    weights = F.array(*[F.lit(float(c)) for c in model.regressor.coefficients])
+def _linear_path(model: SequenceModel, dates: Column) -> Column:
+    """Recursion over the future dates; what a date adds is known before the recursion."""
+    weights = [float(c) for c in model.regressor.coefficients]
     bias = F.lit(float(model.regressor.intercept))
+    on_history = F.array(*[F.lit(c) for c in weights[: model.length]])
+    on_calendar = F.array(*[F.lit(c) for c in weights[model.length :]])
+
+    def dot(values: Column, coefs: Column) -> Column:
+        return array_total(F.zip_with(values, coefs, lambda x, w: x * w))
 
-    def step(state: Column, _: Column) -> Column:
-        nxt = array_total(F.zip_with(state["seq"], weights, lambda x, w: x * w)) + bias
+    def fixed_part(ds: Column) -> Column:
+        return bias + dot(_calendar(ds), on_calendar) if model.calendar else bias
+
+    def step(state: Column, extra: Column) -> Column:
+        nxt = dot(state["seq"], on_history) + extra
         return F.struct(
             F.concat(F.slice(state["seq"], 2, model.length - 1), F.array(nxt)).alias("seq"),
             F.concat(state["out"], F.array(nxt)).alias("out"),
         )
 
     start = F.struct(F.col("seq").alias("seq"), F.array().cast("array<double>").alias("out"))
-    return F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda s: s["out"])
+    return F.aggregate(F.transform(dates, fixed_part), start, step, lambda s: s["out"])
 
 
-def forecast_array(model: SequenceModel, series: DataFrame, horizon: int, out: str = "yhat") -> DataFrame:
+def forecast_array(
+    model: SequenceModel, series: DataFrame, horizon: int, freq: str = "MS", out: str = "yhat"
+) -> DataFrame:
     """Add a forecast array by feeding each prediction back as the newest value.
 
     Series shorter than the history length are left out.
@@ -162,17 +194,20 @@ def forecast_array(model: SequenceModel, series: DataFrame, horizon: int, out: s
     ready = _bounds(series.where(F.col("n") >= model.length)).withColumn(
         "seq", F.slice(_scaled("ys"), -model.length, model.length)
     )
+    last = F.col("last_period")
     if model.is_linear:
-        path = ready.withColumn("_path", _linear_path(model, F.lit(int(horizon))))
+        steps = F.sequence(F.lit(1), F.lit(int(horizon)))
+        dates = F.transform(steps, lambda k: shift_label(last, freq, k))
+        path = ready.withColumn("_path", _linear_path(model, dates))
     else:
         path = ready.withColumn("_path", F.array().cast("array<double>"))
-        for _ in range(int(horizon)):
-            path = model.predict(path, "seq", "_next")
+        for k in range(1, int(horizon) + 1):
+            path = model.predict(path.withColumn("ds", shift_label(last, freq, F.lit(k))), "_next")
             path = path.withColumns(
                 {
                     "_path": F.concat("_path", F.array("_next")),
                     "seq": F.concat(F.slice("seq", 2, model.length - 1), F.array("_next")),
                 }
-            ).drop("_next")
+            ).drop("_next", "ds")
     unscaled = F.transform("_path", lambda z: unscale_value(z, F.col("low"), F.col("high")))
     return path.withColumn(out, unscaled).drop("_path", "seq")

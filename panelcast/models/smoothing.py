@@ -2,8 +2,8 @@
 
 Each series is one row, so a fit is a projection: no join, no shuffle beyond the one that
 builds the rows. Smoothing with given parameters is an ``aggregate`` over the row's values.
-Only the search for the parameters, some seventy candidate passes per series, goes to NumPy in
-Arrow batches, where all series and candidates of a batch advance together.
+The search for the parameters, some seventy candidate passes per series, and the fitted values
+go to NumPy in Arrow batches, where all series and candidates of a batch advance together.
 
 The three kinds share one recursion: without a trend its weight and slope are 0, without a
 season the seasonal queue holds a single 0.
@@ -44,10 +44,6 @@ _NEXT = f"""named_struct(
                 array(best.gamma * (y - (x.l + x.b)) + (1 - best.gamma) * x.s[0])),
     'sse', x.sse + (y - (x.l + x.b + x.s[0])) * (y - (x.l + x.b + x.s[0])))"""
 _FINAL = f"aggregate(tail, start, (x, y) -> {_NEXT})"
-_FITTED = """aggregate(tail, named_struct('x', start, 'out', cast(array() AS array<double>)),
-    (acc, y) -> named_struct('x', {next}, 'out', concat(acc.out, array(acc.x.l + acc.x.b + acc.x.s[0]))),
-    acc -> acc.out)""".format(next=_NEXT.replace("x.", "acc.x."))
-
 
 def _total(first: int, length: int) -> str:
     return f"aggregate(slice(ys, {first}, {length}), 0D, (acc, y) -> acc + y)"
@@ -166,13 +162,16 @@ def forecast_parameters(params: DataFrame, horizon: int, out: str = "yhat") -> D
     return params.withColumn(out, F.expr(project("level", "trend", "season", str(int(horizon)))))
 
 
-def fitted_values(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
+def fitted_values(fitted: DataFrame, keys: Sequence[str], season: int) -> DataFrame:
     """One-step-ahead fitted values ``keys…, model, period, sales, fitted`` of smoothed rows.
 
-    Periods used only to start the recursion have no fitted value.
+    Periods used only to start the recursion have no fitted value. Runs in Arrow batches:
+    an array expression would copy the growing result at every step of a long series.
     """
+    run_rows = pandas_udf(kernels.fitted_rows(int(season)), T.ArrayType(T.DoubleType()))
+    values = run_rows(*[F.col(c) for c in ("model", "ys", "best.alpha", "best.beta", "best.gamma")])
     rows = explode_rows(
-        fitted.withColumn("_fit", F.expr(_FITTED)),
+        fitted.withColumn("_fit", values),
         [*keys, "model", F.expr("size(ys) - size(tail)").alias("_skip"), "_fit"],
         F.arrays_zip("periods", "ys"),
         "_point",

@@ -56,12 +56,14 @@ def backtest(
     order: tuple[int, int, int] = (2, 1, 1),
     sequence_kind: str = "gbt",
     length: int = sequence.DEFAULT_LENGTH,
+    calendar: bool = False,
 ) -> DataFrame:
     """Predictions of the held-out periods: ``keys…, model, variant, ds, y, yhat``.
 
     Every model is scored on the same dates. ``fit_scope='all'`` (smoothing and additive
     models) fits on the whole series and reads the in-sample values of the test periods.
-    Series under five points are left out.
+    Series under five points are left out. ``calendar`` adds calendar features to the inputs of
+    the sequence model.
     """
     names, m = _check(models), _season(season, freq)
     series = hold_out(series_arrays(panel, keys), freq, test_ratio, fit_scope).where(
@@ -83,7 +85,8 @@ def backtest(
             rest = series.where(F.col("n") < additive.MIN_POINTS)
             parts.append(_tagged(_smoothing_test(rest, keys, freq, m, in_sample), name))
         else:
-            model = sequence.fit(sequence.training_rows(series, keys, length), length, sequence_kind)
+            rows = sequence.training_rows(series, keys, length)
+            model = sequence.fit(rows, length, sequence_kind, calendar=calendar)
             parts.append(_tagged(sequence.predict_test(model, series, keys), name))
     return _union(parts)
 
@@ -94,7 +97,7 @@ def _smoothing_test(series: DataFrame, keys: Sequence[str], freq: str, m: int, i
         return explode_test(smoothing.forecast_array(fitted), keys, freq, F.col("model"))
     # The start of the test part bounds the in-sample rows; no join is needed.
     first = F.element_at("test_periods", 1)
-    values = smoothing.fitted_values(fitted.withColumn("_first", first), [*keys, "_first"])
+    values = smoothing.fitted_values(fitted.withColumn("_first", first), [*keys, "_first"], m)
     return values.where(F.col("period") >= F.col("_first")).select(
         *keys, "model", F.col("period").alias("ds"), F.col("sales").alias("y"), F.col("fitted").alias("yhat")
     )
@@ -110,6 +113,7 @@ def forecast(
     order: tuple[int, int, int] = (2, 1, 1),
     sequence_kind: str = "gbt",
     length: int = sequence.DEFAULT_LENGTH,
+    calendar: bool = False,
     band: float = BAND,
 ) -> DataFrame:
     """Future periods of every series, fitted on its whole history:
@@ -136,8 +140,8 @@ def forecast(
             parts.append(_future(smoothing.forecast_array(rest), keys, freq, name, band))
         else:
             rows = sequence.training_rows(series, keys, length)
-            model = sequence.fit(rows, length, sequence_kind)
-            path = sequence.forecast_array(model, series, horizon).withColumn("model", F.lit(name))
+            model = sequence.fit(rows, length, sequence_kind, calendar=calendar)
+            path = sequence.forecast_array(model, series, horizon, freq).withColumn("model", F.lit(name))
             parts.append(_future(path, keys, freq, name, band))
     return _union([p.select(*_forecast_columns(keys)) for p in parts])
 

@@ -27,6 +27,8 @@ def build_session(app: str = "panelcast", master: str | None = None, **conf) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # A record is a whole series, so batches are counted in far fewer records.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         # Saves several driver round trips per column expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }

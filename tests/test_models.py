@@ -55,7 +55,7 @@ def test_search_and_forecast(series):
 
 def test_fitted_values(series):
     fitted = smoothing.smooth(series, 12)
-    rows = smoothing.fitted_values(fitted, ["City"]).orderBy("City", "period").collect()
+    rows = smoothing.fitted_values(fitted, ["City"], 12).orderBy("City", "period").collect()
     best = {r["City"]: r["best"] for r in fitted.collect()}
     for city, kind in KIND.items():
         got = [r["fitted"] for r in rows if r["City"] == city]
@@ -211,6 +211,25 @@ def test_boosted_sequence_recursion(series):
     assert all(low - 1e-6 <= v <= high + 1e-6 for v in full["long"])
 
 
+@pytest.mark.parametrize("kind", ["linear", "gbt"])
+def test_calendar_inputs(series, kind):
+    long = series.where("n = 40")
+    rows = sequence.training_rows(long, ["City"])
+    assert {r["ds"] for r in rows.where("City = 'long'").collect()} == set(months(40)[6:])
+    model = sequence.fit(rows, kind=kind, rounds=5, calendar=True)
+    path = {r["City"]: r["yhat"] for r in sequence.forecast_array(model, long, 3).collect()}
+    # The same path, one prediction at a time from plain rows.
+    ys = np.array(SERIES["long"])
+    low, high = ys.min(), ys.max()
+    seq = [float(v) for v in (ys[-6:] - low) / (high - low)]
+    spark = series.sparkSession
+    for h, ds in enumerate(months(43)[40:]):
+        row = spark.createDataFrame([(seq, ds)], "seq array<double>, ds date")
+        nxt = model.predict(row).first()["predicted"]
+        assert path["long"][h] == pytest.approx(nxt * (high - low) + low, rel=1e-9)
+        seq = seq[1:] + [nxt]
+
+
 def test_sequence_holdout_uses_actual_history(data):
     held = hold_out(series_arrays(data.where("City in ('long', 'other')"), ["City"]), "MS")
     rows = sequence.test_rows(held, ["City"]).where("City = 'long'").orderBy("ds").collect()
