@@ -6,7 +6,16 @@ from pyspark.sql import functions as F
 
 from panelcast.catalog import facts as stand_in
 from panelcast.catalog.registry import register
-from panelcast.catalog.sql_text import CITY_PANEL, SPLIT, arima_211, seasonal_search, series_cte
+from panelcast.catalog.sql_text import (
+    CITY_PANEL,
+    NET,
+    SPLIT,
+    arima_211,
+    cholesky,
+    products,
+    seasonal_search,
+    series_cte,
+)
 from panelcast.models import additive, arima, sequence, smoothing
 from panelcast.models.series import explode_forecast, hold_out, series_arrays, with_horizon
 from panelcast.operators import metrics, periods, split
@@ -352,6 +361,39 @@ def coverage_guard(spark, sf_dir):
     return _rounded(metrics.choose_covering(future.select(*columns), fallback.select(*columns), test, KEYS))
 
 
+# --- one linear model over all sequences ------------------------------------------------
+
+_PRODUCTS = products([f"f{i}" for i in range(7)], "v")
+_STEP = " + ".join([f"x{i} * s[{i + 1}]" for i in range(6)] + ["x6"])
+
+
+@register(
+    "sequence_linear_forecast",
+    f"""WITH RECURSIVE panel AS ({CITY_PANEL}),
+    bounds AS (SELECT City, min(sales) AS low, max(sales) AS high, max(period) AS last_period FROM panel GROUP BY 1),
+    scaled AS (SELECT City, period, (sales - low) / (high - low) AS v FROM panel JOIN bounds USING (City)),
+    rows AS (
+      SELECT v, 1.0::double AS f6, {", ".join(f"lag(v, {6 - i}) OVER (PARTITION BY City ORDER BY period) AS f{i}" for i in range(6))}
+      FROM scaled),
+    weights AS ({cholesky(f"SELECT {_PRODUCTS} FROM rows WHERE f0 IS NOT NULL", 7)}),
+    ahead AS (
+      SELECT City, 0 AS step, list(v ORDER BY period)[-6:] AS s FROM scaled GROUP BY City
+      UNION ALL
+      SELECT City, step + 1 AS step, list_concat(s[2:6], [{_STEP}]) AS s FROM ahead, weights WHERE step < 6),
+    f AS (
+      SELECT City, cast(last_period + to_months(step::int) AS date) AS ds, s[6] * (high - low) + low AS yhat
+      FROM ahead JOIN bounds USING (City) WHERE step > 0)
+    SELECT City, 'sequence' AS model, 'sequence' AS variant, ds, round(yhat, 0) AS yhat,
+           round(yhat * 0.92::double, 0) AS yhat_lower, round(yhat * 1.08::double, 0) AS yhat_upper
+    FROM f
+    """,
+)
+def sequence_linear_forecast(spark, sf_dir):
+    """One linear model over the sequences of all cities."""
+    panel = stand_in.city_panel(spark, sf_dir)
+    return _rounded(forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="linear"), 0)
+
+
 # --- models without a SQL equivalent -----------------------------------------------------
 
 
@@ -366,12 +408,6 @@ def sequence_forecast(spark, sf_dir):
     return forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON)
 
 
-@register("sequence_linear_forecast")
-def sequence_linear_forecast(spark, sf_dir):
-    panel = stand_in.city_panel(spark, sf_dir)
-    return forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="linear")
-
-
 @register("sequence_calendar_forecast")
 def sequence_calendar_forecast(spark, sf_dir):
     panel = stand_in.city_panel(spark, sf_dir)
@@ -411,14 +447,37 @@ def _store_panel(spark, sf_dir):
     return periods.to_periods(stand_in.line_facts(spark, sf_dir), ["Store_ID"], "MS")
 
 
-@register("store_hw_forecast")
+# The store takes the place of the city in the shared fragments.
+_STORES = f"""WITH RECURSIVE panel AS (
+    SELECT l_suppkey AS City, cast(date_trunc('month', l_shipdate) AS date) AS period,
+           cast(sum({NET}) AS double) AS sales
+    FROM lineitem GROUP BY 1, 2 HAVING sum({NET}) > 0),
+  series AS ({series_cte("panel")})"""
+
+
+@register(
+    "store_hw_forecast",
+    f"""{_STORES}, {_search("series")}, f AS ({_HW_AHEAD})
+    SELECT City AS Store_ID, 'holt_winters' AS model, 'holt_winters' AS variant, ds, round(yhat, 2) AS yhat,
+           round(yhat * 0.92::double, 2) AS yhat_lower, round(yhat * 1.08::double, 2) AS yhat_upper
+    FROM f
+    """,
+)
 def store_hw_forecast(spark, sf_dir):
-    return forecasting.forecast(_store_panel(spark, sf_dir), ["Store_ID"], "MS", ["holt_winters"])
+    return _rounded(forecasting.forecast(_store_panel(spark, sf_dir), ["Store_ID"], "MS", ["holt_winters"]))
 
 
-@register("store_arima_forecast")
+@register(
+    "store_arima_forecast",
+    f"""{_STORES}, {arima_211("series")}
+    SELECT City AS Store_ID, 'arima' AS model, 'arima' AS variant, cast(last_period + to_months(step::int) AS date) AS ds,
+           round(level * scale, 0) AS yhat, round(level * scale * 0.92::double, 0) AS yhat_lower,
+           round(level * scale * 1.08::double, 0) AS yhat_upper
+    FROM ahead JOIN series USING (City) WHERE step BETWEEN 1 AND 6
+    """,
+)
 def store_arima_forecast(spark, sf_dir):
-    return forecasting.forecast(_store_panel(spark, sf_dir), ["Store_ID"], "MS", ["arima"])
+    return _rounded(forecasting.forecast(_store_panel(spark, sf_dir), ["Store_ID"], "MS", ["arima"]), 0)
 
 
 @register("store_additive_forecast")

@@ -111,6 +111,46 @@ def seasonal_search(series: str, alphas, betas, gammas) -> str:
     )"""
 
 
+_RIDGE = " + 1e-8::double"
+
+
+def products(names: list[str], target: str, ridge: str = "") -> str:
+    """Normal equations of a regression: ``a<i><j>`` (lower triangle) and ``r<i>``."""
+    cells = [
+        f"sum({names[i]} * {names[j]}){ridge if i == j else ''} AS a{i}{j}"
+        for i in range(len(names))
+        for j in range(i + 1)
+    ]
+    cells += [f"sum({names[i]} * {target}) AS r{i}" for i in range(len(names))]
+    return ", ".join(cells)
+
+
+def cholesky(source: str, k: int) -> str:
+    """``source`` with the solution ``x<i>`` of the equations of :func:`products`.
+
+    One nested SELECT per step: an alias reused inside one SELECT would be expanded in place.
+    """
+    steps = []
+    for j in range(k):
+        inner = "".join(f" - l{j}{m} * l{j}{m}" for m in range(j))
+        steps.append([f"sqrt(a{j}{j}{inner}) AS l{j}{j}"])
+        below = []
+        for i in range(j + 1, k):
+            inner = "".join(f" - l{i}{m} * l{j}{m}" for m in range(j))
+            below.append(f"(a{i}{j}{inner}) / l{j}{j} AS l{i}{j}")
+        steps.append(below)
+    for i in range(k):
+        inner = "".join(f" - l{i}{m} * z{m}" for m in range(i))
+        steps.append([f"(r{i}{inner}) / l{i}{i} AS z{i}"])
+    for i in reversed(range(k)):
+        inner = "".join(f" - l{m}{i} * x{m}" for m in range(i + 1, k))
+        steps.append([f"(z{i}{inner}) / l{i}{i} AS x{i}"])
+    for step in steps:
+        if step:
+            source = f"SELECT *, {', '.join(step)} FROM ({source})"
+    return source
+
+
 def arima_211(series: str) -> str:
     """CTEs that end in ``arima(City, phi1, phi2, theta, scale, last, w1, w2, e1)``: two-stage
     least squares of order (2,1,1), ridge 1e-8, roots kept inside 0.98."""
@@ -118,31 +158,6 @@ def arima_211(series: str) -> str:
     def lag(column: str, k: int) -> str:
         return f"lag({column}, {k}) OVER (PARTITION BY City ORDER BY t)"
 
-    def products(names: list[str], target: str) -> str:
-        cells = [
-            f"sum({names[i]} * {names[j]}){' + 1e-8::double' if i == j else ''} AS a{i}{j}"
-            for i in range(len(names))
-            for j in range(i + 1)
-        ]
-        cells += [f"sum({names[i]} * {target}) AS r{i}" for i in range(len(names))]
-        return ", ".join(cells)
-
-    def cholesky(k: int) -> str:
-        out = []
-        for j in range(k):
-            inner = "".join(f" - l{j}{m} * l{j}{m}" for m in range(j))
-            out.append(f"sqrt(a{j}{j}{inner}) AS l{j}{j}")
-            for i in range(j + 1, k):
-                inner = "".join(f" - l{i}{m} * l{j}{m}" for m in range(j))
-                out.append(f"(a{i}{j}{inner}) / l{j}{j} AS l{i}{j}")
-        for i in range(k):
-            inner = "".join(f" - l{i}{m} * z{m}" for m in range(i))
-            out.append(f"(r{i}{inner}) / l{i}{i} AS z{i}")
-        for i in reversed(range(k)):
-            inner = "".join(f" - l{m}{i} * x{m}" for m in range(i + 1, k))
-            out.append(f"(z{i}{inner}) / l{i}{i} AS x{i}")
-        return ", ".join(out)
-
     return f"""
     points AS (
       SELECT City, list_max(ys) AS scale, unnest(ys) / list_max(ys) AS y,
@@ -155,8 +170,8 @@ def arima_211(series: str) -> str:
       SELECT *, {lag("w", 1)} AS w1, {lag("w", 2)} AS w2, {lag("w", 3)} AS w3, {lag("w", 4)} AS w4 FROM diffs
     ),
     long AS (
-      SELECT *, {cholesky(4)} FROM (
-        SELECT City, {products(["w1", "w2", "w3", "w4"], "w")} FROM lags WHERE w4 IS NOT NULL GROUP BY City)
+      {cholesky(f"""SELECT City, {products(["w1", "w2", "w3", "w4"], "w", _RIDGE)}
+                    FROM lags WHERE w4 IS NOT NULL GROUP BY City""", 4)}
     ),
     resid AS (
       SELECT lags.*, w - (x0 * w1 + x1 * w2 + x2 * w3 + x3 * w4) AS e FROM lags JOIN long USING (City)
@@ -165,8 +180,8 @@ def arima_211(series: str) -> str:
     resid1 AS (SELECT *, {lag("e", 1)} AS e1 FROM resid),
     short AS (
       SELECT City, x0 AS p1, x1 AS p2, x2 AS q1 FROM (
-        SELECT *, {cholesky(3)} FROM (
-          SELECT City, {products(["w1", "w2", "e1"], "w")} FROM resid1 WHERE e1 IS NOT NULL GROUP BY City))
+        {cholesky(f"""SELECT City, {products(["w1", "w2", "e1"], "w", _RIDGE)}
+                      FROM resid1 WHERE e1 IS NOT NULL GROUP BY City""", 3)})
     ),
     rooted AS (
       SELECT *, CASE WHEN p1 * p1 + 4 * p2 >= 0 THEN (abs(p1) + sqrt(p1 * p1 + 4 * p2)) / 2

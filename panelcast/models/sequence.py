@@ -141,7 +141,7 @@ def fit(
     if sides == 0:
         raise ValueError(f"no series has more than {length} fitted points")
     if kind == "linear":
-        learner = LinearRegression(featuresCol="features", labelCol="y", regParam=1e-6)
+        learner = LinearRegression(featuresCol="features", labelCol="y")
     elif kind == "gbt":
         learner = GBTRegressor(
             featuresCol="features", labelCol="y", maxIter=rounds, maxDepth=depth, seed=seed

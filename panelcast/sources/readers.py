@@ -11,13 +11,16 @@ from panelcast.operators.roles import detect_date_column
 NUMERIC_ROLES = ("Revenue", "Sales", "Units_Sold", "Unit_Price")
 
 
-def read_csv_facts(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_facts(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every CSV under ``path`` (a folder or a file), all columns as text.
 
     Text avoids a schema-inference pass over the data; roles are cast where they are used.
+    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
     Raises when the path holds no CSV.
     """
-    reader = spark.read.options(header=True, inferSchema=False, enforceSchema=False, escape='"')
+    reader = spark.read.options(
+        header=True, inferSchema=False, enforceSchema=False, escape='"', multiLine=multiline
+    )
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
