@@ -37,14 +37,14 @@ def to_periods(
 
     The sum is a partial+final aggregate, so a key that owns a large part of the facts
     leaves each map task as one row per period. ``scale`` sums as an exact decimal with that
-    many digits. Periods that sum to zero or less disappear; ``fill_gaps`` puts the missing
-    calendar periods back as 0.
+    many digits. Rows with a null date or key are left out. Periods that sum to zero or less
+    disappear; ``fill_gaps`` puts the missing calendar periods back as 0.
     """
     sales_col = sales_col or detect_sales_column(df.columns)
     value = money.addable(F.col(sales_col), df.schema[sales_col].dataType, scale)
     panel = (
         filter_equal(df, where)
-        .where(F.col(date_col).isNotNull())
+        .dropna(subset=[date_col, *keys])
         .select(*keys, period_label(F.col(date_col), freq).alias("period"), value.alias("_value"))
         .groupBy(*keys, "period")
         .agg(F.sum("_value").alias("_total"))

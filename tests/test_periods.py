@@ -102,6 +102,13 @@ def test_values_that_are_not_numbers(spark):
         assert [(r["period"], r["sales"]) for r in got] == [(D(2024, 1, 1), 3.0)]
 
 
+def test_null_keys_are_left_out(spark):
+    rows = [("x", D(2024, 1, 1), 1.0), (None, D(2024, 1, 1), 2.0)]
+    df = spark.createDataFrame(rows, "City string, date date, Revenue double")
+    assert [r["City"] for r in periods.to_periods(df, ["City"]).collect()] == ["x"]
+    assert periods.to_periods(df).first()["sales"] == 3.0
+
+
 def test_hot_key_is_summed_before_a_large_join(spark):
     facts = spark.createDataFrame(
         [(1 if i % 3 == 0 else i, dt.datetime(2024, 1 + i % 12, 1 + i % 28), float(i)) for i in range(600)],
