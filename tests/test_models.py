@@ -339,6 +339,9 @@ def test_reports(spark):
     assert run.forecast.count() == 8
     assert {r["series"] for r in run.comparison.select("series").distinct().collect()} == {
         "train", "actual", "arima", "holt_winters"}
+    whole = reports.ModelComparison(facts, horizon=2)
+    assert whole.leaderboard.where("is_best").count() == 1 and whole.leaderboard.count() == 4
+    assert whole.forecast.count() == 8
     page = reports.Dashboard(facts, city="x", horizon=3)
     assert page.kpi.first()["n_periods"] == 36
     assert page.forecast.count() == 6 and page.scores.count() == 2
