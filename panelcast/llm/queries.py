@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import fingerprints, sharding
-from panelcast.llm.common import small_batches, table
+from panelcast.llm import fingerprints, jaccard, langid, sharding
+from panelcast.llm.common import table
 
 SHARDS = 24
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, num=85, den=100))
+
+
 def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
@@ -18,8 +22,14 @@ def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), sharding.tree(SHARDS))
 
 
+def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_closed_syncmers": op4_closed_syncmers,
     "op9_hash_tree": op9_hash_tree,
+    "op10_ppm_language": op10_ppm_language,
 }
 SQL: dict[str, str] = {}
