@@ -95,32 +95,27 @@ def positional_matches(a: DataFrame, b: DataFrame, doc_id: str = "doc_id", text:
     )
 
 
-def successors(keys: DataFrame) -> DataFrame:
-    """``doc_id, h, prev_id, prev_h, prev_chars``: for each key its predecessor in ascending order,
-    the last key being the predecessor of the first.
+def neighbours(keys: DataFrame) -> DataFrame:
+    """``key, prev_key, prev_need``: for each document its predecessor in ascending order, the last one
+    being the predecessor of the first, and a quarter of the predecessor's length.
 
-    ``keys`` holds distinct ``doc_id, h, n_chars``. Keys are range-partitioned and stored with their
+    ``keys`` holds distinct ``key, doc_id, h, n_chars``. Keys are range-partitioned and stored with their
     partition; rows look back inside a partition, and one row per partition closes the seams.
     """
-    ordered = ("doc_id", "h")
-    dealt = keys.repartitionByRange(*(F.col(c).asc_nulls_first() for c in ordered))
-    dealt = materialize(dealt.withColumn("part", F.spark_partition_id()), "order")
-    fields = F.struct("doc_id", "h", "n_chars")
-    inside = Window.partitionBy("part").orderBy(*(F.col(c).asc_nulls_first() for c in ordered))
-    rows = dealt.withColumn("prev", F.lag(fields).over(inside))
-    lasts = dealt.groupBy("part").agg(F.max_by(fields, F.struct(F.col("doc_id").isNotNull(), "doc_id", "h")).alias("last"))
+    ordered = [F.col("doc_id").asc_nulls_first(), "h"]
+    dealt = keys.repartitionByRange(*ordered).withColumn("part", F.spark_partition_id())
+    dealt = materialize(dealt, "order")
+    fields = F.struct("key", "n_chars")
+    rows = dealt.withColumn("prev", F.lag(fields).over(Window.partitionBy("part").orderBy(*ordered)))
+    lasts = dealt.groupBy("part").agg(F.max_by(fields, F.struct("doc_id", "h")).alias("last"))  # a null is least
     seams = Window.orderBy("part")
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = seams.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     lasts = lasts.select("part", F.coalesce(F.lag("last").over(seams), F.last("last").over(whole)).alias("seam"))
     rows = rows.join(F.broadcast(lasts), "part")  # one row per partition
     prev = F.when(F.col("prev").isNull(), F.col("seam")).otherwise(F.col("prev"))
-    return rows.select("doc_id", "h", prev.alias("prev")).select(
-        "doc_id",
-        "h",
-        F.col("prev.doc_id").alias("prev_id"),
-        F.col("prev.h").alias("prev_h"),
-        F.floor(F.col("prev.n_chars") / 4).cast("int").alias("prev_need"),
-    )
+    rows = rows.select("key", prev.alias("prev"))
+    need = F.floor(F.col("prev.n_chars") / 4).cast("int").alias("prev_need")
+    return rows.select("key", F.col("prev.key").alias("prev_key"), need)
 
 
 def against_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -131,43 +126,43 @@ def against_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     document follows itself. Null ids stand first and null texts count as empty. Rows with the same
     id are ordered by a hash of their text; rows equal in id and text are one document whose result
     is repeated. Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next``.
+    near_edited, near_next, next_id``.
 
-    Texts cross one exchange, by key; each document then sends its predecessor the leading code
-    points it needs and its own anchors.
+    Texts cross one exchange, by key, which both joins read; each document then sends its predecessor
+    the leading code points it needs and its own anchors.
     """
     rows = reading(df, doc_id=doc_id, text=text).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    keys = rows.select("doc_id", "h", F.length("text").cast("long").alias("n_chars")).distinct()
-    order = materialize(successors(keys), "neighbours")
-    docs = rows.groupBy("doc_id", "h").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    to = [docs["doc_id"].eqNullSafe(order["doc_id"]), docs["h"] == order["h"]]
-    sent = docs.join(order, to).select(
-        F.col("prev_id").alias("to_id"),
-        F.col("prev_h").alias("to_h"),
-        F.substring(F.col("text"), F.lit(1), F.col("prev_need")).alias("piece"),
-        hashes(anchors(F.col("text"))).alias("next_anchors"),
+    h = F.xxhash64("text")
+    rows = rows.withColumn("key", F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(h)))
+    keys = rows.select("key", "doc_id", h.alias("h"), F.length("text").cast("long").alias("n_chars")).distinct()
+    order = materialize(neighbours(keys), "neighbours")
+    docs = rows.select("key", "doc_id", "text")
+    sent = docs.join(order, "key").select(
+        "prev_key",
+        F.struct(
+            F.col("doc_id").alias("next_id"),
+            F.substring(F.col("text"), F.lit(1), F.col("prev_need")).alias("piece"),
+            hashes(anchors(F.col("text"))).alias("next_anchors"),
+        ).alias("sent"),
     )
-    met = docs.join(sent, [docs["doc_id"].eqNullSafe(sent["to_id"]), docs["h"] == sent["to_h"]])
+    sent = sent.groupBy(F.col("prev_key").alias("key")).agg(F.first("sent").alias("sent"))  # of repeated rows one
     n = F.length("text")
     kept = F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 4)).cast("int"))
-    met = met.select(
+    met = docs.join(sent, "key").select(
         "doc_id",
-        "copies",
         n.cast("long").alias("n_chars"),
-        "next_anchors",
-        F.concat(kept, F.col("piece")).alias("edited"),
+        "sent",
+        F.concat(kept, F.col("sent.piece")).alias("edited"),
         anchors(F.col("text")).alias("found"),
     )
     met = met.select("*", anchors(F.col("edited")).alias("edited_found"))
-    met = met.select(
+    return met.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("found")).alias("fingerprint"),
         as_text(F.col("edited_found")).alias("edited_fingerprint"),
         likeness(hashes(F.col("found")), hashes(F.col("edited_found"))).alias("near_edited"),
-        likeness(hashes(F.col("found")), F.col("next_anchors")).alias("near_next"),
-        "copies",
+        likeness(hashes(F.col("found")), F.col("sent.next_anchors")).alias("near_next"),
+        F.col("sent.next_id").alias("next_id"),
     )
-    return met.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies", "col")

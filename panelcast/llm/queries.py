@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import fingerprints, jaccard, langid, sharding
+from panelcast.llm import decontam, fingerprints, jaccard, langid, sharding
 from panelcast.llm.common import table
 
 SHARDS = 24
@@ -18,6 +18,11 @@ def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.report(found)
+
+
 def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), sharding.tree(SHARDS))
 
@@ -29,6 +34,7 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_closed_syncmers": op4_closed_syncmers,
+    "op6_fm_decontamination": op6_fm_decontamination,
     "op9_hash_tree": op9_hash_tree,
     "op10_ppm_language": op10_ppm_language,
 }
