@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import decontam, fingerprints, jaccard, langid, sharding
+from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, sharding
 from panelcast.llm.common import table
 
 SHARDS = 24
@@ -23,6 +23,10 @@ def op6_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(found)
 
 
+def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), sharding.tree(SHARDS))
 
@@ -35,6 +39,7 @@ QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_closed_syncmers": op4_closed_syncmers,
     "op6_fm_decontamination": op6_fm_decontamination,
+    "op8_vector_packing": op8_vector_packing,
     "op9_hash_tree": op9_hash_tree,
     "op10_ppm_language": op10_ppm_language,
 }
