@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, sharding
+from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, sharding
 from panelcast.llm.common import table
 
 SHARDS = 24
@@ -18,6 +18,16 @@ def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
 
+def personal_data_field(spark: SparkSession) -> pii.Field:
+    """The field fitted to the small labelled table."""
+    schema = "text string, spans array<struct<kind:string,start:int,end:int>>"
+    return pii.fit(spark.createDataFrame(pii.examples(), schema))
+
+
+def op5_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"), personal_data_field(spark))
+
+
 def op6_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.report(found)
@@ -38,6 +48,7 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_closed_syncmers": op4_closed_syncmers,
+    "op5_crf_personal_data": op5_crf_personal_data,
     "op6_fm_decontamination": op6_fm_decontamination,
     "op8_vector_packing": op8_vector_packing,
     "op9_hash_tree": op9_hash_tree,
