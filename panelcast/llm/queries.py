@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, sharding
+from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, sharding, sql_text, warc
 from panelcast.llm.common import table
 
 SHARDS = 24
@@ -14,6 +14,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, num=85, den=100))
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_warc_derivatives": op2_warc_derivatives,
     "op4_closed_syncmers": op4_closed_syncmers,
     "op5_crf_personal_data": op5_crf_personal_data,
     "op6_fm_decontamination": op6_fm_decontamination,
@@ -54,4 +59,6 @@ QUERIES = {
     "op9_hash_tree": op9_hash_tree,
     "op10_ppm_language": op10_ppm_language,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_warc_derivatives": sql_text.warc_derivatives(),
+}
