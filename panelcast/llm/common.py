@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.session import materialize, scratch_path, shared_dir
 
-__all__ = ["bind", "gapless", "materialize", "reading", "scratch_path", "shared_dir", "small_batches", "table"]
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+__all__ = ["bind", "each", "gapless", "materialize", "reading", "scratch_path", "shared_dir", "small_batches", "table"]
 
 ARROW_ROWS = 1000
 
@@ -51,3 +56,13 @@ def gapless(df: DataFrame, group: str, bucket: str, order: list[str], weight: st
     )
     ranked = df.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
     return ranked.join(firsts, [group, bucket]).withColumn(name, F.col("_first") + F.col("_inside")).drop("_first", "_inside")
+
+
+def each(blocks: list):
+    """The values of broadcast blocks, one after the other. A single block stays with the Python worker;
+    of several only the one in use is held."""
+    if len(blocks) == 1:
+        yield blocks[0].value
+    else:
+        for block in blocks:
+            yield block.load_from_path(block._path)

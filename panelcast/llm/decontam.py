@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import materialize, reading, small_batches
+from panelcast.llm.common import each, materialize, reading, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -226,15 +226,15 @@ def search_batches(blocks: list, fields: list[str], kind: pa.DataType):
                 docs = [words_of(x) for x in texts]
                 spans: list[list] = [[] for _ in docs]
                 items: list[set] = [set() for _ in docs]
-                for block in blocks:
-                    doc, first, phrase = block.value.occurrences(docs)
-                    ends = first + block.value.lengths[phrase]
+                for block in each(blocks):
+                    doc, first, phrase = block.occurrences(docs)
+                    ends = first + block.lengths[phrase]
                     for d, a, b in zip(doc.tolist(), first.tolist(), ends.tolist(), strict=True):
                         spans[d].append((a, b))
-                    pairs = np.unique(doc * len(block.value.items) + phrase)
+                    pairs = np.unique(doc * len(block.items) + phrase)
                     for pair in pairs.tolist():
-                        d, p = divmod(pair, len(block.value.items))
-                        items[d].update(block.value.items[p])
+                        d, p = divmod(pair, len(block.items))
+                        items[d].update(block.items[p])
                 joined = [merged(s) for s in spans]
                 removal = [code_points(x, s) if s else [] for x, s in zip(texts, joined, strict=True)]
                 rows = {f: batch[f].slice(start, len(texts)) for f in fields}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, sharding, sql_text, warc
+from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, quality, sharding, sql_text, warc
 from panelcast.llm.common import table
 
 SHARDS = 24
@@ -37,6 +37,10 @@ def op6_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(found)
 
 
+def op7_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op4_closed_syncmers": op4_closed_syncmers,
     "op5_crf_personal_data": op5_crf_personal_data,
     "op6_fm_decontamination": op6_fm_decontamination,
+    "op7_kneser_ney_quality": op7_kneser_ney_quality,
     "op8_vector_packing": op8_vector_packing,
     "op9_hash_tree": op9_hash_tree,
     "op10_ppm_language": op10_ppm_language,
