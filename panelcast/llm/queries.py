@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, quality, sharding, sql_text, warc
+from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, quality, sharding, sql_text, token_counts, warc
 from panelcast.llm.common import table
 
 SHARDS = 24
@@ -18,6 +18,10 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
 
 
+def op3_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_through_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_warc_derivatives": op2_warc_derivatives,
+    "op3_edit_aware_counts": op3_edit_aware_counts,
     "op4_closed_syncmers": op4_closed_syncmers,
     "op5_crf_personal_data": op5_crf_personal_data,
     "op6_fm_decontamination": op6_fm_decontamination,
