@@ -1,18 +1,80 @@
-"""The corpus pipeline over ``documents``."""
+"""The corpus pipeline over ``documents``: language, near duplicates, contamination, personal data, packing.
+
+Every stage takes ``(spark, docs, sf_dir)`` and reads only what the one before it kept. All but the last
+return the columns of ``documents``; other columns are left behind. Empty tables pass through. No SQL
+states these stages, so ``ORACLE_SQL`` is None and tests compare them with brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelcast.llm import decontam, jaccard, langid, packing, pii
+from panelcast.llm.common import materialize, small_batches, table
+from panelcast.llm.queries import personal_data_field
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+BROADCAST_IDS = 1_000_000
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: those without text or without a letter go. A missing ``lang`` becomes
+    the predicted one."""
+    docs = docs.select(COLUMNS)
+    labelled = docs.filter(~langid.held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
+    model = langid.train(labelled)
+    small_batches(spark)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
+    found = docs.mapInArrow(langid.predictor(model, COLUMNS), f"{schema}, lang_pred string, score double")
+    found = found.filter(F.col("lang_pred") != langid.UNKNOWN) if model.langs else found.filter("text is not null")
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of similar ones (five-word shingles, 0.8). Rows
+    under one id are one document, of which one row stays; rows with a null id stay."""
+    docs = docs.select(COLUMNS)
+    groups = materialize(jaccard.similar_groups(docs, jaccard.Rule()), "groups")
+    first = groups.filter("doc_id = component_id").select("doc_id")
+    ids = materialize(first.distinct(), "kept")
+    n = ids.count()
+    kept = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    if first.count() > n:
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.union(docs.filter("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in benchmark windows."""
+    others = [c for c in COLUMNS if c != "doc_id"]
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), keep=others)
+    return found.filter(~decontam.is_contaminated(F.col("n_words"), F.col("n_hit"))).select(COLUMNS)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redact(docs.select(COLUMNS), personal_data_field(spark))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs)
 
-from panelcast.llm.common import materialize, table
 
-STAGES: list = []
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packed),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages in order, each reading what the one before it wrote."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
