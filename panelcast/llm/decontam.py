@@ -105,7 +105,7 @@ class FMIndex:
         self.n = len(text)
         before = text[order - 1]
         self.bwt = Wavelet(before.astype(np.int64))
-        counts = np.bincount(before, minlength=int(before.max()) + 2)
+        counts = np.bincount(before)
         self.first = np.cumsum(counts) - counts
         marked = order % SAMPLE == 0
         self.marks = np.concatenate([[0], np.cumsum(marked)]).astype(np.int64)
