@@ -37,7 +37,8 @@ Span = tuple[int, int]
 NAME_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DIGIT = re.compile(r"[0-9]")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DIGITS = re.compile(r"[0-9]+")
+DOTTED = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -56,22 +57,24 @@ def luhn(s: str) -> bool:
 
 def emails(text: str) -> Iterator[Span]:
     """Per at sign: the name characters before it, back to the previous address at most."""
-    done, at = 0, text.find("@")
+    done, at = 0, text.find("@")  # a name starts no earlier than done
     while at >= 0:
         start = done + len(text[done:at].rstrip(NAME_CHARACTERS))
         host = HOST.match(text, at) if start < at else None
+        done = at + 1
         if host:
             done = host.end()
             yield start, done
-        at = text.find("@", max(done, at + 1))
+        at = text.find("@", done)
 
 
 def addresses(text: str) -> Iterator[Span]:
     """Every four numbers of a dotted sequence are one match; those over 255 are dropped."""
     for m in DOTTED.finditer(text):
-        numbers = [x.span() for x in re.finditer(r"[0-9]+", m.group())]
+        whole = m.group()
+        numbers = [x.span() for x in DIGITS.finditer(whole)]
         for i in range(0, len(numbers) - 3, 4):
-            part = m.group()[numbers[i][0] : numbers[i + 3][1]]
+            part = whole[numbers[i][0] : numbers[i + 3][1]]
             if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or "0") <= 255 for x in part.split(".")):
                 yield m.start() + numbers[i][0], m.start() + numbers[i + 3][1]
 
