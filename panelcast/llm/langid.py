@@ -58,6 +58,8 @@ class Model:
     def __init__(self, langs: list[str], counts: list[dict[int, int]]):
         self.langs, self.tables = langs, []
         width = len(langs)
+        if not langs:
+            return
         full = [(np.fromiter(c.keys(), np.int64, len(c)), np.fromiter(c.values(), np.float64, len(c))) for c in counts]
         for order in range(ORDER + 1):
             mask = (1 << (8 * (order + 1))) - 1
