@@ -143,37 +143,47 @@ def estimate(counts: DataFrame) -> DataFrame:
     return materialize(out.union(unknown).groupBy("run").agg(F.max("logp").alias("logp"), F.max("back").alias("back")), "model")
 
 
+def key_batches(shards: int):
+    """``run, logp, back`` to numbers: length, hash, and the shards that need the value and the weight
+    (-1 for all)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [x or "" for x in batch["run"].to_pylist()]
+            lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+            whole = "".join(START * (ORDER - len(x)) + x for x in runs)
+            points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+            keys = np.choose(lengths, [k[ORDER - 1 :: ORDER] for k in run_keys(points)])
+            last = shard_numbers(points[ORDER - 1 :: ORDER], shards).astype(np.int64)
+            before = shard_numbers(points[ORDER - 2 :: ORDER], shards).astype(np.int64)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "length": np.where(batch["run"].is_null().to_numpy(zero_copy_only=False), -1, lengths),
+                    "key": keys.view(np.int64),
+                    "seen_in": np.where(lengths > 1, before, -1),
+                    "back_in": np.where(lengths > 0, last, -1),
+                    "logp": batch["logp"],
+                    "back": batch["back"],
+                }
+            )
+
+    return run
+
+
 class Shard:
-    """The runs of one shard as hash tables by length."""
+    """The runs of one shard as hash tables by length, from the columns of ``key_batches``."""
 
-    def __init__(self, number: int, shards: int, rows: list[tuple[str | None, float | None, float | None]]):
+    def __init__(self, number: int, shards: int, table: pa.Table):
         self.number, self.shards = number, shards
-        held: list[dict] = [{"seen": ([], []), "back": ([], [])} for _ in range(ORDER + 1)]
-        self.floor = self.uniform = 0.0
-        for run, logp, back in rows:
-            if run is None:
-                self.uniform = logp
-                continue
-            if run == "":
-                self.floor = back
-                continue
-            for name, value in (("seen", logp), ("back", back)):
-                if value is not None:
-                    runs, values = held[len(run)][name]
-                    runs.append(run)
-                    values.append(value)
-        self.tables = {
-            (name, length): (Lookup(self.keys(runs, length)), np.array([*values, 0.0]))
-            for length in range(1, ORDER + 1)
-            for name, (runs, values) in held[length].items()
-        }
-
-    @staticmethod
-    def keys(runs: list[str], length: int) -> np.ndarray:
-        if not runs:
-            return np.zeros(0, np.uint64)
-        points = np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-        return run_keys(points)[length][length - 1 :: length]
+        lengths, keys = (table[c].to_numpy() for c in ("length", "key"))
+        values = {"seen": table["logp"].to_numpy(), "back": table["back"].to_numpy()}
+        self.uniform = float(values["seen"][lengths == -1].sum())
+        self.floor = float(np.nansum(values["back"][lengths == 0]))
+        self.tables = {}
+        for length in range(1, ORDER + 1):
+            for name, held in values.items():
+                mine = (lengths == length) & ~np.isnan(held)
+                self.tables[name, length] = Lookup(keys[mine].view(np.uint64)), np.append(held[mine], 0.0)
 
     def owns(self, points: np.ndarray) -> np.ndarray:
         return shard_numbers(points, self.shards) == self.number
@@ -201,21 +211,14 @@ def shard_numbers(points: np.ndarray, shards: int) -> np.ndarray:
 
 
 def shards_of(model: DataFrame) -> list:
-    """Broadcast shards of a model; one at a time is on the driver."""
-    count = max(1, -(-model.count() // SHARD_ROWS))
-    before = F.when(F.col("logp").isNotNull() & (F.length("run") > 1), F.expr("substr(run, -2, 1)"))
-    last = F.when(F.col("back").isNotNull(), F.expr("substr(run, -1, 1)"))
+    """Broadcast shards of a model; one at a time is on the driver. An empty model has none."""
+    count = -(-model.count() // SHARD_ROWS)
+    numbers = "length long, key long, seen_in long, back_in long, logp double, back double"
+    keyed = model.select("run", "logp", "back").mapInArrow(key_batches(max(count, 1)), numbers)
     out = []
     for i in range(count):
-        def mine(c):
-            point = F.conv(F.hex(F.encode(c, "UTF-32BE")), 16, 10).cast("long")
-            return F.shiftright(point * 2654435761, 7) % count == i
-
-        rows = model
-        if count > 1:
-            single = F.coalesce(F.length("run"), F.lit(0)) <= 1
-            rows = model.filter(single | mine(before) | mine(last))
-        found = [tuple(x) for x in rows.select("run", "logp", "back").collect()]
+        needed = F.col("seen_in").isin(-1, i) | F.col("back_in").isin(-1, i)
+        found = keyed.filter(needed).select("length", "key", "logp", "back").toArrow()
         out.append(model.sparkSession.sparkContext.broadcast(Shard(i, count, found)))
     return out
 
@@ -231,7 +234,7 @@ def score_batches(shards: list, fields: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits: list[float | None] = [None] * len(batch)
-            for rows, texts in chunks(batch["text"].to_pylist(), SCORE_CHUNK):
+            for rows, texts in chunks(batch["text"].to_pylist() if shards else [], SCORE_CHUNK):
                 points, first = characters(texts)
                 keys = run_keys(points)
                 logp = np.zeros(len(points))
