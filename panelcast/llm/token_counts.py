@@ -160,7 +160,7 @@ def build_batches(vocabulary: str | None):
         for batch in batches:
             trees = [Tree.of_text(x.as_py() or "", counter) for x in batch["text"]]
             yield pa.RecordBatch.from_pydict(
-                {"key": batch["key"], "chars": _ints([t.chars for t in trees]), "tokens": _ints([t.tokens for t in trees])}
+                {"doc_id": batch["doc_id"], "key": batch["key"], "chars": _ints([t.chars for t in trees]), "tokens": _ints([t.tokens for t in trees])}
             )
 
     return run
@@ -196,12 +196,13 @@ def key_of(doc_id: Column, text: Column) -> Column:
 
 
 def build(df: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, chars, tokens``: the tree of every document, by a key of its id and text. Null and empty
-    texts have a tree of one empty leaf."""
+    """``doc_id, key, chars, tokens``: the tree of every document, by a key of its id and text. Null and
+    empty texts have a tree of one empty leaf."""
     small_batches(df.sparkSession)
     rows = reading(df, doc_id=doc_id, text=text)
-    rows = rows.select(key_of(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    return rows.mapInArrow(build_batches(vocabulary), "key string, chars array<int>, tokens array<int>")
+    rows = rows.select("doc_id", key_of(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(build_batches(vocabulary), f"doc_id {kind}, key string, chars array<int>, tokens array<int>")
 
 
 def apply_edits(
@@ -213,12 +214,13 @@ def apply_edits(
     in positions of the text that the ones before it left (an edit with a null position is skipped).
     Returns ``doc_id, n_tokens, n_edits, edited_tokens, edited_chars, encoded_chars, text, chars,
     tokens``; documents without edits keep their tree. Repeated documents share a tree and are edited
-    alike; a null id has no edits.
+    alike; a null id has no edits. Edits meet their trees first, so texts are shuffled once.
     """
     rows = reading(df, doc_id=doc_id, text=text).withColumn("key", key_of(F.col("doc_id"), F.col("text")))
-    kept = trees.groupBy("key").agg(F.first("chars").alias("chars"), F.first("tokens").alias("tokens"))
     wanted = edits.select("doc_id", "edits").dropDuplicates(["doc_id"])
-    met = rows.join(kept, "key").join(wanted, "doc_id", "left")
+    planned = trees.join(wanted, "doc_id", "left").groupBy("key")
+    planned = planned.agg(F.first(F.struct("chars", "tokens", "edits")).alias("plan"))
+    met = rows.join(planned, "key").select("doc_id", "text", "plan.*")
     kind = rows.schema["doc_id"].dataType.simpleString()
     numbers = "n_tokens long, n_edits long, edited_tokens long, edited_chars long, encoded_chars long"
     schema = f"doc_id {kind}, {numbers}, text string, chars array<int>, tokens array<int>"
