@@ -1,7 +1,7 @@
 """The sales facts of the test tables: which columns play date, revenue, city, store, category.
 
-Dimensions are joined by plain equi-joins. Where only sums are needed and a dimension is too
-large to broadcast, facts are summed by foreign key (and period) before the join.
+Dimensions are joined by plain equi-joins. A helper that promises facts gives every fact; one that
+promises sums or a panel always sums by foreign key (and period) before the join.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.operators.enrich import attach, shrink_before_join
+from panelcast.operators.enrich import attach, summed
 from panelcast.operators.periods import to_periods
 
 
@@ -24,21 +24,27 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def city_facts(spark: SparkSession, sf_dir: str, freq: str | None = None) -> DataFrame:
-    """``date, Revenue, City``; the nation of the customer is the city. ``freq`` allows rows to
-    be summed to that period before the join."""
+def with_city(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Rows keyed by ``o_custkey`` with ``City``, the nation of the customer."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("City"))
-    facts = order_facts(spark, sf_dir)
-    if freq is not None:
-        facts = shrink_before_join(facts, customer, ["o_custkey"], "Revenue", 2, freq)
-    facts = attach(facts, customer, "o_custkey", "c_custkey")
-    return attach(facts, nation, "c_nationkey", "n_nationkey").select("date", "Revenue", "City")
+    rows = attach(rows, customer, "o_custkey", "c_custkey")
+    return attach(rows, nation, "c_nationkey", "n_nationkey").drop("o_custkey", "c_nationkey")
+
+
+def city_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``date, Revenue, City``: one row per order."""
+    return with_city(spark, sf_dir, order_facts(spark, sf_dir))
+
+
+def city_sums(spark: SparkSession, sf_dir: str, freq: str | None = None) -> DataFrame:
+    """``Revenue, City`` (and ``date``, the period label): one row per customer (and period)."""
+    return with_city(spark, sf_dir, summed(order_facts(spark, sf_dir), ["o_custkey"], "Revenue", 2, freq))
 
 
 def city_panel(spark: SparkSession, sf_dir: str, freq: str = "MS") -> DataFrame:
     """``City, period, sales``."""
-    return to_periods(city_facts(spark, sf_dir, freq), ["City"], freq, sales_col="Revenue", scale=2)
+    return to_periods(city_sums(spark, sf_dir, freq), ["City"], freq, sales_col="Revenue", scale=2)
 
 
 def total_panel(spark: SparkSession, sf_dir: str, freq: str = "MS") -> DataFrame:
@@ -69,12 +75,11 @@ def with_store_city(spark: SparkSession, sf_dir: str, stores: DataFrame) -> Data
     return attach(stores, nation, "s_nationkey", "n_nationkey").drop("s_nationkey")
 
 
-def category_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``Category, Revenue``; the part type is the category. Sums by part before a large join."""
+def category_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``Category, Revenue``: one row per part; the part type is the category."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("Category"))
-    facts = line_facts(spark, sf_dir).select("l_partkey", "Revenue")
-    facts = shrink_before_join(facts, part, ["l_partkey"], "Revenue")
-    return attach(facts, part, "l_partkey", "p_partkey").select("Category", "Revenue")
+    sums = summed(line_facts(spark, sf_dir).select("l_partkey", "Revenue"), ["l_partkey"], "Revenue")
+    return attach(sums, part, "l_partkey", "p_partkey").select("Category", "Revenue")
 
 
 def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

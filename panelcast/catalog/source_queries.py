@@ -36,7 +36,7 @@ def table_profile(spark, sf_dir):
     SELECT count(*) AS n_rows, 4 AS n_columns, cast(min(l_shipdate) AS date) AS first_date,
            cast(max(l_shipdate) AS date) AS last_date, count(DISTINCT n_name) AS n_cities,
            count(DISTINCT l_suppkey) AS n_stores
-    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
     """,
 )
 def load_summary(spark, sf_dir):
@@ -202,18 +202,20 @@ def csv_load_periods(spark, sf_dir):
 @register("city_list", "SELECT DISTINCT n_name AS City FROM nation JOIN customer ON c_nationkey = n_nationkey "
           "JOIN orders ON o_custkey = c_custkey")
 def city_list(spark, sf_dir):
-    return summaries.distinct_sorted(stand_in.city_facts(spark, sf_dir, "YS"), "City")
+    customers = stand_in.order_facts(spark, sf_dir).select("o_custkey").distinct()
+    return summaries.distinct_sorted(stand_in.with_city(spark, sf_dir, customers), "City")
 
 
 @register(
     "city_first_seen",
     """
     SELECT n_name AS City, cast(min(o_orderdate) AS date) AS first_date
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
     """,
 )
 def city_first_seen(spark, sf_dir):
-    return summaries.distinct_first_seen(stand_in.city_facts(spark, sf_dir, "D"), "City")
+    firsts = stand_in.order_facts(spark, sf_dir).groupBy("o_custkey").agg(F.min("date").alias("date"))
+    return summaries.distinct_first_seen(stand_in.with_city(spark, sf_dir, firsts), "City")
 
 
 @register("store_count", 'SELECT count(DISTINCT l_suppkey) AS "n_Store_ID" FROM lineitem')
@@ -229,7 +231,7 @@ def store_count(spark, sf_dir):
     """,
 )
 def sales_by_city(spark, sf_dir):
-    return summaries.ranked_totals(stand_in.city_facts(spark, sf_dir, "YS"), "City", scale=2)
+    return summaries.ranked_totals(stand_in.city_sums(spark, sf_dir), "City", scale=2)
 
 
 @register(
@@ -241,7 +243,7 @@ def sales_by_city(spark, sf_dir):
     """,
 )
 def category_share(spark, sf_dir):
-    return summaries.category_share(stand_in.category_facts(spark, sf_dir), "Category")
+    return summaries.category_share(stand_in.category_sums(spark, sf_dir), "Category")
 
 
 @register(

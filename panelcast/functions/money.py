@@ -12,7 +12,8 @@ CRORE = 10_000_000
 def addable(value: Column, dtype: T.DataType, scale: int | None) -> Column:
     """``value`` ready for ``sum``: not-a-number dropped, optionally as exact decimal.
 
-    With ``scale`` the sum does not depend on row order; without it doubles are added.
+    With ``scale`` the sum does not depend on row order; without it doubles are added. An amount
+    that no decimal of 26 digits before the point holds, infinity included, fails the query.
     """
     if isinstance(dtype, T.StringType):
         value = value.try_cast("double")
@@ -20,7 +21,9 @@ def addable(value: Column, dtype: T.DataType, scale: int | None) -> Column:
     if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
         value = F.when(~F.isnan(value), value)
     if scale is not None and not isinstance(dtype, T.DecimalType):
-        value = value.try_cast(f"decimal({16 + scale},{scale})")
+        exact = value.try_cast(f"decimal({min(26 + scale, 38)},{scale})")
+        lost = F.raise_error(F.concat(F.lit("amount out of range: "), value.cast("string"))).cast(f"decimal({min(26 + scale, 38)},{scale})")
+        value = F.when(value.isNotNull() & exact.isNull(), lost).otherwise(exact)
     return value
 
 

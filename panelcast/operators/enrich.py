@@ -11,38 +11,25 @@ from panelcast.functions import money
 from panelcast.functions.calendar import period_label
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate of ``df`` is under the broadcast threshold."""
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def attach(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
-    """Inner equi-join on one key. The join strategy is the optimizer's: broadcast only under
-    its size threshold, otherwise a shuffled join whose hot partitions AQE splits."""
-    return facts.join(dim, facts[fact_key] == dim[dim_key]).drop(dim[dim_key])
+    """Equi-join on one key that keeps every fact; one without a dimension row gets nulls. The join
+    strategy is the optimizer's: a shuffled join whose hot partitions AQE splits, or a broadcast under
+    its size threshold."""
+    return facts.join(dim, facts[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
 
 
-def shrink_before_join(
+def summed(
     facts: DataFrame,
-    dim: DataFrame,
     keys: Sequence[str],
     value: str,
     scale: int | None = None,
     freq: str | None = None,
     date_col: str = "date",
 ) -> DataFrame:
-    """Facts summed to ``keys`` (and period) when the dimension is too large to broadcast.
-
-    A shuffled join would move every fact row, and all rows of a hot key to one place; after
-    the partial sums a hot key is at most one row per period. When the dimension fits a
-    broadcast, no fact row is shuffled by the join and the facts are returned unsummed.
+    """Facts summed to ``keys`` (and period): what should be joined to a dimension in place of the
+    facts where only sums are wanted. A hot key leaves each map task as one row per period.
     ``date_col`` then holds the period label.
     """
-    if fits_broadcast(dim):
-        return facts
     amount = money.addable(F.col(value), facts.schema[value].dataType, scale)
     group = list(keys)
     if freq is not None:

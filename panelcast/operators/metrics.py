@@ -48,11 +48,13 @@ def score(
 def leaderboard(
     metrics: DataFrame, keys: Sequence[str] = (), model_order: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``is_best`` (lowest MAPE; ties go to the model listed first) and display text."""
+    """Add ``is_best`` (lowest MAPE; ties go to the model listed first; none where nothing was scored)
+    and display text."""
     place = F.array_position(F.array(*[F.lit(m) for m in model_order]), F.col("model")) if model_order else F.lit(0)
     known = F.when(place > 0, place).otherwise(F.lit(len(model_order) + 1))
     spec = Window.partitionBy(*keys).orderBy(F.col("mape").asc_nulls_last(), known, "model")
-    return metrics.withColumn("is_best", F.row_number().over(spec) == 1).withColumns(
+    best = (F.row_number().over(spec) == 1) & F.col("mae").isNotNull()
+    return metrics.withColumn("is_best", best).withColumns(
         {
             "mae_text": money.in_crore(F.col("mae")),
             "rmse_text": money.in_crore(F.col("rmse")),

@@ -64,7 +64,7 @@ def year_month_pivot(
 
 def kpi_row(panel: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Number of periods, total, mean, peak value and its (earliest) period."""
-    peak = F.max(F.struct("sales", (-F.unix_date(F.col("period").cast("date"))).alias("_late"), "period"))
+    peak = F.min(F.struct((-F.col("sales")).alias("_sales"), "period"))  # of equal sales the earliest
     return panel.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_periods"),
         F.sum("sales").alias("total_sales"),
@@ -75,7 +75,7 @@ def kpi_row(panel: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         "n_periods",
         "total_sales",
         "mean_sales",
-        F.col("_peak.sales").alias("peak_sales"),
+        (-F.col("_peak._sales")).alias("peak_sales"),
         F.col("_peak.period").alias("peak_period"),
     )
 

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-_local_scratch: dict[str, str] = {}
-
-
 def build_session(app: str = "panelcast", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are designed for.
 
@@ -41,17 +37,14 @@ def build_session(app: str = "panelcast", master: str | None = None, **conf) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: the one named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without the setting; it gets a folder of its own.
+    Only a local-mode session may go without the setting; it uses the warehouse folder.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="panelcast-")
-    return _local_scratch[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,21 +17,17 @@ def read_csv_facts(spark: SparkSession, path: str, multiline: bool = False) -> D
 
     Text avoids a schema-inference pass over the data; roles are cast where they are used.
     ``multiline`` allows line breaks inside quotes, at the price of one task per file.
-    Raises when the path holds no CSV.
+    Raises when the path holds no file ending in ``.csv``.
     """
     reader = spark.read.options(
-        header=True, inferSchema=False, enforceSchema=False, escape='"', multiLine=multiline
+        header=True, inferSchema=False, enforceSchema=False, escape='"', multiLine=multiline, pathGlobFilter="*.csv"
     )
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        raise FileNotFoundError(f"no CSV file found in {path!r}")
-    if fs.getFileStatus(jvm_path).isDirectory():
-        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.csv")
-        if not fs.globStatus(pattern):
-            raise FileNotFoundError(f"no CSV file found in {path!r}")
-        reader = reader.option("pathGlobFilter", "*.csv")
-    return reader.csv(path)
+    try:
+        return reader.csv(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise FileNotFoundError(f"no CSV file found in {path!r}") from error
+        raise
 
 
 def read_parquet_facts(spark: SparkSession, path: str) -> DataFrame:

@@ -29,8 +29,8 @@ def test_has_rows(name, spark, sf_dir):
 
 
 def test_contract():
-    assert set(contract.oracle_sql()) == set(WITH_SQL)
-    assert set(contract.queries()) == set(ENTRIES)
+    assert set(contract.oracle_sql()) == set(WITH_SQL) | set(contract.LLM_SQL)
+    assert set(contract.queries()) == set(ENTRIES) | set(contract.LLM_QUERIES)
 
 
 def test_entry(spark):
