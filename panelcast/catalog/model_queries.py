@@ -37,7 +37,7 @@ def _rounded(df, digits=2, columns=("yhat", "yhat_lower", "yhat_upper", "y", "va
 
 
 def _search(series: str) -> str:
-    return seasonal_search(series, smoothing.ALPHAS, smoothing.BETAS, smoothing.GAMMAS)
+    return seasonal_search(series, (0.1, 0.3, 0.5, 0.7, 0.9), (0.05, 0.2, 0.4), (0.05, 0.2, 0.4))
 
 
 _WHOLE = f"WITH RECURSIVE panel AS ({CITY_PANEL}), series AS ({series_cte('panel')})"
@@ -174,8 +174,10 @@ def hw_fitted(spark, sf_dir):
 @register(
     "history_and_forecast",
     f"""{_WHOLE}, {_search("series")}, {_FITTED}, ahead AS ({_HW_AHEAD})
-    SELECT City, period AS ds, round(fitted, 2) AS yhat FROM panel LEFT JOIN fit USING (City, period)
-    UNION ALL SELECT City, ds, round(yhat, 2) FROM ahead
+    SELECT City, ds, round(yhat, 2) AS yhat, round(yhat * 0.92::double, 2) AS yhat_lower,
+           round(yhat * 1.08::double, 2) AS yhat_upper
+    FROM (SELECT City, period AS ds, fitted AS yhat FROM panel LEFT JOIN fit USING (City, period)
+          UNION ALL SELECT City, ds, yhat FROM ahead)
     """,
 )
 def history_and_forecast(spark, sf_dir):
@@ -189,7 +191,7 @@ def history_and_forecast(spark, sf_dir):
     "hw_full_fit_scores",
     f"""WITH RECURSIVE panel AS ({CITY_PANEL}), marked AS ({SPLIT}), series AS ({series_cte("panel")}),
       {_search("series")}, {_FITTED}
-    SELECT City, 'holt_winters' AS model, 'holt_winters' AS variant, period AS ds, sales AS y, round(fitted, 2) AS yhat
+    SELECT City, 'holt_winters' AS model, 'holt_winters' AS variant, period AS ds, sales AS y, round(fitted, 2) AS yhat, 'ok' AS status
     FROM marked JOIN fit USING (City, period) WHERE split = 'test'
     """,
 )
@@ -248,7 +250,7 @@ _ARIMA_TEST = """
 @register(
     "backtest_predictions",
     f"""{_TRAIN}, {_search("series")}, {arima_211("series")}
-    SELECT City, model, model AS variant, ds, y, round(yhat, 0) AS yhat
+    SELECT City, model, model AS variant, ds, y, round(yhat, 0) AS yhat, 'ok' AS status
     FROM ({_HW_TEST} UNION ALL {_ARIMA_TEST})
     """,
 )
@@ -353,7 +355,7 @@ def forecast_month_semijoin(spark, sf_dir):
     """,
 )
 def coverage_guard(spark, sf_dir):
-    """Sixteen forecast months cover the test part only of series without late gaps."""
+    """A short horizon covers the test part only of series without late gaps."""
     train, test, future = _train_forecasts(spark, sf_dir, 16)
     level = smoothing.fixed(train.withColumn("steps", F.lit(36)), smoothing.LEVEL, SEASON, **FIXED)
     fallback = explode_forecast(smoothing.forecast_array(level), KEYS, "MS", ["model"])
@@ -430,13 +432,13 @@ def backtest_all_models(spark, sf_dir):
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
-    facts = stand_in.city_facts(spark, sf_dir, "MS")
+    facts = stand_in.city_facts(spark, sf_dir)
     return reports.ModelComparison(facts, KEYS, sales_col="Revenue").leaderboard
 
 
 @register("dashboard_forecast")
 def dashboard_forecast(spark, sf_dir):
-    facts = stand_in.city_facts(spark, sf_dir, "M")
+    facts = stand_in.city_facts(spark, sf_dir)
     return reports.Dashboard(facts, city="NATION_7", horizon=HORIZON).forecast
 
 

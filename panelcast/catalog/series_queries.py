@@ -68,7 +68,7 @@ def period_by_store(spark, sf_dir):
 
 @register("period_city", f"SELECT period, sales FROM ({CITY_PANEL}) WHERE City = 'NATION_7'")
 def period_city(spark, sf_dir):
-    facts = stand_in.city_facts(spark, sf_dir, "MS")
+    facts = stand_in.city_facts(spark, sf_dir)
     return periods.to_periods(facts, (), "MS", {"City": "NATION_7"}, "Revenue", scale=2)
 
 

@@ -22,8 +22,10 @@ _EMPTY = "cast(array() AS array<double>)"
 
 
 def min_length(order: tuple[int, int, int]) -> int:
+    """The fewest points that leave both regressions as many rows as unknowns."""
     p, d, q = order
-    return 3 * (max(p, q) + 2 + q) + d
+    m = max(p, q) + 2
+    return d + max(1, max(2 * m, m + p + 2 * q) if q else 2 * p)
 
 
 def differenced(series: DataFrame, order: tuple[int, int, int]) -> DataFrame:
@@ -109,12 +111,13 @@ def recursion(order: tuple[int, int, int]) -> str:
 
 
 def fit(series: DataFrame, order: tuple[int, int, int] = (2, 1, 1)) -> DataFrame:
-    """Estimate every series; rows too short for the order carry a trend smoother instead.
+    """Estimate every series; rows too short for the order, or whose solve failed, carry a trend
+    smoother instead.
 
-    ``model`` tells which: only the short rows run the smoother.
+    ``model`` tells which: only those rows run the smoother.
     """
-    n = F.col("n")
-    other = F.when(n < min_length(order), smoothing.choose_kind(n, 1))
+    n, failed = F.col("n"), F.col("w").isNotNull() & F.col("coef").isNull()
+    other = F.when((n < min_length(order)) | failed, smoothing.choose_kind(n, 1))
     return (
         smoothing.smooth(estimate(series, order), 1, kind=other)
         .withColumn("model", F.coalesce("model", F.lit(MODEL)))

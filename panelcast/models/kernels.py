@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark import cloudpickle
 
 BATCH_ROWS = 1024
+CELLS = 4_000_000  # doubles in the largest array of a block, candidates included
 LOWEST, HIGHEST = 0.01, 0.99
 RIDGE = 1e-8
 MAX_ROOT = 0.98
@@ -29,16 +30,19 @@ CURVE_FIELDS = ("t0", "span", "scale", "sigma", "trend", "changes", "hinges", "s
 # --- batches --------------------------------------------------------------------------
 
 
-def by_length(values: pd.Series, *labels):
-    """Yield ``(rows, matrix, label…)`` for the non-null arrays of equal length and labels."""
+def by_length(values: pd.Series, *labels, cells=1):
+    """Yield ``(rows, matrix, label…)`` for the non-null arrays of equal length and labels. A block has
+    at most ``BATCH_ROWS`` rows and, with ``cells`` doubles of working memory a value, ``CELLS`` of them;
+    a single row is always a block."""
     groups = {}
     for i, v in enumerate(values):
         key = tuple(column.iloc[i] for column in labels)
         if v is not None and all(part is not None for part in key):
             groups.setdefault((len(v), *key), []).append(i)
-    for (_, *key), rows in groups.items():
-        for start in range(0, len(rows), BATCH_ROWS):
-            part = rows[start : start + BATCH_ROWS]
+    for (length, *key), rows in groups.items():
+        block = max(1, min(BATCH_ROWS, CELLS // max(1, length * cells)))
+        for start in range(0, len(rows), block):
+            part = rows[start : start + block]
             yield (part, np.stack([np.asarray(values.iloc[i], dtype=float) for i in part]), *key)
 
 
@@ -102,19 +106,30 @@ def around(best, half_steps):
 def search_rows(plans, m, refine):
     """Grid search, then ``refine`` passes of halving steps around the winner.
 
-    ``plans`` maps a model kind to its grid axes and half steps.
+    ``plans`` maps a model kind to its grid axes and half steps. A row whose errors are all infinite is
+    searched again with the level-only kind; ``kind`` tells which one the parameters are of.
     """
+    width = max(len(list(itertools.product(*axes))) for axes, _ in plans.values())
+
+    def search(y, name):
+        axes, half_steps = plans[name]
+        grid = np.array(list(itertools.product(*axes)))
+        best = pick(y, name, m, np.broadcast_to(grid, (len(y), *grid.shape)))
+        for i in range(refine):
+            best = pick(y, name, m, around(best, [h * 0.5**i for h in half_steps]))
+        return best
 
     def run(kind: pd.Series, ys: pd.Series) -> pd.DataFrame:
-        found = np.full((len(ys), 4), np.nan)
-        for rows, y, name in by_length(ys, kind):
-            axes, half_steps = plans[name]
-            grid = np.array(list(itertools.product(*axes)))
-            best = pick(y, name, m, np.broadcast_to(grid, (len(y), *grid.shape)))
-            for i in range(refine):
-                best = pick(y, name, m, around(best, [h * 0.5**i for h in half_steps]))
+        found, used = np.full((len(ys), 4), np.nan), kind.astype(object).copy()
+        for rows, y, name in by_length(ys, kind, cells=width):
+            best = search(y, name)
+            broken = np.flatnonzero(~np.isfinite(best[:, 0]))
+            if len(broken) and name != "ses":
+                best[broken] = search(y[broken], "ses")
+                used.iloc[np.array(rows)[broken]] = "ses"
             found[rows] = best
-        return pd.DataFrame(found, columns=["sse", "alpha", "beta", "gamma"])
+        out = pd.DataFrame(found, columns=["sse", "alpha", "beta", "gamma"])
+        return out.assign(kind=used.to_numpy())
 
     return run
 
@@ -201,7 +216,9 @@ def arma_rows(p, q):
     def run(w: pd.Series) -> pd.DataFrame:
         found = [(None, None)] * len(w)
         for rows, matrix in by_length(w):
-            raw = np.nan_to_num(two_stage(matrix, p, q), nan=0.0, posinf=0.0, neginf=0.0)
+            raw = two_stage(matrix, p, q)
+            solved = np.isfinite(raw).all(axis=1)  # a failed solve has no coefficients
+            rows, raw = np.array(rows)[solved], raw[solved]
             fixed = np.concatenate(stable(raw[:, :p], raw[:, p:]), axis=1)
             changed = ~np.isclose(fixed, raw, rtol=0, atol=1e-12).all(axis=1)
             for i, coef, flag in zip(rows, fixed, changed, strict=True):

@@ -124,13 +124,13 @@ def test_rows(series: DataFrame, keys: Sequence[str] = (), length: int = DEFAULT
 def fit(
     rows: DataFrame,
     length: int = DEFAULT_LENGTH,
-    kind: str = "gbt",
+    kind: str = "linear",
     rounds: int = ROUNDS,
     depth: int = 3,
     seed: int = SEED,
     calendar: bool = False,
-) -> SequenceModel:
-    """Train one regressor over all rows of :func:`training_rows`.
+) -> SequenceModel | None:
+    """Train one regressor over all rows of :func:`training_rows`; nothing where there are none.
 
     The rows are written once to the shared folder, so boosting rounds read a table instead of
     recomputing the panel from the facts. Boosted trees stop early on the validation rows.
@@ -139,7 +139,7 @@ def fit(
     stored = materialize(rows, "sequences").withColumn("features", inputs)
     sides = stored.agg(F.count_distinct("is_val").alias("sides")).first()["sides"]
     if sides == 0:
-        raise ValueError(f"no series has more than {length} fitted points")
+        return None
     if kind == "linear":
         learner = LinearRegression(featuresCol="features", labelCol="y")
     elif kind == "gbt":
@@ -153,9 +153,14 @@ def fit(
     return SequenceModel(length, learner.fit(stored), calendar)
 
 
+def usable(model: SequenceModel | None) -> Column:
+    """Whether a series has the history the model reads; none has, where no model could be trained."""
+    return F.lit(False) if model is None else F.col("n") >= model.length
+
+
 def predict_test(model: SequenceModel, series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """One-step predictions of the held-out periods: ``keys…, model, ds, y, yhat``."""
-    scored = model.predict(test_rows(series, keys, model.length))
+    """One-step predictions of the held-out periods of usable series: ``keys…, model, ds, y, yhat``."""
+    scored = model.predict(test_rows(series.where(usable(model)), keys, model.length))
     yhat = unscale_value(F.col("predicted"), F.col("low"), F.col("high"))
     return scored.select(*keys, F.lit(MODEL).alias("model"), "ds", "y", yhat.alias("yhat"))
 
@@ -189,9 +194,9 @@ def forecast_array(
 ) -> DataFrame:
     """Add a forecast array by feeding each prediction back as the newest value.
 
-    Series shorter than the history length are left out.
+    Series shorter than the history length are for another model (see ``usable``).
     """
-    ready = _bounds(series.where(F.col("n") >= model.length)).withColumn(
+    ready = _bounds(series.where(usable(model))).withColumn(
         "seq", F.slice(_scaled("ys"), -model.length, model.length)
     )
     last = F.col("last_period")

@@ -12,20 +12,29 @@ from panelcast.operators.split import MIN_POINTS, train_size
 
 
 def series_arrays(
-    panel: DataFrame, keys: Sequence[str] = (), target: str = "sales", order: str = "period"
+    panel: DataFrame,
+    keys: Sequence[str] = (),
+    target: str = "sales",
+    order: str = "period",
+    partitions: int | None = None,
 ) -> DataFrame:
     """``keys…, periods, ys, n, last_period``: the history as two arrays in time order.
 
     Takes a panel, never raw facts: its rows per series are bounded by the number of calendar
-    periods, so a row stays small however many facts the series was summed from. The shuffle
-    has a set number of partitions: rows are few bytes but much work, which size-based
-    coalescing would pack into too few tasks.
+    periods, so a row stays small however many facts the series was summed from. Rows are few bytes but
+    much work, which size-based coalescing would pack into too few tasks, so the shuffle has
+    ``partitions`` partitions: give a number that suits the series; the default is the session's
+    ``spark.sql.shuffle.partitions``. A null or NaN value fails the query: left out, it would shift
+    every later lag and season.
     """
     if keys:
-        panel = panel.repartition(_fan_out(panel), *keys)
+        count = partitions or int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        panel = panel.repartition(count, *keys)
     value = F.col(target).cast("double")
+    missing = F.raise_error(F.concat(F.lit("no value at "), F.col(order).cast("string"))).cast("double")
+    value = F.when(value.isNull() | F.isnan(value), missing).otherwise(value)
     points = F.sort_array(F.collect_list(F.struct(F.col(order).alias("p"), value.alias("v"))))
-    packed = panel.where(value.isNotNull() & ~F.isnan(value)).groupBy(*keys).agg(points.alias("points"))
+    packed = panel.groupBy(*keys).agg(points.alias("points"))
     return packed.where(F.size("points") > 0).select(
         *keys,
         F.col("points.p").alias("periods"),
@@ -35,13 +44,6 @@ def series_arrays(
     )
 
 
-def _fan_out(df: DataFrame) -> int:
-    """Partitions for work that is bound by computing, not by bytes."""
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, 3 * spark.sparkContext.defaultParallelism)
-
-
 def hold_out(
     series: DataFrame,
     freq: str,

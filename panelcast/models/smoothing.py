@@ -81,9 +81,12 @@ def grid_search(series: DataFrame, season: int, refine: int = 1, kind: Column |
     """
     m = int(season)
     kind = choose_kind(F.col("n"), m) if kind is None else kind
-    numbers = T.StructType([T.StructField(c, T.DoubleType()) for c in ("sse", "alpha", "beta", "gamma")])
-    search = pandas_udf(kernels.search_rows(SEARCH, m, refine), numbers)
-    return series.withColumn("model", kind).withColumn("best", search(F.col("model"), F.col("ys")))
+    fields = [T.StructField(c, T.DoubleType()) for c in ("sse", "alpha", "beta", "gamma")]
+    search = pandas_udf(
+        kernels.search_rows(SEARCH, m, refine), T.StructType([*fields, T.StructField("kind", T.StringType())])
+    )
+    found = series.withColumn("best", search(kind, F.col("ys")))
+    return found.withColumn("model", F.col("best.kind"))
 
 
 def run(series: DataFrame, season: int) -> DataFrame:
@@ -96,23 +99,9 @@ def run(series: DataFrame, season: int) -> DataFrame:
 def smooth(series: DataFrame, season: int, refine: int = 1, kind: Column | None = None) -> DataFrame:
     """Fit every series; adds ``model, best, final`` (the last state).
 
-    A series whose error is not finite falls back to the level-only model.
+    A series without a finite error falls back to the level-only model, which is searched anew.
     """
-    fitted = grid_search(series, season, refine, kind)
-    broken = F.col("best.sse") == float("inf")
-    level_only = F.struct(
-        F.col("best.sse").alias("sse"),
-        F.col("best.alpha").alias("alpha"),
-        F.lit(0.0).alias("beta"),
-        F.lit(0.0).alias("gamma"),
-    )
-    usable = fitted.withColumns(
-        {
-            "model": F.when(broken, LEVEL).otherwise(F.col("model")),
-            "best": F.when(broken, level_only).otherwise(F.col("best")),
-        }
-    )
-    return run(usable, season)
+    return run(grid_search(series, season, refine, kind), season)
 
 
 def fixed(

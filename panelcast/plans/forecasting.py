@@ -18,6 +18,7 @@ from panelcast.models.series import (
     with_horizon,
 )
 from panelcast.operators.metrics import relative_band
+from panelcast.session import materialize
 
 MODELS = ("arima", "holt_winters", "additive", "sequence")
 DEFAULT_HORIZON = 6
@@ -54,21 +55,24 @@ def backtest(
     fit_scope: str = "train",
     season: int | None = None,
     order: tuple[int, int, int] = (2, 1, 1),
-    sequence_kind: str = "gbt",
+    sequence_kind: str = "linear",
     length: int = sequence.DEFAULT_LENGTH,
     calendar: bool = False,
 ) -> DataFrame:
-    """Predictions of the held-out periods: ``keys…, model, variant, ds, y, yhat``.
+    """Predictions of the held-out periods: ``keys…, model, variant, ds, y, yhat, status``.
 
-    Every model is scored on the same dates. ``fit_scope='all'`` (smoothing and additive
-    models) fits on the whole series and reads the in-sample values of the test periods.
-    Series under five points are left out. ``calendar`` adds calendar features to the inputs of
-    the sequence model.
+    Every model is scored on the same dates; a series that a model cannot read is predicted by the
+    smoother, as ``variant`` tells. ``fit_scope='all'`` (smoothing and additive models) fits on the
+    whole series and reads the in-sample values of the test periods. A series under five points has
+    one row per model with ``status='too_short'`` and nothing to score. ``calendar`` adds calendar
+    features to the inputs of the sequence model.
     """
     names, m = _check(models), _season(season, freq)
-    series = hold_out(series_arrays(panel, keys), freq, test_ratio, fit_scope).where(
-        F.col("status") == "ok"
-    )
+    packed = series_arrays(panel, keys)
+    if len(names) > 1:
+        packed = materialize(packed, "series")  # all models read the panel once
+    marked = hold_out(packed, freq, test_ratio, fit_scope)
+    series = marked.where(F.col("status") == "ok")
     in_sample = fit_scope == "all"
     if in_sample and set(names) - {"holt_winters", "additive"}:
         raise ValueError("fit_scope='all' is for the models 'holt_winters' and 'additive'")
@@ -87,8 +91,20 @@ def backtest(
         else:
             rows = sequence.training_rows(series, keys, length)
             model = sequence.fit(rows, length, sequence_kind, calendar=calendar)
-            parts.append(_tagged(sequence.predict_test(model, series, keys), name))
-    return _union(parts)
+            if model is not None:
+                parts.append(_tagged(sequence.predict_test(model, series, keys), name))
+            rest = series.where(~sequence.usable(model))
+            parts.append(_tagged(_smoothing_test(rest, keys, freq, m, in_sample), name))
+    scored = _union(parts).withColumn("status", F.lit("ok"))
+    return scored.unionByName(_unscored(marked, keys, names, scored))
+
+
+def _unscored(marked: DataFrame, keys: Sequence[str], names: Sequence[str], like: DataFrame) -> DataFrame:
+    """A row for each model and series without a test part."""
+    label = F.explode(F.array(*[F.lit(x) for x in names])).alias("model")
+    rows = marked.where(F.col("status") != "ok").select(*keys, label, "status")
+    absent = [F.lit(None).cast(like.schema[c].dataType).alias(c) for c in ("variant", "ds", "y", "yhat")]
+    return rows.select(*keys, "model", *absent, "status")
 
 
 def _smoothing_test(series: DataFrame, keys: Sequence[str], freq: str, m: int, in_sample: bool) -> DataFrame:
@@ -111,38 +127,53 @@ def forecast(
     horizon: int = DEFAULT_HORIZON,
     season: int | None = None,
     order: tuple[int, int, int] = (2, 1, 1),
-    sequence_kind: str = "gbt",
+    sequence_kind: str = "linear",
     length: int = sequence.DEFAULT_LENGTH,
     calendar: bool = False,
     band: float = BAND,
+    history: bool = False,
 ) -> DataFrame:
     """Future periods of every series, fitted on its whole history:
     ``keys…, model, variant, ds, yhat, yhat_lower, yhat_upper``.
 
-    The additive model has its own band, the others a relative one.
+    The additive model has its own band, the others a relative one. A series that a model cannot read
+    is forecast by the smoother, as ``variant`` tells. ``history`` puts the fitted values of the
+    smoothing and additive models, with their bands, before the forecast.
     """
     names, m = _check(models), _season(season, freq)
     if horizon < 1:
         raise ValueError("horizon is at least 1")
-    series = with_horizon(series_arrays(panel, keys), horizon)
+    if history and set(names) - {"holt_winters", "additive"}:
+        raise ValueError("history is for the models 'holt_winters' and 'additive'")
+    packed = series_arrays(panel, keys)
+    if len(names) > 1:
+        packed = materialize(packed, "series")  # all models read the panel once
+    series = with_horizon(packed, horizon)
     parts = []
     for name in names:
         if name == "holt_winters":
-            fitted = smoothing.forecast_array(smoothing.smooth(series, m))
-            parts.append(_future(fitted, keys, freq, name, band))
+            fitted = smoothing.smooth(series, m)
+            parts.append(_future(smoothing.forecast_array(fitted), keys, freq, name, band))
+            if history:
+                parts.append(_past(fitted, keys, m, name, band))
         elif name == "arima":
             fitted = arima.forecast_array(arima.fit(series, order), order)
             parts.append(_future(fitted, keys, freq, name, band))
         elif name == "additive":
-            curve = additive.forecast(additive.fit(series), keys, freq, history=False)
+            curve = additive.forecast(additive.fit(series), keys, freq, history=history)
             parts.append(_tagged(curve, name))
             rest = smoothing.smooth(series.where(F.col("n") < additive.MIN_POINTS), m)
             parts.append(_future(smoothing.forecast_array(rest), keys, freq, name, band))
+            if history:
+                parts.append(_past(rest, keys, m, name, band))
         else:
             rows = sequence.training_rows(series, keys, length)
             model = sequence.fit(rows, length, sequence_kind, calendar=calendar)
-            path = sequence.forecast_array(model, series, horizon, freq).withColumn("model", F.lit(name))
-            parts.append(_future(path, keys, freq, name, band))
+            if model is not None:
+                path = sequence.forecast_array(model, series, horizon, freq).withColumn("model", F.lit(name))
+                parts.append(_future(path, keys, freq, name, band))
+            rest = smoothing.smooth(series.where(~sequence.usable(model)), m)
+            parts.append(_future(smoothing.forecast_array(rest), keys, freq, name, band))
     return _union([p.select(*_forecast_columns(keys)) for p in parts])
 
 
@@ -155,6 +186,13 @@ def _future(fitted: DataFrame, keys: Sequence[str], freq: str, name: str, band:
     return relative_band(_tagged(rows, name), share=band)
 
 
+def _past(fitted: DataFrame, keys: Sequence[str], m: int, name: str, band: float) -> DataFrame:
+    """Fitted history with its band; periods that only start the recursion have no value."""
+    rows = smoothing.fitted_values(fitted, keys, m)
+    rows = rows.select(*keys, "model", F.col("period").alias("ds"), F.col("fitted").alias("yhat"))
+    return relative_band(_tagged(rows, name), share=band)
+
+
 def fit_parameters(
     panel: DataFrame,
     keys: Sequence[str] = (),
@@ -170,7 +208,11 @@ def fit_parameters(
     if model == "arima":
         return arima.parameters(arima.fit(series, order), keys)
     if model == "additive":
-        return additive.parameters(additive.fit(series), keys)
+        curves = additive.parameters(additive.fit(series), keys)
+        rest = smoothing.smooth(series.where(F.col("n") < additive.MIN_POINTS), _season(season, freq))
+        states = smoothing.parameters(rest, keys)
+        # One table: a row has a curve, or the state of the smoother that stands in for it.
+        return curves.where(F.col("n") >= additive.MIN_POINTS).unionByName(states, allowMissingColumns=True)
     raise ValueError("parameter tables are for 'holt_winters', 'arima' and 'additive'")
 
 
@@ -187,7 +229,11 @@ def forecast_parameters(
 
     A filter on the keys of the stored table gives one city's forecast without refitting."""
     if model == "additive":
-        rows = _tagged(additive.forecast(with_horizon(params, horizon), keys, freq, history=False), model)
+        curves = with_horizon(params.where(F.col("curve").isNotNull()), horizon)
+        rows = _tagged(additive.forecast(curves, keys, freq, history=False), model)
+        states = smoothing.forecast_parameters(params.where(F.col("curve").isNull()), horizon)
+        columns = _forecast_columns(keys)
+        rows = rows.select(*columns).unionByName(_future(states, keys, freq, model, band).select(*columns))
     elif model == "arima":
         rows = _future(arima.forecast_array(with_horizon(params, horizon), order), keys, freq, model, band)
     else:
@@ -208,6 +254,7 @@ def comparison_series(
 
 
 def history_and_forecast(fitted: DataFrame, future: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Fitted history followed by the forecast: ``keys…, ds, yhat``."""
+    """Fitted history followed by the forecast, both with a relative band:
+    ``keys…, ds, yhat, yhat_lower, yhat_upper``."""
     past = fitted.select(*keys, F.col("period").alias("ds"), F.col("fitted").alias("yhat"))
-    return past.unionByName(future.select(*keys, "ds", "yhat"))
+    return relative_band(past.unionByName(future.select(*keys, "ds", "yhat")), share=BAND)

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from panelcast.functions.calendar import resolve_freq
 from panelcast.operators import metrics, summaries
 from panelcast.operators.decompose import decompose
 from panelcast.operators.features import feature_table
@@ -22,10 +23,12 @@ def exploration(
     freq: str = "MS",
     value: str = "Revenue",
     scale: int | None = 2,
-    period: int = 12,
+    period: int | None = None,
 ) -> dict[str, DataFrame]:
     """Tables behind the exploration charts: trend, city totals, category shares, decomposition
-    and the year-by-month table. City and category tables appear when the column exists."""
+    and the year-by-month table. City and category tables appear when the column exists. The season
+    of the decomposition follows the frequency unless ``period`` is given."""
+    period = resolve_freq(freq).season_length if period is None else period
     panel = to_periods(facts, keys, freq, sales_col=value, scale=scale)
     out = {
         "trend": panel,
