@@ -70,5 +70,8 @@ QUERIES = {
     "op10_ppm_language": op10_ppm_language,
 }
 SQL: dict[str, str] = {
+    "op1_ngram_jaccard": sql_text.jaccard_groups(4, 85, 100),
     "op2_warc_derivatives": sql_text.warc_derivatives(),
+    "op6_fm_decontamination": sql_text.contamination(13),
+    "op9_hash_tree": sql_text.placement(3, 2, 4, 4096),
 }
