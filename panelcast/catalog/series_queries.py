@@ -45,6 +45,29 @@ def _register_event_period(freq: str, name: str) -> None:
         )
 
 
+def _register_multiple(freq: str, label: str) -> None:
+    @register(
+        f"period_{freq.lower().replace('-', '_')}",
+        f"""
+        WITH base AS (SELECT {label.format(d="o_orderdate")} AS p, {ORDER_SUM} AS total FROM orders GROUP BY 1),
+        f AS (SELECT min(p) AS first FROM base)
+        SELECT cast({_MULTIPLES[freq]} AS date) AS period, cast(sum(total) AS double) AS sales
+        FROM base, f GROUP BY 1 HAVING sum(total) > 0
+        """,
+    )
+    def run(spark, sf_dir):
+        return stand_in.total_panel(spark, sf_dir, freq)
+
+
+_MULTIPLES = {
+    "2MS": "first + to_months((datediff('month', first, p) // 2 * 2)::int)",
+    "2W": "first + to_days((ceil(datediff('day', first, p) / 14.0) * 14)::int)",
+    "W-MON": "p",
+}
+_register_multiple("2MS", "cast(date_trunc('month', {d}) AS date)")
+_register_multiple("2W", "cast(date_trunc('week', {d}) AS date) + 6")
+_register_multiple("W-MON", "cast(date_trunc('week', cast({d} AS date) - 1) AS date) + 7")
+
 _register_event_period("15min", "period_15min")
 _register_event_period("h", "period_hour")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,42 +39,68 @@ _MONTHS_PER_STEP = {"MS": 1, "ME": 1, "QS": 3, "QE": 3, "YS": 12, "YE": 12}
 _DAYS_PER_STEP = {"D": 1, "W": 7}
 _SEASONS = {"MS": 12, "ME": 12, "QS": 4, "QE": 4, "YS": 1, "YE": 1, "W": 52, "D": 7}
 _UNIT_SECONDS = {"h": 3600, "min": 60, "s": 1}
+# Weekday codes of anchored weeks, Monday first, as next_day reads them.
+_WEEKDAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
 _DAY = 86_400
 
 
 @dataclass(frozen=True)
 class Frequency:
-    """A resolved frequency: calendar months, whole days, or seconds within a day."""
+    """A resolved frequency: calendar months, whole days, or seconds within a day.
+
+    ``multiple`` periods of ``code`` are one period; ``months`` and ``days`` are those of the whole.
+    ``weekday`` ends a week.
+    """
 
     code: str
     months: int = 0
     days: int = 0
     seconds: int = 0
+    multiple: int = 1
+    weekday: str = "SUN"
 
     @property
     def is_end_label(self) -> bool:
         return self.code in ("ME", "QE", "YE")
 
+    @property
+    def closes_right(self) -> bool:
+        """Whether a label stands at the end of its period."""
+        return self.is_end_label or self.code == "W"
+
+    @property
+    def single(self) -> Frequency:
+        """One period of the same code."""
+        n = self.multiple
+        return replace(self, months=self.months // n, days=self.days // n, multiple=1)
+
     @property
     def label(self) -> str:
-        return FREQ_LABELS.get(self.code, self.code)
+        name = FREQ_LABELS.get(self.code, self.code)
+        return name if self.multiple == 1 else f"{self.multiple} x {name}"
 
     @property
     def season_length(self) -> int:
         if self.seconds:
             return _DAY // self.seconds
-        return _SEASONS[self.code]
+        season, n = _SEASONS[self.code], self.multiple
+        return season // n if season % n == 0 else 1
 
 
 def resolve_freq(freq: str | Frequency) -> Frequency:
-    """Map a frequency string to a :class:`Frequency`; durations must divide a day."""
+    """Map a frequency string to a :class:`Frequency`: a code, a multiple of it (``2MS``), weeks that end
+    on a weekday (``W-MON``), or a duration that divides a day."""
     if isinstance(freq, Frequency):
         return freq
-    code = FREQ_ALIASES.get(freq, freq)
-    if code in _MONTHS_PER_STEP:
-        return Frequency(code, months=_MONTHS_PER_STEP[code])
-    if code in _DAYS_PER_STEP:
-        return Frequency(code, days=_DAYS_PER_STEP[code])
+    parts = re.fullmatch(r"(\d*)([A-Z]+)(?:-([A-Z]{3}))?", freq)
+    if parts:
+        n, code, day = int(parts.group(1) or 1), FREQ_ALIASES.get(parts.group(2), parts.group(2)), parts.group(3)
+        if n > 0 and (day is None or (code == "W" and day in _WEEKDAYS)):
+            if code in _MONTHS_PER_STEP:
+                return Frequency(code, months=n * _MONTHS_PER_STEP[code], multiple=n)
+            if code in _DAYS_PER_STEP:
+                return Frequency(code, days=n * _DAYS_PER_STEP[code], multiple=n, weekday=day or "SUN")
+    code = freq
     match = re.fullmatch(r"(\d*)(h|min|s)", code)
     if match:
         seconds = int(match.group(1) or 1) * _UNIT_SECONDS[match.group(2)]
@@ -84,7 +110,8 @@ def resolve_freq(freq: str | Frequency) -> Frequency:
 
 
 def period_label(ts: Column, freq: str | Frequency) -> Column:
-    """Label of the period that holds ``ts`` (a date, or a timestamp for durations)."""
+    """Label of the period that holds ``ts`` (a date, or a timestamp for durations); of the single period
+    for a multiple, whose periods depend on where a series begins (see ``regrouped``)."""
     f = resolve_freq(freq)
     if f.seconds:
         return F.window(ts.cast("timestamp_ntz"), f"{f.seconds} seconds")["start"]
@@ -102,10 +129,19 @@ def period_label(ts: Column, freq: str | Frequency) -> Column:
     if f.code == "YE":
         return F.make_date(F.year(day), F.lit(12), F.lit(31))
     if f.code == "W":
-        return F.next_day(F.date_sub(day, 1), "SUN")
+        return F.next_day(F.date_sub(day, 1), f.weekday)
     return day
 
 
+def regrouped(label: Column, first: Column, freq: str | Frequency) -> Column:
+    """The label of a multiple's period from the single period's ``label``; periods count from ``first``,
+    the first label of the series, which is a label of the multiple too."""
+    f = resolve_freq(freq)
+    steps = periods_between(first, label, f.single)
+    whole = F.ceil(steps / f.multiple) if f.closes_right else F.floor(steps / f.multiple)
+    return shift_label(first, f, whole.cast("int"))
+
+
 def shift_label(label: Column, freq: str | Frequency, steps: Column) -> Column:
     """The label ``steps`` periods after ``label``."""
     f = resolve_freq(freq)

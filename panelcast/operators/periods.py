@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions import money
-from panelcast.functions.calendar import period_label, periods_between, resolve_freq, shift_label
+from panelcast.functions.calendar import period_label, periods_between, regrouped, resolve_freq, shift_label
 from panelcast.operators.roles import detect_sales_column
 
 
@@ -38,17 +38,24 @@ def to_periods(
     The sum is a partial+final aggregate, so a key that owns a large part of the facts
     leaves each map task as one row per period. ``scale`` sums as an exact decimal with that
     many digits. Rows with a null date or key are left out. Periods that sum to zero or less
-    disappear; ``fill_gaps`` puts the missing calendar periods back as 0.
+    disappear; ``fill_gaps`` puts the missing calendar periods back as 0. The periods of a multiple such
+    as ``2W`` count from the first period of each series.
     """
     sales_col = sales_col or detect_sales_column(df.columns)
     value = money.addable(F.col(sales_col), df.schema[sales_col].dataType, scale)
-    panel = (
+    sums = (
         filter_equal(df, where)
         .dropna(subset=[date_col, *keys])
         .select(*keys, period_label(F.col(date_col), freq).alias("period"), value.alias("_value"))
         .groupBy(*keys, "period")
         .agg(F.sum("_value").alias("_total"))
-        .where(F.col("_total") > 0)
+    )
+    if resolve_freq(freq).multiple > 1:
+        first = F.min("period").over(Window.partitionBy(*keys))  # at most a row per single period
+        label = regrouped(F.col("period"), F.col("_first"), freq)
+        sums = sums.withColumn("_first", first).groupBy(*keys, label.alias("period")).agg(F.sum("_total").alias("_total"))
+    panel = (
+        sums.where(F.col("_total") > 0)
         .select(*keys, "period", F.col("_total").cast("double").alias("sales"))
     )
     return fill_period_gaps(panel, keys, freq) if fill_gaps else panel

@@ -44,7 +44,7 @@ def test_period_labels(facts, freq, expected):
 def test_durations(facts):
     got = periods.to_periods(facts, freq="6h").orderBy("period").collect()
     assert got[3]["period"] == dt.datetime(2024, 1, 31, 18) and got[3]["sales"] == 8
-    for bad in ("7h", "2D", "fortnight", "0min", "24h"):
+    for bad in ("7h", "0D", "W-ANY", "fortnight", "0min", "24h"):
         with pytest.raises(ValueError, match="unsupported frequency"):
             calendar.resolve_freq(bad)
 
@@ -158,3 +158,32 @@ def test_kpi_peak_is_the_first_of_equals(spark):
     kpi = summaries.kpi_row(panel(spark, {"a": [1, 9, 9, 2]}), ["City"]).first()
     assert (kpi["n_periods"], kpi["total_sales"], kpi["mean_sales"], kpi["peak_sales"]) == (4, 21.0, 5.25, 9.0)
     assert kpi["peak_period"] == D(2020, 2, 1)
+
+
+@pytest.mark.parametrize("freq", ["2MS", "3M", "2W", "W-MON", "2W-WED", "2QS", "2D"])
+def test_multiples_and_anchors_against_pandas(spark, freq):
+    import pandas as pd
+
+    days = [dt.date(2024, 1, 10) + dt.timedelta(days=int(k)) for k in (0, 3, 4, 5, 11, 12, 19, 40, 75, 110, 111, 260, 401)]
+    df = spark.createDataFrame([(d, float(i + 1)) for i, d in enumerate(days)], "date date, Revenue double")
+    got = {r["period"]: r["sales"] for r in periods.to_periods(df, freq=freq, sales_col="Revenue").collect()}
+    code = {"3M": "3ME"}.get(freq, freq)
+    want = pd.Series(range(1, len(days) + 1), index=pd.to_datetime(days)).resample(code).sum()
+    assert got == {k.date(): float(v) for k, v in want.items() if v > 0}
+    f = calendar.resolve_freq(freq)
+    steps = spark.createDataFrame([(min(got),)], "p date").select(calendar.shift_label(F.col("p"), f, F.lit(1)).alias("q")).first()["q"]
+    assert steps == want.index[1].date()
+
+
+def test_peak_tie_is_the_earliest_hour(spark):
+    hours = [dt.datetime(2024, 1, 1, h) for h in (2, 5, 7)]
+    panel = spark.createDataFrame([(h, s) for h, s in zip(hours, (9.0, 9.0, 1.0), strict=True)], "period timestamp_ntz, sales double")
+    assert summaries.kpi_row(panel).first()["peak_period"] == hours[0]
+
+
+def test_large_amounts_are_summed_or_fail(spark):
+    df = spark.createDataFrame([(D(2024, 1, 1), 2e16), (D(2024, 1, 2), 5.0)], "date date, Revenue double")
+    assert periods.to_periods(df, sales_col="Revenue", scale=2).first()["sales"] == 2e16 + 5
+    bad = spark.createDataFrame([(D(2024, 1, 1), float("inf"))], "date date, Revenue double")
+    with pytest.raises(Exception, match="out of range"):
+        periods.to_periods(bad, sales_col="Revenue", scale=2).collect()
