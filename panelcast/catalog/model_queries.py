@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from panelcast.catalog import facts as stand_in
@@ -369,14 +371,18 @@ _PRODUCTS = products([f"f{i}" for i in range(7)], "v")
 _STEP = " + ".join([f"x{i} * s[{i + 1}]" for i in range(6)] + ["x6"])
 
 
-@register(
-    "sequence_linear_forecast",
-    f"""WITH RECURSIVE panel AS ({CITY_PANEL}),
+def _register_sequence(name: str, **options) -> None:
+    @register(name, SEQUENCE_AHEAD)
+    def run(spark, sf_dir):
+        panel = stand_in.city_panel(spark, sf_dir)
+        return _rounded(forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, **options), 0)
+
+
+_LAGS = ", ".join(f"lag(v, {6 - i}) OVER (PARTITION BY City ORDER BY period) AS f{i}" for i in range(6))
+SEQUENCE_AHEAD = f"""WITH RECURSIVE panel AS ({CITY_PANEL}),
     bounds AS (SELECT City, min(sales) AS low, max(sales) AS high, max(period) AS last_period FROM panel GROUP BY 1),
     scaled AS (SELECT City, period, (sales - low) / (high - low) AS v FROM panel JOIN bounds USING (City)),
-    rows AS (
-      SELECT v, 1.0::double AS f6, {", ".join(f"lag(v, {6 - i}) OVER (PARTITION BY City ORDER BY period) AS f{i}" for i in range(6))}
-      FROM scaled),
+    rows AS (SELECT v, 1.0::double AS f6, {_LAGS} FROM scaled),
     weights AS ({cholesky(f"SELECT {_PRODUCTS} FROM rows WHERE f0 IS NOT NULL", 7)}),
     ahead AS (
       SELECT City, 0 AS step, list(v ORDER BY period)[-6:] AS s FROM scaled GROUP BY City
@@ -388,39 +394,175 @@ _STEP = " + ".join([f"x{i} * s[{i + 1}]" for i in range(6)] + ["x6"])
     SELECT City, 'sequence' AS model, 'sequence' AS variant, ds, round(yhat, 0) AS yhat,
            round(yhat * 0.92::double, 0) AS yhat_lower, round(yhat * 1.08::double, 0) AS yhat_upper
     FROM f
+    """
+_register_sequence("sequence_linear_forecast", sequence_kind="linear")
+_register_sequence("sequence_forecast")
+
+
+_CALENDAR = (
+    "(isodow({d}) - 1)::double", "month({d})::double", "quarter({d})::double",
+    "(month({d}) IN (3, 9, 10, 11))::int::double", "(floor(((month({d}) + 8) % 12) / 3) + 1)::double",
+)
+_CAL_ROWS = ", ".join(f"{c.format(d='period')} AS f{6 + i}" for i, c in enumerate(_CALENDAR))
+_CAL_STEP = " + ".join(
+    [f"x{i} * s[{i + 1}]" for i in range(6)] + [f"x{6 + i} * {c.format(d='ds')}" for i, c in enumerate(_CALENDAR)] + ["x11"]
+)
+
+
+@register(
+    "sequence_calendar_forecast",
+    f"""WITH RECURSIVE panel AS ({CITY_PANEL}),
+    bounds AS (SELECT City, min(sales) AS low, max(sales) AS high, max(period) AS last_period FROM panel GROUP BY 1),
+    scaled AS (SELECT City, period, (sales - low) / (high - low) AS v FROM panel JOIN bounds USING (City)),
+    rows AS (SELECT v, 1.0::double AS f11, {_LAGS}, {_CAL_ROWS} FROM scaled),
+    weights AS ({cholesky(f"SELECT {products([f'f{i}' for i in range(12)], 'v')} FROM rows WHERE f0 IS NOT NULL", 12)}),
+    ahead AS (
+      SELECT City, 0 AS step, list(v ORDER BY period)[-6:] AS s, cast(max(period) + to_months(1) AS date) AS ds
+      FROM scaled GROUP BY City
+      UNION ALL
+      SELECT City, step + 1 AS step, list_concat(s[2:6], [{_CAL_STEP}]) AS s, cast(ds + to_months(1) AS date) AS ds
+      FROM ahead, weights WHERE step < 6),
+    f AS (
+      SELECT City, cast(last_period + to_months(step::int) AS date) AS ds, s[6] * (high - low) + low AS yhat
+      FROM ahead JOIN bounds USING (City) WHERE step > 0)
+    SELECT City, 'sequence' AS model, 'sequence' AS variant, ds, round(yhat, 0) AS yhat,
+           round(yhat * 0.92::double, 0) AS yhat_lower, round(yhat * 1.08::double, 0) AS yhat_upper
+    FROM f
     """,
 )
-def sequence_linear_forecast(spark, sf_dir):
-    """One linear model over the sequences of all cities."""
+def sequence_calendar_forecast(spark, sf_dir):
     panel = stand_in.city_panel(spark, sf_dir)
-    return _rounded(forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="linear"), 0)
+    rows = forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="linear", calendar=True)
+    return _rounded(rows, 0)
+
+
+_SEQUENCE_TEST = f"""
+    bounds AS (SELECT City, min(sales) AS low, max(sales) AS high FROM train GROUP BY 1),
+    scaled AS (SELECT City, period, sales, split, low, high, (sales - low) / (high - low) AS v FROM marked JOIN bounds USING (City)),
+    rows AS (SELECT *, 1.0::double AS f6, {_LAGS} FROM scaled),
+    weights AS ({cholesky(f"SELECT {_PRODUCTS} FROM rows WHERE f0 IS NOT NULL AND split = 'train'", 7)}),
+    sequences AS (
+      SELECT City, 'sequence' AS model, period AS ds, sales AS y,
+             ({" + ".join(f"x{i} * f{i}" for i in range(7))}) * (high - low) + low AS yhat
+      FROM rows, weights WHERE split = 'test')
+"""
 
 
-# --- models without a SQL equivalent -----------------------------------------------------
+@register(
+    "sequence_holdout",
+    f"""{_TRAIN}, {_SEQUENCE_TEST}
+    SELECT City, model, ds, y, round(yhat, 0) AS yhat FROM sequences
+    """,
+)
+def sequence_holdout(spark, sf_dir):
+    series = hold_out(series_arrays(stand_in.city_panel(spark, sf_dir), KEYS), "MS")
+    model = sequence.fit(sequence.training_rows(series, KEYS))
+    return _rounded(sequence.predict_test(model, series, KEYS), 0, ("yhat",))
 
 
-@register("additive_forecast")
-def additive_forecast(spark, sf_dir):
-    return additive.forecast(additive.fit(_series(spark, sf_dir)), KEYS, "MS")
+_BOARD = f"""{_TRAIN}, {_search("series")}, {arima_211("series")}, {_SEQUENCE_TEST},
+    m AS (
+      SELECT City, model, round_even(avg(abs(y - yhat)), 0) AS mae, round_even(sqrt(avg((y - yhat) * (y - yhat))), 0) AS rmse,
+             round_even(avg(abs((y - yhat) / y)) * 100, 2) AS mape
+      FROM ({_HW_TEST} UNION ALL {_ARIMA_TEST} UNION ALL SELECT * FROM sequences) GROUP BY 1, 2)
+    SELECT *, row_number() OVER (PARTITION BY City ORDER BY mape, model) = 1 AS is_best FROM m
+    """
+_CLOSED = ["arima", "holt_winters", "sequence"]
 
 
-@register("sequence_forecast")
-def sequence_forecast(spark, sf_dir):
-    panel = stand_in.city_panel(spark, sf_dir)
-    return forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON)
+def _board(ranked):
+    ranked = ranked.drop("mae_text", "rmse_text")
+    return ranked.withColumns({"mae": F.round("mae", 0), "rmse": F.round("rmse", 0)})
 
 
-@register("sequence_calendar_forecast")
-def sequence_calendar_forecast(spark, sf_dir):
+@register("backtest_closed_models", _BOARD)
+def backtest_closed_models(spark, sf_dir):
+    """The three models that SQL can state, on one board."""
     panel = stand_in.city_panel(spark, sf_dir)
-    return forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="linear", calendar=True)
+    scores = metrics.score(forecasting.backtest(panel, KEYS, "MS", _CLOSED), KEYS)
+    return _board(metrics.leaderboard(scores, KEYS, _CLOSED))
 
 
-@register("sequence_holdout")
-def sequence_holdout(spark, sf_dir):
-    series = hold_out(series_arrays(stand_in.city_panel(spark, sf_dir), KEYS), "MS")
-    model = sequence.fit(sequence.training_rows(series, KEYS))
-    return sequence.predict_test(model, series, KEYS)
+@register("model_comparison_closed", _BOARD)
+def model_comparison_closed(spark, sf_dir):
+    facts = stand_in.city_facts(spark, sf_dir)
+    return _board(reports.ModelComparison(facts, KEYS, models=_CLOSED, sales_col="Revenue").leaderboard)
+
+
+@register(
+    "dashboard_arima_forecast",
+    f"""WITH RECURSIVE panel AS (
+      SELECT City, last_day(period) AS period, sales FROM ({CITY_PANEL}) WHERE City = 'NATION_7'),
+    series AS ({series_cte("panel")}), {arima_211("series")}
+    SELECT 'arima' AS model, 'arima' AS variant, last_day(cast(last_period + to_months(step::int) AS date)) AS ds,
+           round(level * scale, 0) AS yhat, round(level * scale * 0.92::double, 0) AS yhat_lower,
+           round(level * scale * 1.08::double, 0) AS yhat_upper
+    FROM ahead JOIN series USING (City) WHERE step BETWEEN 1 AND 6
+    """,
+)
+def dashboard_arima_forecast(spark, sf_dir):
+    facts = stand_in.city_facts(spark, sf_dir)
+    return _rounded(reports.Dashboard(facts, city="NATION_7", models=["arima"], horizon=HORIZON).forecast, 0)
+
+
+_WAVES = " + ".join(
+    f"0.01::double * {place + 1} * {trig}(d * {2 * math.pi * k / period!r}::double)"
+    for place, (trig, period, k) in enumerate(
+        (trig, period, k) for period, pairs in ((365.25, 10), (30.5, 3)) for trig in ("sin", "cos") for k in range(1, pairs + 1)
+    )
+)
+
+
+@register(
+    "additive_given_curve",
+    f"""{_WHOLE},
+    c AS (
+      SELECT City, last_period, list_max(ys) AS scale, datediff('day', DATE '1970-01-01', periods[1])::double AS t0,
+             datediff('day', periods[1], last_period)::double AS span FROM series),
+    p AS (
+      SELECT *, datediff('day', DATE '1970-01-01', ds)::double AS d
+      FROM (SELECT c.*, cast(last_period + to_months(h::int) AS date) AS ds FROM c, (SELECT unnest(range(1, 7)) AS h))),
+    v AS (
+      SELECT *, scale * (0.5::double + 0.2::double * ((d - t0) / span)
+             + 0.1::double * greatest((d - t0) / span - 0.5::double, 0) + {_WAVES}) AS yhat FROM p)
+    SELECT City, 'additive' AS model, 'additive' AS variant, ds, round(yhat, 2) AS yhat,
+           round(yhat - 0.05::double * scale * 1.2816::double, 2) AS yhat_lower,
+           round(yhat + 0.05::double * scale * 1.2816::double, 2) AS yhat_upper
+    FROM v
+    """,
+)
+def additive_given_curve(spark, sf_dir):
+    """Curve and band of stored additive parameters that are given instead of fitted."""
+    first = F.expr("unix_date(periods[0])").cast("double")
+    span = F.expr("date_diff(last_period, periods[0])").cast("double")
+    curve = F.struct(
+        first.alias("t0"),
+        span.alias("span"),
+        F.array_max("ys").alias("scale"),
+        F.lit(0.05).alias("sigma"),
+        F.array(F.lit(0.5), F.lit(0.2)).alias("trend"),
+        F.array(first + span / 2).alias("changes"),
+        F.array(F.lit(0.1)).alias("hinges"),
+        F.array(*[F.lit(0.01 * (i + 1)) for i in range(26)]).alias("season"),
+    )
+    state = [F.lit(None).cast(t).alias(c) for c, t in (("level", "double"), ("trend", "double"), ("season", "array<double>"))]
+    params = _series(spark, sf_dir).select("City", F.lit("additive").alias("model"), "n", "last_period", curve.alias("curve"), *state)
+    return _rounded(forecasting.forecast_parameters(params, KEYS, "additive"))
+
+
+# --- models without a SQL equivalent -----------------------------------------------------
+
+
+@register("additive_forecast")
+def additive_forecast(spark, sf_dir):
+    """The forecast of the whole API, so that short series have their stand-in."""
+    return forecasting.forecast(stand_in.city_panel(spark, sf_dir), KEYS, "MS", ["additive"], HORIZON)
+
+
+@register("sequence_tree_forecast")
+def sequence_tree_forecast(spark, sf_dir):
+    panel = stand_in.city_panel(spark, sf_dir)
+    return forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_kind="gbt")
 
 
 @register("backtest_all_models")
