@@ -627,3 +627,57 @@ def store_arima_forecast(spark, sf_dir):
 @register("store_additive_forecast")
 def store_additive_forecast(spark, sf_dir):
     return forecasting.forecast(_store_panel(spark, sf_dir), ["Store_ID"], "MS", ["additive"])
+
+
+# --- short series ------------------------------------------------------------------------
+
+CUSTOMERS = ["o_custkey"]
+_QUARTERS = """
+    panel AS (
+      SELECT o_custkey, cast(date_trunc('quarter', o_orderdate) AS date) AS period FROM orders
+      GROUP BY 1, 2 HAVING sum(cast(o_totalprice AS decimal(18,2))) > 0),
+    counts AS (SELECT o_custkey, count(*) AS n FROM panel GROUP BY 1),
+    models AS (SELECT unnest(['arima', 'holt_winters', 'additive', 'sequence']) AS model)"""
+
+
+def _variant(n: str) -> str:
+    """The kind that serves a quarterly series of ``n`` fitted points."""
+    smoother = f"CASE WHEN {n} >= 8 THEN 'holt_winters' WHEN {n} >= 3 THEN 'holt' ELSE 'ses' END"
+    return f"""CASE model
+        WHEN 'arima' THEN CASE WHEN {n} >= 9 THEN 'arima' WHEN {n} >= 3 THEN 'holt' ELSE 'ses' END
+        WHEN 'additive' THEN CASE WHEN {n} >= 5 THEN 'additive' ELSE {smoother} END
+        WHEN 'sequence' THEN CASE WHEN {n} >= 6 THEN 'sequence' ELSE {smoother} END
+        ELSE {smoother} END"""
+
+
+def _customer_panel(spark, sf_dir):
+    return periods.to_periods(stand_in.order_facts(spark, sf_dir), CUSTOMERS, "QS", sales_col="Revenue", scale=2)
+
+
+@register(
+    "customer_forecast_variants",
+    f"""WITH {_QUARTERS}
+    SELECT o_custkey, model, {_variant("n")} AS variant, 6::bigint AS n_rows, 6::bigint AS n_values FROM counts, models
+    """,
+)
+def customer_forecast_variants(spark, sf_dir):
+    """Every model answers for every customer, however few quarters there are."""
+    rows = forecasting.forecast(_customer_panel(spark, sf_dir), CUSTOMERS, "QS")
+    return rows.groupBy("o_custkey", "model", "variant").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("yhat").alias("n_values")
+    )
+
+
+@register(
+    "customer_backtest_status",
+    f"""WITH {_QUARTERS},
+    cuts AS (SELECT *, floor(n * (1 - 0.2::double))::bigint AS k FROM counts)
+    SELECT o_custkey, model, CASE WHEN n < 5 THEN NULL ELSE {_variant("k")} END AS variant,
+           CASE WHEN n < 5 THEN 'too_short' ELSE 'ok' END AS status, CASE WHEN n < 5 THEN 0 ELSE n - k END::bigint AS n_scored
+    FROM cuts, models
+    """,
+)
+def customer_backtest_status(spark, sf_dir):
+    """Every model is scored on the same dates; series too short to be cut say so."""
+    rows = forecasting.backtest(_customer_panel(spark, sf_dir), CUSTOMERS, "QS")
+    return rows.groupBy("o_custkey", "model", "variant", "status").agg(F.count("yhat").alias("n_scored"))

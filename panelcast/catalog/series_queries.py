@@ -10,6 +10,8 @@ from panelcast.catalog.sql_text import CITY_JOIN, CITY_PANEL, NET, ORDER_SUM, PE
 from panelcast.functions import money
 from panelcast.operators import features, metrics, periods, scale, split, summaries
 from panelcast.operators.decompose import decompose
+from panelcast.session import scratch_path
+from panelcast.sources import sinks
 
 KEYS = ["City"]
 
@@ -431,3 +433,78 @@ def relative_band(spark, sf_dir):
     return metrics.relative_band(stand_in.city_panel(spark, sf_dir), "sales", 0.08)
 
 
+
+
+# --- branches that the plain tables do not enter -------------------------------------------
+
+_SIGNED = "CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END"
+
+
+@register(
+    "period_returns",
+    f"""
+    SELECT o_custkey, cast(date_trunc('quarter', o_orderdate) AS date) AS period,
+           cast(sum(cast({_SIGNED} AS decimal(18,2))) AS double) AS sales
+    FROM orders GROUP BY 1, 2 HAVING sum(cast({_SIGNED} AS decimal(18,2))) > 0
+    """,
+)
+def period_returns(spark, sf_dir):
+    """Orders of one status count as returns, so that some periods sum to zero or less and go."""
+    orders = stand_in.table(spark, sf_dir, "orders").select(
+        "o_custkey", F.col("o_orderdate").alias("date"), F.expr(_SIGNED).alias("Revenue")
+    )
+    return periods.to_periods(orders, ["o_custkey"], "QS", sales_col="Revenue", scale=2)
+
+
+@register(
+    "metrics_zero_actuals",
+    f"""
+    WITH w AS (
+      SELECT o_custkey, cast(date_trunc('month', o_orderdate) AS date) AS period,
+             cast({ORDER_SUM} AS double) AS sales FROM orders GROUP BY 1, 2),
+    cal AS (
+      SELECT o_custkey, unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH))::date AS period
+      FROM w GROUP BY 1),
+    f AS (SELECT o_custkey, period, coalesce(sales, 0.0::double) AS y FROM cal LEFT JOIN w USING (o_custkey, period)),
+    p AS (SELECT *, lag(y, 1) OVER (PARTITION BY o_custkey ORDER BY period) AS yhat FROM f)
+    SELECT o_custkey, 'lag_1' AS model, round_even(avg(abs(y - yhat)), 6) AS mae,
+           round_even(sqrt(avg((y - yhat) * (y - yhat))), 6) AS rmse,
+           round_even(avg(CASE WHEN y <> 0 THEN abs((y - yhat) / y) END) * 100, 6) AS mape
+    FROM p WHERE yhat IS NOT NULL GROUP BY 1
+    """,
+)
+def metrics_zero_actuals(spark, sf_dir):
+    """Months without sales are zero actuals, which the percentage error leaves out."""
+    panel = periods.to_periods(
+        stand_in.order_facts(spark, sf_dir), ["o_custkey"], "MS", sales_col="Revenue", scale=2, fill_gaps=True
+    )
+    lagged = features.add_lags(panel, ["o_custkey"], (1,))
+    rows = lagged.where("lag_1 is not null").select(
+        "o_custkey", F.lit("lag_1").alias("model"), F.col("sales").alias("y"), F.col("lag_1").alias("yhat")
+    )
+    return metrics.score(rows, ["o_custkey"], digits=6)
+
+
+@register(
+    "kpi_hourly",
+    """
+    WITH p AS (
+      SELECT event_type AS Category, date_trunc('hour', ts) AS period, cast(sum(cast(value AS decimal(18,2))) AS double) AS sales
+      FROM events GROUP BY 1, 2 HAVING sum(cast(value AS decimal(18,2))) > 0)
+    SELECT Category, count(*) AS n_periods, round(sum(sales), 2) AS total_sales, round(avg(sales), 6) AS mean_sales,
+           max(sales) AS peak_sales, cast(arg_min(period, (-sales, epoch(period))) AS timestamp) AS peak_period
+    FROM p GROUP BY 1
+    """,
+)
+def kpi_hourly(spark, sf_dir):
+    panel = periods.to_periods(stand_in.event_facts(spark, sf_dir), ["Category"], "h", sales_col="Revenue", scale=2)
+    kpi = summaries.kpi_row(panel, ["Category"])
+    return kpi.withColumns({"total_sales": F.round("total_sales", 2), "mean_sales": F.round("mean_sales", 6)})
+
+
+@register("stored_panel", f"SELECT City, period, sales FROM ({CITY_PANEL})")
+def stored_panel(spark, sf_dir):
+    """The panel through the table sink, one folder per city."""
+    path = scratch_path(spark, "stored-panel")
+    sinks.write_table(stand_in.city_panel(spark, sf_dir), path, ["City"])
+    return spark.read.parquet(path).select("City", "period", "sales")
