@@ -47,13 +47,20 @@ def test_decomposition_shares_one_exchange(spark, sf_dir):
 
 
 def test_model_fit_adds_one_exchange(spark, sf_dir):
-    for name in ("hw_panel_forecast", "arima_panel_forecast", "additive_forecast"):
+    for name in ("hw_panel_forecast", "arima_panel_forecast"):
         plan = plan_of(ENTRIES[name].run(spark, sf_dir))
         assert count(plan, "Exchange hashpartitioning") == 3
         # The stand-in of a failed ARIMA solve is searched after the solve.
         assert count(plan, "ArrowEvalPython") == (2 if name == "arima_panel_forecast" else 1)
 
 
+def test_curve_and_stand_in_read_one_exchange(spark, sf_dir):
+    df = ENTRIES["additive_forecast"].run(spark, sf_dir)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert count(final, "ReusedExchange") == 1 and count(final, "Exchange hashpartitioning") - count(final, "ReusedExchange") <= 3
+
+
 def test_aggregation_is_partial_first(spark, sf_dir):
     plan = plan_of(periods.to_periods(facts.order_facts(spark, sf_dir), freq="W", sales_col="Revenue"))
     assert "partial_sum" in plan and count(plan, "Exchange") == 1
