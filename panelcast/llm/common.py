@@ -14,7 +14,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 __all__ = ["bind", "each", "gapless", "materialize", "reading", "scratch_path", "shared_dir", "small_batches", "table"]
 
-ARROW_ROWS = 1000
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +28,14 @@ def reading(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, so that a Python worker holds about a thousand texts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Bound the rows and bytes of the session's Arrow batches, so that a Python worker holds about a
+    thousand texts; smaller bounds stay."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
+    held = spark.conf.get(size)
+    if not (held.rstrip("b").isdigit() and 0 < int(held.rstrip("b")) <= ARROW_BYTES):
+        spark.conf.set(size, f"{ARROW_BYTES}b")
 
 
 def bind(value: Column, body) -> Column:

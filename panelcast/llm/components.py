@@ -16,8 +16,7 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 def _star(pairs: DataFrame, keep) -> DataFrame:
     """Edges from every neighbour ``v`` of ``u`` that ``keep`` admits to the least of the neighbours
-    and ``u``. Both join inputs are stored tables, so the partition of a hub can be split."""
-    pairs = materialize(pairs, "pairs")
+    and ``u``. Both join inputs are read from stored tables, so the partition of a hub can be split."""
     least = pairs.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
     least = materialize(least, "least")
     met = pairs.join(least, "u").filter(keep).select(F.col("v").alias("b"), F.col("m").alias("a"))

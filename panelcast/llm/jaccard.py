@@ -14,9 +14,10 @@ slack for them. A set whose slack does not suffice is indexed once more under an
 two linked sets that both fail, both reach the next seed, so no link is lost. After the last seed the empty
 segments are indexed too. Candidates share an entry; they are verified on their whole sets.
 
-Equal sets are merged first. Within one bucket of an entry only links to a pivot are tried; pivots are
-added, in growing numbers, only for buckets that still hold several components, until none is left. So
-a group of n similar documents costs about n comparisons while no link between components is lost.
+Equal sets are merged first, and groups of near copies by a first round over few entries of each set. Only
+buckets that then hold several components are compared: small ones pair by pair, crowded ones at a further
+level or in blocks. So a group of n similar documents costs about n comparisons while no link between
+components is lost.
 N-grams are compared by 64-bit hashes.
 """
 
@@ -42,12 +43,14 @@ from panelcast.llm.components import components
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BAND_GROWTH = 1.4
-CHANCE, WEIGHT = 0.3, 1000.0
-RISK, SEEDS = 0.02, 8
+CHANCE, WEIGHT = 0.3, 200.0
+RISK, SEEDS = 0.25, 12
 PARTS = 64
 BROADCAST_IDS = 1_000_000
 CHUNK = 2_000_000
-FIRST_PIVOTS, MORE_PIVOTS = 8, 8
+FEW = 8
+CROWD, LEVELS = 32, 2
+BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 512, 400_000, 8192
 
 
 @dataclass(frozen=True)
@@ -133,34 +136,33 @@ def _weak(n: int, segments: int, allocation: int) -> float:
     return segments * (none + (n * share * (1 - share) ** (n - 1) if allocation == 2 else 0.0))
 
 
-def _safe(rule: Rule, segments: int, allocation: int, n: int, hi: int) -> bool:
+def _risk(rule: Rule, segments: int, allocation: int, n: int, hi: int) -> float:
+    """Chance that a set of ``n`` elements needs a further seed."""
     spare = segments * allocation - 1 - rule.difference(n + min(hi, rule.partner(n)))
-    return spare >= 0 and _tail(_weak(n, segments, allocation), spare // allocation) < RISK
+    return _tail(_weak(n, segments, allocation), spare // allocation) if spare >= 0 else 1.0
 
 
 @functools.cache
-def layout(rule: Rule, lo: int, hi: int) -> tuple[int, int]:
-    """Segments and allocation of the band whose larger sets have ``lo`` to ``hi`` elements."""
-    best = None
-    sizes = sorted({max(1, lo * rule.num // rule.den), lo, hi})
-    for allocation in (1, 2):
-        segments = -(-(rule.difference(2 * hi) + 1) // allocation)
-        while segments < hi and not all(_safe(rule, segments, allocation, n, hi) for n in sizes):
-            segments += max(1, segments // 50)
-        held = hi / segments
-        agree = CHANCE**held
-        if allocation == 2:
-            agree += held * CHANCE ** max(held - 1, 0)
-        if not all(_safe(rule, segments, allocation, n, hi) for n in sizes):
-            agree = 1.0  # too many sets would need further seeds
-        cost = segments + (hi if allocation == 2 else 0) + WEIGHT * segments * agree
-        if best is None or cost < best[0]:
-            best = cost, segments, allocation
-    return best[1], best[2]
-
-
-def entries(grams: np.ndarray, rule: Rule) -> np.ndarray:
-    """Index entries of one set: for its own band, and for the next one if it can be the smaller there."""
+def layout(rule: Rule, lo: int, hi: int, allocations: tuple[int, ...] = (1, 2)) -> tuple[int, int]:
+    """Segments and allocation of the band whose larger sets have ``lo`` to ``hi`` elements: the cheapest
+    in entries and chance agreements, further seeds included."""
+    options, sizes = [], sorted({max(1, lo * rule.num // rule.den), lo, hi})
+    for allocation in allocations:
+        fewest = -(-(rule.difference(2 * hi) + 1) // allocation)
+        for segments in range(fewest, fewest + max(4, fewest // 2), max(1, fewest // 50)):
+            risk = max(_risk(rule, segments, allocation, n, hi) for n in sizes)
+            held = hi / segments
+            agree = CHANCE**held
+            if allocation == 2:
+                agree += held * CHANCE ** max(held - 1, 0)
+            cost = segments + (hi if allocation == 2 else 0) + WEIGHT * segments * agree
+            options.append((risk > RISK, risk if risk > RISK else cost / (1 - risk), segments, allocation))
+    return min(options)[2:]
+
+
+def entries(grams: np.ndarray, rule: Rule, level: int = 0) -> np.ndarray:
+    """Index entries of one set: for its own band, and for the next one if it can be the smaller there.
+    Every level is an index by itself; those above 0 have large segments of allocation 2."""
     n, out = len(grams), []
     if not n or rule.difference(n + rule.partner(n)) == 0:  # only equal sets link
         return grams[:0]
@@ -171,9 +173,9 @@ def entries(grams: np.ndarray, rule: Rule) -> np.ndarray:
             break
         most = rule.difference(n + min(hi, rule.partner(n)))
         if most:
-            segments, allocation = layout(rule, lo, hi)
+            segments, allocation = layout(rule, lo, hi, (2,) if level else (1, 2))
             for seed in range(SEEDS):
-                found, enough = _entries(grams, band * SEEDS + seed, segments, allocation, most, seed == SEEDS - 1)
+                found, enough = _entries(grams, (band * LEVELS + level) * SEEDS + seed, segments, allocation, most, seed == SEEDS - 1)
                 out.append(found)
                 if enough:
                     break
@@ -262,9 +264,25 @@ def set_batches(rule: Rule):
     return run
 
 
+def level_batches(rule: Rule, level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.asarray(x.values).view(np.uint64) for x in batch["grams"]]
+            found = _lists([entries(s, rule, level).view(np.int64) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["id"], "entries": found})
+
+    return run
+
+
 # --- join -----------------------------------------------------------------------------
 
 
+def involved(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets of the documents in stored ``pairs``, so that no join moves the others."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    return sets.join(hinted(materialize(ids, "involved")), "id", "left_semi")
+
+
 def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a, b`` that sizes and part sizes do not rule out."""
     a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
@@ -278,7 +296,8 @@ def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a, b`` whose sets link."""
+    """The stored pairs ``a, b`` whose sets link."""
+    sets = involved(sets, pairs)
     a = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     b = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     met = pairs.join(b, "b").join(a, "a")
@@ -295,26 +314,39 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return met.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def link_all(pairs: DataFrame, sets: DataFrame, links: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+def link_all(
+    pairs: DataFrame, sets: DataFrame, links: DataFrame, labels: DataFrame, rule: Rule
+) -> tuple[DataFrame, DataFrame]:
     """Links grown by those among ``pairs``, and the components of all links.
 
-    Two passes try each document with its first remaining pivot only, which joins most groups; a last
-    one tries whatever pairs still lie in different components.
+    A first pass tries each document with one partner only, which joins most groups; the second tries
+    whatever pairs still lie in different components.
     """
-    labels = materialize(components(links), "labels")
     pairs = materialize(plausible(pairs, sets, rule), "plausible")
-    for last in (False, False, True):
-        pairs = materialize(apart(pairs, labels), "apart")
+    for one_each in (True, False):
         if pairs.isEmpty():
             break
-        tried = pairs if last else materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried")
-        links = materialize(links.union(verified(tried, sets, rule)), "links")
-        labels = materialize(components(links), "labels")
-        if not last:
-            pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "untried")
+        tried = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried") if one_each else pairs
+        links, labels = grown(links, labels, verified(tried, sets, rule))
+        pairs = materialize(apart(pairs, labels), "apart") if one_each else pairs
     return links, labels
 
 
+def grown(links: DataFrame, labels: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    more = materialize(more, "linked")
+    if more.isEmpty():
+        return links, labels
+    links = links.union(more)
+    return links, materialize(components(links), "labels")
+
+
+def gram_tables(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
+    """``id, n, parts, grams`` of the documents in ``ids``, from their texts."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    chosen = docs.join(hinted(ids), "doc_id", "left_semi")
+    return materialize(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<int>, grams array<long>"), "sets")
+
+
 def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
@@ -322,6 +354,13 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
     link with nothing. Rows with the same id are one document: it links where any of them does.
     A null id takes part in no link and has a null component. Repeated rows give repeated results;
     other columns are not read; an empty table gives an empty result.
+
+    A first round over each set's ``FEW`` smallest entries joins most groups of near copies. The round
+    over all entries then keeps only buckets that hold several components, so such groups do not
+    come back in each of their many buckets. Buckets of more than ``CROWD`` documents, such as those of
+    a passage that many documents quote, are not compared: their documents are indexed again at the
+    next level, which is complete by itself, with large segments that such a passage seldom fills. What
+    is crowded there too, clouds of documents just short of similar, is compared in blocks.
     """
     spark = df.sparkSession
     small_batches(spark)
@@ -331,42 +370,34 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
     index = materialize(index, "index")
     known = index.filter("doc_id is not null and digest is not null")
     reps = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("id")), "reps")
+    links = same_document(known, reps)
 
-    rows = known.join(reps.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    rows = rows.select(F.col("doc_id").alias("id"), F.explode("entries").alias("entry"))
-    bucket = Window.partitionBy("entry")
-    rows = rows.select(
-        "id",
-        F.min("id").over(bucket).alias("pivot"),
-        F.max("id").over(bucket).alias("top"),
-        F.count("id").over(bucket).alias("held"),
-        F.bit_xor(F.xxhash64("id")).over(bucket).alias("mark"),
-    ).filter("pivot < top")
-    # Buckets with the same documents are one bucket.
-    members = materialize(rows.groupBy("pivot", "held", "mark", "id").agg(F.count(F.lit(1)).alias("_")).drop("_"), "members")
-    members = members.withColumn("bucket", F.struct("pivot", "held", "mark"))
-
-    ids = materialize(members.select(F.col("id").alias("doc_id")).distinct(), "ids")
-    needed = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    chosen = docs.join(needed, "doc_id", "left_semi")
-    sets = chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<int>, grams array<long>")
-    sets = materialize(sets, "sets")
-
-    first = members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).filter("a <> b").distinct()
-    links, labels = link_all(materialize(first, "first"), sets, same_document(known, reps), rule)
-    left, pivots = members.filter("id <> pivot").select("bucket", "id"), FIRST_PIVOTS
-    while True:
-        left = materialize(unresolved(left, labels), "left")
-        if left.isEmpty():
+    labels = materialize(components(links), "labels")
+    few = known.select("doc_id", "digest", F.slice("entries", 1, FEW).alias("entries"))
+    copies = known.select("doc_id", "digest").join(reps, "digest").filter("doc_id <> id")
+    copies = hinted(materialize(copies.select("doc_id", "digest").distinct(), "copies"))
+    near = materialize(shared_entries(few.join(copies, ["doc_id", "digest"], "left_anti"), labels), "near")
+    ids = materialize(near.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    sets = gram_tables(docs, ids, rule)
+    pairs = near.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    links, labels = link_all(pairs, sets, links, labels, rule)
+
+    rows = known.select("doc_id", "digest", "entries").join(copies, ["doc_id", "digest"], "left_anti")
+    members = materialize(shared_entries(rows, labels), "members")
+    more = members.select(F.col("id").alias("doc_id")).distinct().join(ids, "doc_id", "left_anti")
+    sets = sets.unionByName(gram_tables(docs, materialize(more, "more"), rule))
+    for level in range(1, LEVELS + 1):
+        links, labels = settle(members.filter(F.col("bucket.held") <= CROWD), sets, links, labels, rule)
+        crowded = materialize(members.filter(F.col("bucket.held") > CROWD).select("pivot", "id"), "crowded")
+        if crowded.isEmpty():
             break
-        order = Window.partitionBy("bucket").orderBy("id")
-        ranked = materialize(left.withColumn("rank", F.row_number().over(order)), "ranked")
-        heads = ranked.filter(F.col("rank") <= pivots).select("bucket", F.col("id").alias("a"), F.col("rank").alias("first"))
-        pairs = ranked.join(materialize(heads, "heads"), "bucket").filter("rank > first")
-        pairs = pairs.select("a", F.col("id").alias("b")).distinct()
-        links, labels = link_all(materialize(apart(pairs, labels), "more"), sets, links, rule)
-        left = ranked.filter(F.col("rank") > pivots).select("bucket", "id")
-        pivots *= MORE_PIVOTS
+        if level == LEVELS:
+            links, labels = grown(links, labels, crowd_links(crowded, sets, labels, rule))
+        else:
+            again = hinted(materialize(crowded.select("id").distinct(), "again"))
+            rows = sets.select("id", "grams").join(again, "id", "left_semi")
+            rows = rows.mapInArrow(level_batches(rule, level), f"doc_id {kind}, entries array<long>")
+            members = materialize(shared_entries(rows, labels), "members")
 
     found = reps.join(labels, reps["id"] == labels["node"], "left")
     found = materialize(found.select("digest", F.coalesce("label", "id").alias("component")), "found")
@@ -375,12 +406,117 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def block_links(rule: Rule):
+    """Links within one pair of blocks, as a forest: each document to the least of its component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, sets = table["id"].to_pylist(), [np.asarray(x.values) for x in table["grams"]]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        _, token, held = np.unique(flat, return_inverse=True, return_counts=True)
+        column = np.cumsum(held > 1) - 1
+        shared = held[token] > 1
+        column, owner = column[token[shared]], owner[shared]
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            low, high = np.searchsorted(column, [start, start + COLUMNS])
+            part = np.zeros((len(sets), COLUMNS), np.float32)
+            part[owner[low:high], column[low:high] - start] = 1
+            both += part @ part.T
+        both = both.astype(np.int64)
+        linked = both * rule.den >= (sizes[:, None] + sizes[None] - both) * rule.num
+        first = {}
+        for i in sorted(range(len(ids)), key=ids.__getitem__):
+            todo = [i] if i not in first else []
+            while todo:
+                at = todo.pop()
+                if at not in first:
+                    first[at] = i
+                    todo += [j for j in np.flatnonzero(linked[at]).tolist() if j not in first]
+        pairs = [(ids[i], ids[at]) for at, i in first.items() if ids[i] != ids[at]]
+        kind = table.schema.field("id").type
+        return pa.table({"a": pa.array([x for x, _ in pairs], kind), "b": pa.array([y for _, y in pairs], kind)})
+
+    return run
+
+
+def crowd_links(crowded: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``a, b`` that join all linked documents which share a crowded bucket.
+
+    Documents that crowded buckets tie together are dealt to blocks of bounded size; every two blocks
+    meet in one task, which counts common n-grams of all its documents at once and returns a forest.
+    Rows move once per block of their crowd, never per pair.
+    """
+    clouds = materialize(components(crowded.select(F.col("pivot").alias("a"), F.col("id").alias("b"))), "clouds")
+    clouds = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud"))
+    rows = clouds.join(labels, clouds["id"] == labels["node"], "left").select("id", "cloud", F.coalesce("label", "id").alias("label"))
+    rows = rows.join(sets.select("id", "n"), "id")
+    dense = rows.groupBy("cloud").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).alias("blocks"),
+        F.min("label").alias("x"),
+        F.max("label").alias("y"),
+    ).filter("x < y")
+    rows = clouds.join(materialize(dense.select("cloud", "blocks"), "dense"), "cloud")
+    rows = rows.select("id", "cloud", "blocks", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+    rows = sets.select("id", "grams").join(hinted(materialize(rows, "dealt")), "id")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("id", "grams", "cloud", "block", other)
+    rows = rows.select("id", "grams", "cloud", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    kind = sets.schema["id"].dataType.simpleString()
+    return rows.groupBy("cloud", "x", "y").applyInArrow(block_links(rule), f"a {kind}, b {kind}").distinct()
+
+
+def settle(
+    members: DataFrame, sets: DataFrame, links: DataFrame, labels: DataFrame, rule: Rule
+) -> tuple[DataFrame, DataFrame]:
+    """Links and components after trying all pairs that lie in one bucket of at most ``CROWD`` documents
+    and in different components."""
+    rows = materialize(unresolved(members.select("bucket", "id"), labels), "rows")
+    return link_all(between(rows), sets, links, labels, rule)
+
+
+def hinted(small: DataFrame) -> DataFrame:
+    """A stored table to join with: broadcast if its rows are few, else left to a shuffled join."""
+    return F.broadcast(small) if small.count() <= BROADCAST_IDS else small
+
+
+def shared_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket, pivot, id`` of the entries that several components share; ``pivot`` is the least id of
+    the bucket. Buckets with the same documents are one bucket."""
+    rows = rows.join(hinted(labels), rows["doc_id"] == labels["node"], "left")
+    rows = rows.select(
+        F.col("doc_id").alias("id"), F.coalesce("label", "doc_id").alias("label"), F.explode("entries").alias("entry")
+    )
+    bucket = Window.partitionBy("entry")
+    rows = rows.select(
+        "id",
+        F.min("label").over(bucket).alias("x"),
+        F.max("label").over(bucket).alias("y"),
+        F.min("id").over(bucket).alias("pivot"),
+        F.count("id").over(bucket).alias("held"),
+        F.bit_xor(F.xxhash64("id")).over(bucket).alias("mark"),
+    ).filter("x < y")
+    rows = rows.groupBy("pivot", "held", "mark", "id").agg(F.count(F.lit(1)).alias("_"))
+    return rows.select(F.struct("pivot", "held", "mark").alias("bucket"), "pivot", "id")
+
+
 def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component."""
+    """``bucket, id, label`` of the rows of buckets that hold more than one component."""
     rows = members.join(labels, members["id"] == labels["node"], "left")
-    rows = materialize(rows.select("bucket", "id", F.coalesce("label", "id").alias("label")), "labelled")
-    mixed = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    return rows.join(materialize(mixed.select("bucket"), "mixed"), "bucket", "left_semi").select("bucket", "id")
+    rows = rows.select("bucket", "id", F.coalesce("label", "id").alias("label"))
+    bucket = Window.partitionBy("bucket")
+    rows = rows.withColumns({"x": F.min("label").over(bucket), "y": F.max("label").over(bucket)})
+    return rows.filter("x <> y").select("bucket", "id", "label")
+
+
+def between(rows: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` of documents of one bucket in different components."""
+    a = rows.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"))
+    b = rows.select(F.col("bucket").alias("other"), F.col("id").alias("b"), F.col("label").alias("lb"))
+    met = a.join(b, (F.col("bucket") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")))
+    return met.select("a", "b").distinct()
 
 
 def same_document(known: DataFrame, reps: DataFrame) -> DataFrame:
