@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import decontam, jaccard, langid, packing, pii
-from panelcast.llm.common import materialize, small_batches, table
+from panelcast.llm.common import hinted, materialize, small_batches, table
 from panelcast.llm.queries import personal_data_field
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-BROADCAST_IDS = 1_000_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = groups.filter("doc_id = component_id").select("doc_id")
     ids = materialize(first.distinct(), "kept")
     n = ids.count()
-    kept = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    kept = docs.join(hinted(ids), "doc_id", "left_semi")
     if first.count() > n:
         kept = kept.dropDuplicates(["doc_id"])
     return kept.union(docs.filter("doc_id is null"))

@@ -12,9 +12,10 @@ from panelcast.session import materialize, scratch_path, shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["bind", "each", "gapless", "materialize", "reading", "scratch_path", "shared_dir", "small_batches", "table"]
+__all__ = ["bind", "each", "gapless", "hinted", "materialize", "reading", "scratch_path", "shared_dir", "small_batches", "table"]
 
 ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
+BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,12 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(size, f"{ARROW_BYTES}b")
 
 
+def hinted(small: DataFrame) -> DataFrame:
+    """A stored table of few bytes a row to join with: broadcast if its rows are few, else left to a
+    shuffled join."""
+    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+
+
 def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, also where lambdas use it per element."""
     return F.transform(F.array(value), body)[0]

@@ -37,7 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import materialize, reading, small_batches
+from panelcast.llm.common import hinted, materialize, reading, small_batches
 from panelcast.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -46,7 +46,6 @@ BAND_GROWTH = 1.4
 CHANCE, WEIGHT = 0.3, 200.0
 RISK, SEEDS = 0.25, 12
 PARTS = 64
-BROADCAST_IDS = 1_000_000
 CHUNK = 2_000_000
 FEW = 8
 CROWD, LEVELS = 32, 2
@@ -477,11 +476,6 @@ def settle(
     return link_all(between(rows), sets, links, labels, rule)
 
 
-def hinted(small: DataFrame) -> DataFrame:
-    """A stored table to join with: broadcast if its rows are few, else left to a shuffled join."""
-    return F.broadcast(small) if small.count() <= BROADCAST_IDS else small
-
-
 def shared_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``bucket, pivot, id`` of the entries that several components share; ``pivot`` is the least id of
     the bucket. Buckets with the same documents are one bucket."""

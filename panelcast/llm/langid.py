@@ -7,8 +7,9 @@ bytes, ``D`` different ones seen there); otherwise the escape ``-log2(D / (T + D
 context shortened. Below order 0 every byte costs 8 bits. The language with the shortest code of all
 words wins (the alphabetically first of equal ones); its score is its share of ``2 ** -length``.
 
-Training reads a bounded sample: the ``docs_per_lang`` documents of a language with the smallest hash
-of their id, of each at most ``doc_chars`` leading characters. Prediction reads whole texts.
+Training reads a bounded sample: the documents of a language whose hash falls in a share that holds about
+``docs_per_lang`` of them (all of a smaller language), of each at most ``doc_chars`` leading characters.
+Prediction reads whole texts.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import reading, small_batches
+from panelcast.llm.common import hinted, materialize, reading, small_batches
 from panelcast.llm.lookup import Lookup
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -172,13 +173,17 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def train(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, doc_chars: int = DOC_CHARS) -> Model:
     """Fit on ``doc_id, text, lang``; rows without text or language are left out.
 
-    What reaches the driver is bounded by languages × ``docs_per_lang`` × ``doc_chars``.
+    The sample is taken where it is read, by comparing hashes with a share per language, so no task
+    gathers a language. What reaches the driver is its distinct contexts: about languages ×
+    ``docs_per_lang`` × ``doc_chars`` at most, and no more if a row is repeated.
     """
     small_batches(labelled.sparkSession)
     known = labelled.filter("text is not null and lang is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    ranked = known.select("doc_id", "lang", F.substring("text", 1, doc_chars).alias("text"))
-    sample = ranked.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= docs_per_lang)
+    shares = known.groupBy("lang").agg((F.lit(float(docs_per_lang)) / F.count(F.lit(1))).alias("share"))
+    shares = hinted(materialize(shares, "shares").withColumnRenamed("lang", "of"))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
+    sample = known.join(shares, F.col("lang") == F.col("of")).filter(place < F.col("share"))
+    sample = sample.select("lang", F.substring("text", 1, doc_chars).alias("text"))
     counts = sample.select("lang", "text").mapInArrow(count_batches, "lang string, key long, n long")
     found: dict[str, dict[int, int]] = {}
     for lang, key, n in counts.groupBy("lang", "key").agg(F.sum("n").alias("n")).toLocalIterator():

@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import each, materialize, reading, small_batches
+from panelcast.llm.common import each, hinted, materialize, reading, small_batches
 from panelcast.llm.lookup import Lookup
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,7 +33,6 @@ ORDER = 5
 START, STOP = "\x02", "\x03"
 SHARD_ROWS = 3_000_000
 QUANTILE, FOLDS = 0.99, 5
-BROADCAST_IDS = 1_000_000
 COUNT_CHUNK, SCORE_CHUNK = 4_000_000, 1_000_000
 STEP = 0x9E3779B97F4A7C15
 
@@ -276,12 +275,11 @@ def classify(
     docs = reading(df, doc_id=doc_id, text=text, lang=lang)
     good = labels.filter("quality = 1 and toxic = 0 and doc_id is not null").select(labels["doc_id"]).distinct()
     good = materialize(good.withColumn("held_out", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0), "trusted")
-    small = good.count() <= BROADCAST_IDS
     training = good.filter("not held_out").select("doc_id")
-    shards = train(docs.join(F.broadcast(training) if small else training, "doc_id", "left_semi"))
+    shards = train(docs.join(hinted(training), "doc_id", "left_semi"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.mapInArrow(score_batches(shards, ["doc_id", "lang"]), f"doc_id {kind}, lang string, bits double")
-    scored = scored.join(F.broadcast(good) if small else good, "doc_id", "left")
+    scored = scored.join(hinted(good), "doc_id", "left")
     scored = materialize(scored.withColumn("perplexity", F.pow(F.lit(2.0), F.col("bits"))), "scored")
     held = scored.filter("held_out and perplexity is not null")
     limits = held.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own"))
