@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions import parsing
-from panelcast.operators.roles import detect_date_column
+from panelcast.operators.roles import detect_date_column, rename_date_role
 
 NUMERIC_ROLES = ("Revenue", "Sales", "Units_Sold", "Unit_Price")
 
@@ -60,7 +60,7 @@ def with_dates(
         parsed: Column = F.col(source)
     else:
         parsed = parsing.free_date(F.col(source), legacy_dayfirst)
-    return df.withColumn(source, parsed).withColumnRenamed(source, "date")
+    return rename_date_role(df.withColumn(source, parsed), source)
 
 
 def _date_from_parts(df: DataFrame, part: str, mode: str) -> DataFrame:
