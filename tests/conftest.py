@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -19,6 +19,7 @@ def spark():
             "spark.sql.shuffle.partitions": 8,
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
