@@ -207,8 +207,11 @@ def _entries(
 
 
 def parts_of(grams: np.ndarray) -> np.ndarray:
-    """Sizes of a fixed division of the set; the sum of the smaller ones bounds an intersection."""
-    return np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % PARTS, minlength=PARTS).astype(np.int32)
+    """Sizes of a fixed division of the set; the sum of the smaller ones bounds an intersection. Sets too
+    large for the sizes' two bytes have none."""
+    if len(grams) > 32767:
+        return np.zeros(0, np.int16)
+    return np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % PARTS, minlength=PARTS).astype(np.int16)
 
 
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
@@ -255,7 +258,7 @@ def set_batches(rule: Rule):
                     {
                         "id": batch["doc_id"].slice(start, len(texts)),
                         "n": pa.array([len(s) for s in sets], pa.int64()),
-                        "parts": _lists([parts_of(s) for s in sets], pa.int32()),
+                        "parts": _lists([parts_of(s) for s in sets], pa.int16()),
                         "grams": _lists([s.view(np.int64) for s in sets], pa.int64()),
                     }
                 )
@@ -283,12 +286,14 @@ def involved(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a, b`` that sizes and part sizes do not rule out."""
+    """The pairs ``a, b`` that sizes and part sizes do not rule out (sets without parts pass)."""
     a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
     b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
     met = pairs.join(a, "a").join(b, "b")
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
+    shared = F.zip_with("pa", "pb", lambda x, y: F.coalesce(F.least(x, y), F.lit(0)))
+    most = F.aggregate(shared, F.lit(0).cast("long"), lambda s, x: s + x)
+    most = F.when((F.size("pa") == 0) | (F.size("pb") == 0), small).otherwise(most)
     met = met.filter(small * rule.den >= large * rule.num)
     met = met.withColumn("most", most).filter(F.col("most") * rule.den >= (F.col("na") + F.col("nb") - F.col("most")) * rule.num)
     return met.select("a", "b").distinct()
@@ -343,7 +348,7 @@ def gram_tables(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """``id, n, parts, grams`` of the documents in ``ids``, from their texts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.join(hinted(ids), "doc_id", "left_semi")
-    return materialize(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<int>, grams array<long>"), "sets")
+    return materialize(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, grams array<long>"), "sets")
 
 
 def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -472,8 +477,10 @@ def settle(
 ) -> tuple[DataFrame, DataFrame]:
     """Links and components after trying all pairs that lie in one bucket of at most ``CROWD`` documents
     and in different components."""
-    rows = materialize(unresolved(members.select("bucket", "id"), labels), "rows")
-    return link_all(between(rows), sets, links, labels, rule)
+    rows = unresolved(members.select("bucket", "id"), labels)
+    sizes = sets.groupBy("id").agg(F.min("n").alias("low"), F.max("n").alias("high"))  # an id may have several texts
+    rows = materialize(rows.join(hinted(materialize(sizes, "sizes")), "id"), "rows")
+    return link_all(between(rows, rule), sets, links, labels, rule)
 
 
 def shared_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -505,11 +512,13 @@ def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.filter("x <> y").select("bucket", "id", "label")
 
 
-def between(rows: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of documents of one bucket in different components."""
-    a = rows.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"))
-    b = rows.select(F.col("bucket").alias("other"), F.col("id").alias("b"), F.col("label").alias("lb"))
-    met = a.join(b, (F.col("bucket") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")))
+def between(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs ``a < b`` of documents of one bucket in different components whose sizes may link."""
+    own = {"id": "{}", "label": "l{}", "low": "low{}", "high": "high{}"}
+    a = rows.select("bucket", *(F.col(c).alias(name.format("a")) for c, name in own.items()))
+    b = rows.select(F.col("bucket").alias("other"), *(F.col(c).alias(name.format("b")) for c, name in own.items()))
+    near = (F.col("higha") * rule.den >= F.col("lowb") * rule.num) & (F.col("highb") * rule.den >= F.col("lowa") * rule.num)
+    met = a.join(b, (F.col("bucket") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near)
     return met.select("a", "b").distinct()
 
 
