@@ -45,7 +45,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BAND_GROWTH = 1.4
 CHANCE, WEIGHT = 0.3, 200.0
 RISK, SEEDS = 0.25, 12
-PARTS = 64
+PARTS, FINE_PARTS, FINE_FROM = 64, 1024, 1000
 CHUNK = 2_000_000
 FEW = 8
 CROWD, LEVELS = 32, 2
@@ -206,12 +206,12 @@ def _entries(
     return np.concatenate(parts), enough
 
 
-def parts_of(grams: np.ndarray) -> np.ndarray:
+def parts_of(grams: np.ndarray, parts: int = PARTS) -> np.ndarray:
     """Sizes of a fixed division of the set; the sum of the smaller ones bounds an intersection. Sets too
     large for the sizes' two bytes have none."""
-    if len(grams) > 32767:
+    if len(grams) > 32767 or not parts:
         return np.zeros(0, np.int16)
-    return np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % PARTS, minlength=PARTS).astype(np.int16)
+    return np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % parts, minlength=parts).astype(np.int16)
 
 
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
@@ -259,6 +259,7 @@ def set_batches(rule: Rule):
                         "id": batch["doc_id"].slice(start, len(texts)),
                         "n": pa.array([len(s) for s in sets], pa.int64()),
                         "parts": _lists([parts_of(s) for s in sets], pa.int16()),
+                        "fine": _lists([parts_of(s, FINE_PARTS if len(s) >= FINE_FROM else 0) for s in sets], pa.int16()),
                         "grams": _lists([s.view(np.int64) for s in sets], pa.int64()),
                     }
                 )
@@ -285,10 +286,10 @@ def involved(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.join(hinted(materialize(ids, "involved")), "id", "left_semi")
 
 
-def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule, parts: str = "parts") -> DataFrame:
     """The pairs ``a, b`` that sizes and part sizes do not rule out (sets without parts pass)."""
-    a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
-    b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
+    a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col(parts).alias("pa"))
+    b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col(parts).alias("pb"))
     met = pairs.join(a, "a").join(b, "b")
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     shared = F.zip_with("pa", "pb", lambda x, y: F.coalesce(F.least(x, y), F.lit(0)))
@@ -327,6 +328,8 @@ def link_all(
     whatever pairs still lie in different components.
     """
     pairs = materialize(plausible(pairs, sets, rule), "plausible")
+    if not pairs.isEmpty():  # long documents need a finer division
+        pairs = materialize(plausible(pairs, involved(sets, pairs), rule, "fine"), "finer")
     for one_each in (True, False):
         if pairs.isEmpty():
             break
@@ -348,7 +351,7 @@ def gram_tables(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """``id, n, parts, grams`` of the documents in ``ids``, from their texts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.join(hinted(ids), "doc_id", "left_semi")
-    return materialize(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, grams array<long>"), "sets")
+    return materialize(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, fine array<short>, grams array<long>"), "sets")
 
 
 def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
