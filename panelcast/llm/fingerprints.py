@@ -3,9 +3,10 @@
 A text's words are hashed; a run of ``K`` words is an anchor when the smallest of its inner runs of
 ``S`` words is the first or the last of them. Whether a run is an anchor depends on its own words
 only, so equal passages give equal anchors whatever stands around them. A fingerprint lists anchors
-in text order as ``position:hash`` (word number in base 16, 32 hash bits); a text of fewer than ``K``
-words, but not none, has one anchor, the hash of all its words. Likeness is the Jaccard similarity of
-two anchor sets: 1 for equal ones, also when both are empty, and 0 when only one is empty.
+in text order as ``position:hash`` (word number in base 16, 32 hash bits); a text with words but without
+such a run (fewer than ``K`` words, or a few more by chance) has one anchor, the hash of all its words, so
+only texts without words have none. Likeness is the Jaccard similarity of two anchor sets: 1 for equal
+ones, also when both are empty, and 0 when only one is empty.
 """
 
 from __future__ import annotations
@@ -48,11 +49,8 @@ def anchors(text: Column) -> Column:
             lambda x, i: F.xxhash64(x, *(F.get(h, i + o) for o in range(1, S))),
         )
         whole = F.struct(F.lit(0).alias("at"), F.xxhash64(h).bitwiseAND(F.lit(MASK)).alias("hash"))
-        return (
-            F.when(n >= K, bind(inner, of_runs))
-            .when(n > 0, F.array(whole))
-            .otherwise(F.array(whole).cast("array<struct<at:int,hash:bigint>>"))
-        )
+        runs = F.when(n >= K, bind(inner, of_runs)).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
+        return bind(runs, lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(whole)))
 
     found = bind(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
     return F.when(F.size(words) > 0, found).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))

@@ -65,6 +65,19 @@ def test_anchors_do_not_depend_on_context(spark):
     assert found[4] == found[5] and len(found[4]) == 1 and found[6] == set()
 
 
+def test_only_texts_without_words_have_no_anchor(spark):
+    rows = [(i, " ".join(f"v{i}x{j}" for j in range(n))) for i, n in enumerate([1, 4, 5, 6, 7] * 40)] + [(-1, ""), (-2, None), (-3, " \t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()}
+    assert all((found[i] == "") == (i < 0) for i in found)
+    for i in (2, 3, 7, 8, 12, 13):
+        hand = anchors_by_hand(spark, dict(rows)[i])
+        assert [int(x.split(":")[0], 16) for x in found[i].split()] == (hand or [0])
+    apart = [r for r in fingerprints.against_edits(docs).collect() if r["doc_id"] >= 0]
+    assert all(r["near_next"] == 0 for r in apart)  # no two of these texts share a word
+    assert all(r["near_edited"] == 0 for r in apart if r["doc_id"] % 5 == 2)  # an edit changes the only run of five words
+
+
 def test_edited_texts(spark):
     texts = {3: "é" * 9, 7: "next text here", 12: "", 40: "the last of them all", 41: None}
     rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
