@@ -27,7 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KINDS = ("email", "ip", "card", "phone")
 LABELLED_ROWS = 5000  # most labelled rows that a fit reads
-REACH, LONGEST = 32, 200
+REACH = 32
+TOKENS, CELLS = 4096, 1 << 17  # tokens whose features are held at a time; padded tokens of a decoding
 ROUNDS, RATE, DECAY = 80, 0.1, 1e-3
 
 Span = tuple[int, int]
@@ -98,7 +99,7 @@ def base_spans(text: str) -> dict[str, list[Span]]:
 
 def examples(rows: int = 600, seed: int = 7) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """A small labelled table ``text, spans``: sentences around personal data in several spellings, and
-    around other numbers and signs."""
+    around other numbers and signs; in every third row a list of data of one kind."""
     r = random.Random(seed)
     words = "the of and her les une der die con para oner ation thing ver sich eau ment ciones este about".split()
 
@@ -137,21 +138,29 @@ def examples(rows: int = 600, seed: int = 7) -> list[tuple[str, list[tuple[str,
 
     cues = {"email": ["mail", "write to", ""], "phone": ["call", "tel.", "phone:", ""], "ip": ["from", "host", ""]}
     cues["card"] = ["card", "card no.", "paid with", ""]
+    made_by = {"email": email, "phone": phone, "ip": ip, "card": lambda: card(r.choice(["", " ", "-", "."]))}
     out = []
-    for _ in range(rows):
+    for row in range(rows):
         text, spans = " ".join(r.choice(words) for _ in range(r.randint(1, 4))), []
-        for _ in range(r.randint(1, 2)):
+        for _ in range(r.randint(1, 2) if row % 3 else 0):
             kind = r.choice([*KINDS, None, None])
             text += r.choice([" ", " ", ", ", "### "])
             if kind:
                 text += r.choice(cues[kind])
                 text += " " if not text.endswith(" ") else ""
-                made = {"email": email, "phone": phone, "ip": ip, "card": lambda: card(r.choice(["", " ", "-", "."]))}[kind]()
+                made = made_by[kind]()
                 spans.append((kind, len(text), len(text) + len(made)))
                 text += made
             else:
                 text += other()
             text += r.choice([" ", ", ", ". ", "### "]) + " ".join(r.choice(words) for _ in range(r.randint(1, 3)))
+        if row % 3 == 0:
+            kind, between = r.choice(KINDS), r.choice([", ", "; ", "\n", " ", " | ", " and "])
+            for i in range(r.randint(2, 4)):
+                made = card(r.choice(["", "-", "."])) if kind == "card" and between.isspace() else made_by[kind]()
+                text += between if i else r.choice([" ", "\n", ": "])
+                spans.append((kind, len(text), len(text) + len(made)))
+                text += made
         out.append((text, spans))
     return out
 
@@ -202,6 +211,17 @@ class Field:
             out[i] = self.emission[known].sum(axis=0)
         return out
 
+    def emissions(self, text: str, tokens: list[Span]) -> np.ndarray:
+        """Scores of all tokens of a stretch, whose features reach two neighbours far. As in the fit, no
+        stretch begins inside a span."""
+        out = np.zeros((len(tokens), len(LABELS)))
+        for k in range(0, len(tokens), TOKENS):
+            low = max(0, k - 2)
+            rows = features(text, tokens[low : k + TOKENS + 2])
+            out[k : k + TOKENS] = self.scores(rows[k - low : k - low + TOKENS])
+        out[:1, [i for i, x in enumerate(LABELS) if x[0] == "I"]] -= 1e4
+        return out
+
     def decode(self, sequences: list[np.ndarray]) -> list[list[int]]:
         """Best label sequences, all of a batch in step (Viterbi)."""
         if not sequences:
@@ -212,7 +232,7 @@ class Field:
         for i, s in enumerate(sequences):
             scores[i, : len(s)] = s
         best = scores[:, 0]
-        back = np.zeros((size, longest, len(LABELS)), np.int64)
+        back = np.zeros((size, longest, len(LABELS)), np.int8)
         for t in range(1, longest):
             options = best[:, :, None] + self.transition[None]
             back[:, t] = options.argmax(axis=1)
@@ -286,20 +306,27 @@ def fit_rows(rows: list[tuple[str, list[tuple[str, int, int]]]]) -> Field:
 
 # --- finding --------------------------------------------------------------------------
 
+SPACE = re.compile(r"\s")
 MARK = re.compile(r"[0-9@]+|[\[({<]\s?(?:at|dot)\s?[\])}>]", re.IGNORECASE)
 
 
 def windows(text: str) -> Iterator[Span]:
-    """Surroundings of the marks, overlapping ones joined."""
+    """Surroundings of the marks, out to the next white space, overlapping ones joined."""
     start = end = -1
     for m in MARK.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if a <= end:
-            end = b
+        a, b = m.start() - REACH, m.end() + REACH
+        if a > end:  # back over the word that the edge divides, to the window before at most
+            before = text[max(0, end) : a]
+            a -= len(before.rsplit(None, 1)[-1]) if before and not before[-1].isspace() else 0
+        if b > end:
+            space = SPACE.search(text, b)
+            b = space.start() if space else len(text)
+        if end >= 0 and a <= end:
+            end = max(end, b)
         else:
             if end >= 0:
                 yield start, end
-            start, end = a, b
+            start, end = max(0, a), b
     if end >= 0:
         yield start, end
 
@@ -322,13 +349,16 @@ def added_spans(texts: list[str], base: list[dict[str, list[Span]]], field: Fiel
     held = []
     for i, text in enumerate(texts):
         for a, b in windows(text):
-            tokens = [m.span() for m in TOKEN.finditer(text, a, b)]
-            # A longer stretch is read in parts.
-            held += [(i, tokens[k : k + LONGEST]) for k in range(0, len(tokens), LONGEST)]
+            held.append((i, [m.span() for m in TOKEN.finditer(text, a, b)]))
     held.sort(key=lambda x: len(x[1]))
-    for k in range(0, len(held), 256):
-        part = held[k : k + 256]
-        paths = field.decode([field.scores(features(texts[i], tokens)) for i, tokens in part])
+    k = 0
+    while k < len(held):  # a stretch is decoded whole, long ones a few at a time
+        n = 1
+        while n < 256 and k + n < len(held) and (n + 1) * len(held[k + n][1]) <= CELLS:
+            n += 1
+        part = held[k : k + n]
+        k += n
+        paths = field.decode([field.emissions(texts[i], tokens) for i, tokens in part])
         for (i, tokens), path in zip(part, paths, strict=True):
             for kind, a, b in joined(tokens, path):
                 if sound(kind, texts[i][a:b]) and not any(a < y and x < b for s in base[i].values() for x, y in s):

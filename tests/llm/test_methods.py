@@ -181,6 +181,39 @@ def test_field_reads_unseen_rows():
     assert not any(s for _, s in pii.find(["in 1999 about 25 of 3,400 (see 12.5) units", "version 2.10.3 at 10:30"], field))
 
 
+def test_long_lists_and_names_are_read_whole():
+    field = pii.fit_rows(pii.examples())
+    made = {"phone": "(499) 555-6503", "email": "joe [at] example [dot] com"}
+    for (kind, x), between in itertools.product(made.items(), (", ", "; ", " and ")):
+        step = len(x) + len(between)
+        found = pii.find(["call " + between.join([x] * 150)], field)[0][1]
+        assert found == [(kind, 5 + i * step, 5 + i * step + len(x)) for i in range(150)]
+    name = "avery" * 12
+    assert pii.find([f"write to {name} [at] example [dot] com now"], field)[0][1] == [("email", 9, 9 + 60 + 23)]
+    assert pii.find(["(499) 555-6503"], field)[0][1] == [("phone", 0, 14)]
+
+
+def test_stretches_are_whole_words():
+    rng = random.Random(4)
+    for _ in range(500):
+        text = "".join(rng.choice(["a" * rng.randint(1, 60), " ", " ", "7", "@", "(at)", "\n"]) for _ in range(rng.randint(0, 12)))
+        found = list(pii.windows(text))
+        for a, b in found:
+            assert (a == 0 or text[a - 1].isspace() or text[a].isspace()) and (b == len(text) or text[b].isspace())
+        assert all(b < c for (_, b), (c, _) in itertools.pairwise(found))
+        for m in pii.MARK.finditer(text):
+            assert any(a <= max(0, m.start() - pii.REACH) and min(len(text), m.end() + pii.REACH) <= b for a, b in found)
+
+
+def test_emissions_do_not_depend_on_the_parts(monkeypatch):
+    field = pii.fit_rows(pii.examples(60))
+    text = "call +1 (234) 555-1234 or (499) 555-6503, " * 9
+    tokens = [m.span() for m in pii.TOKEN.finditer(text)]
+    whole = field.emissions(text, tokens)
+    monkeypatch.setattr(pii, "TOKENS", 7)
+    assert np.array_equal(field.emissions(text, tokens), whole)
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(0)
     field = pii.Field({}, np.zeros((0, len(pii.LABELS))), rng.normal(size=(len(pii.LABELS),) * 2))
