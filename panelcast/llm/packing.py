@@ -13,6 +13,8 @@ no shuffle. What a block cannot fill it cuts at powers of two, which need no pad
 from __future__ import annotations
 
 import base64
+import json
+import os
 import sys
 import zlib
 from collections.abc import Iterator
@@ -32,15 +34,42 @@ CHUNK = 8_000_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
-def encoding(vocabulary: str | None = None):
+class Encoder:
+    """Ids as ``tokenizers`` gives them with ``add_special_tokens=False``: an added token in a text is one
+    id, and what stands around it is encoded by itself."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, added: dict[str, int]):
+        import tiktoken
+
+        self.inner = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        return self.inner.encode(text, allowed_special="all")
+
+    def encode_to_numpy(self, text: str) -> np.ndarray:
+        return self.inner.encode_to_numpy(text, allowed_special="all")
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens and their ids in a ``tokenizers`` file, if there is one."""
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    if odd := [x["content"] for x in listed if x["single_word"] or x["lstrip"] or x["rstrip"]]:
+        raise ValueError(f"added tokens that take in or depend on their surroundings: {odd}")
+    return {x["content"]: x["id"] for x in listed}
+
+
+def encoding(vocabulary: str | None = None) -> Encoder:
     """The byte-level BPE over the ranks in ``vocabulary`` (a path, by default that of the installed
-    file); its ids are those of the same vocabulary in ``byte_bpe_50k.json``."""
+    file), with the added tokens of the ``.json`` file beside it; its ids are those of that file."""
     import public_tokenizers
-    import tiktoken
 
-    with open(vocabulary or public_tokenizers.path(VOCABULARY), "rb") as lines:
+    vocabulary = str(vocabulary or public_tokenizers.path(VOCABULARY))
+    with open(vocabulary, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return Encoder(ranks, public_tokenizers.PATTERN, added_tokens(os.path.splitext(vocabulary)[0] + ".json"))
 
 
 def fill(vectors: np.ndarray, limits: np.ndarray, cut: bool = False) -> list[list[tuple[int, int, int]]]:
@@ -170,8 +199,8 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
-    A document is its ids, special strings being ordinary text, and the id 1; a null text is only that
-    id. Every id lies in one piece; a sequence has at most ``length`` ids and ``segments`` pieces, and is
+    A document is its ids, an added token of the vocabulary being one of them, and the id 1; a null text
+    is only that id. Every id lies in one piece; a sequence has at most ``length`` ids and ``segments`` pieces, and is
     full or has a power of two of ids. Sequence ids are unique, not consecutive: partition and number
     within it. Repeated rows are packed as often; an empty table gives an empty result.
     """

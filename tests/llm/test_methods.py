@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -247,6 +248,25 @@ def test_vocabularies_agree():
         assert whole.encode(text, add_special_tokens=False).ids == ours.encode_ordinary(text) == ours.encode_to_numpy(text).tolist()
 
 
+def test_added_tokens_agree(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ours = packing.encoding()
+    rng = random.Random(3)
+    pieces = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "<", " ", "  ", "\n", "a", "é", "the end", "'s", "12", "😀"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    for text in texts:
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert want == ours.encode_ordinary(text) == ours.encode_to_numpy(text).tolist()
+    rows = packing.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for r in rows.collect():
+        ids = np.array([*whole.encode(texts[r["doc_id"]], add_special_tokens=False).ids, packing.END], "<u4")
+        assert r["doc_tokens"] == len(ids)
+        assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 150), max_size=40), st.integers(1, 9))
 def test_pack_places_every_token_once(lengths, segments):
