@@ -8,8 +8,7 @@ context shortened. Below order 0 every byte costs 8 bits. The language with the
 words wins (the alphabetically first of equal ones); its score is its share of ``2 ** -length``.
 
 Training reads a bounded sample: the documents of a language whose hash falls in a share that holds about
-``docs_per_lang`` of them (all of a smaller language), of each at most ``doc_chars`` leading characters.
-Prediction reads whole texts.
+``docs_per_lang`` of them (all of a smaller language). Training and prediction read whole texts.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from panelcast.llm.lookup import Lookup
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = 4
-DOCS_PER_LANG, DOC_CHARS = 400, 16_384
+DOCS_PER_LANG = 400
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 CHUNK, CACHED = 1_000_000, 400_000
@@ -170,12 +169,12 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_pydict({"lang": [lang] * len(keys), "key": keys, "n": n.astype(np.int64)})
 
 
-def train(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, doc_chars: int = DOC_CHARS) -> Model:
+def train(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> Model:
     """Fit on ``doc_id, text, lang``; rows without text or language are left out.
 
     The sample is taken where it is read, by comparing hashes with a share per language, so no task
-    gathers a language. What reaches the driver is its distinct contexts: about languages ×
-    ``docs_per_lang`` × ``doc_chars`` at most, and no more if a row is repeated.
+    gathers a language. Whole texts are counted where they are read; what reaches the driver is the
+    sample's distinct contexts, and no more if a row is repeated.
     """
     small_batches(labelled.sparkSession)
     known = labelled.filter("text is not null and lang is not null")
@@ -183,7 +182,6 @@ def train(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, doc_chars: in
     shares = hinted(materialize(shares, "shares").withColumnRenamed("lang", "of"))
     place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
     sample = known.join(shares, F.col("lang") == F.col("of")).filter(place < F.col("share"))
-    sample = sample.select("lang", F.substring("text", 1, doc_chars).alias("text"))
     counts = sample.select("lang", "text").mapInArrow(count_batches, "lang string, key long, n long")
     found: dict[str, dict[int, int]] = {}
     for lang, key, n in counts.groupBy("lang", "key").agg(F.sum("n").alias("n")).toLocalIterator():

@@ -327,6 +327,18 @@ def test_code_lengths_by_definition():
         assert row == pytest.approx([bits(lang, w) for lang in texts], rel=1e-5)
 
 
+def test_whole_texts_are_learned(spark):
+    texts = {"x": "abab ab " * 5000 + "zqxj vw", "y": "cba cb"}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(texts.items())]
+    got = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = []
+    for t in texts.values():
+        keys, n = np.unique(langid.symbols(t.split())[0], return_counts=True)
+        counts.append(dict(zip(keys.tolist(), n.tolist(), strict=True)))
+    words = ["zqxj", "vw", "ab", "cb"]
+    assert np.allclose(got.of_words(words), langid.Model(list(texts), counts).of_words(words))
+
+
 def test_held_out_languages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = langid.learn_and_identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
