@@ -131,17 +131,23 @@ def at_powers(content: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, i
         yield out
 
 
-def pack(tokens: list[np.ndarray], length: int = LENGTH, segments: int = SEGMENTS) -> list[list[tuple[int, int, int]]]:
+def pack(
+    tokens: list[np.ndarray], length: int = LENGTH, segments: int = SEGMENTS, loss: int | None = None
+) -> list[list[tuple[int, int, int]]]:
     """Sequences of ``(example, start, length)`` covering every token of every example once. Of a
-    document's tokens all but the first bear loss."""
+    document's tokens all but the first bear loss; a sequence has at most ``loss`` such tokens (by default
+    ``length``, which never binds)."""
+    loss = length if loss is None else loss
+    if loss < 1:
+        raise ValueError("a sequence needs room for one loss-bearing token")
     sequences, rest = [], []
     for i, ids in enumerate(tokens):
-        whole = len(ids) // length * length
+        whole = len(ids) // length * length if loss >= length else 0
         sequences += [[(i, at, length)] for at in range(0, whole, length)]
         if len(ids) > whole:
             rest.append((i, whole, len(ids) - whole))
     vectors = np.array([[n, 1, n if at else n - 1] for _, at, n in rest], np.float64)
-    for content in fill(vectors, np.array([length, segments, length]), cut=True):
+    for content in fill(vectors, np.array([length, segments, loss]), cut=True):
         content = [(rest[k][0], rest[k][1] + at, n) for k, at, n in content]
         if sum(n for _, _, n in content) == length:
             sequences.append(content)
@@ -161,13 +167,13 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield start, [y or "" for y in texts[start:]]
 
 
-def pack_batches(fields: list[str], vocabulary: str | None, length: int, segments: int):
+def pack_batches(fields: list[str], vocabulary: str | None, length: int, segments: int, loss: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sequence = encoding(vocabulary), TaskContext.get().partitionId() << 32
         for batch in batches:
             for first, texts in chunks(batch["text"].to_pylist()):
                 tokens = [np.append(encoder.encode_to_numpy(x), np.uint32(END)).astype("<u4") for x in texts]
-                sequences = pack(tokens, length, segments)
+                sequences = pack(tokens, length, segments, loss)
                 pieces = [(s, i, at, n) for s, content in enumerate(sequences) for i, at, n in content]
                 number, doc, at, n = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
                 ends = np.cumsum(n)
@@ -196,16 +202,18 @@ def pack_documents(
     vocabulary: str | None = None,
     length: int = LENGTH,
     segments: int = SEGMENTS,
+    loss: int | None = None,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     A document is its ids, an added token of the vocabulary being one of them, and the id 1; a null text
-    is only that id. Every id lies in one piece; a sequence has at most ``length`` ids and ``segments`` pieces, and is
-    full or has a power of two of ids. Sequence ids are unique, not consecutive: partition and number
+    is only that id. Every id lies in one piece; a sequence has at most ``length`` ids, ``segments`` pieces and
+    ``loss`` loss-bearing ids (all but a document's first; by default not bounded), and is full or has a
+    power of two of ids. Sequence ids are unique, not consecutive: partition and number
     within it. Repeated rows are packed as often; an empty table gives an empty result.
     """
     small_batches(df.sparkSession)
     rows = reading(df, doc_id=doc_id, text=text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return rows.mapInArrow(pack_batches(["doc_id"], vocabulary, length, segments), schema)
+    return rows.mapInArrow(pack_batches(["doc_id"], vocabulary, length, segments, loss), schema)

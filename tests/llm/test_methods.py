@@ -279,6 +279,18 @@ def test_pack_places_every_token_once(lengths, segments):
         assert len(content) <= segments and (size == 64 or size & (size - 1) == 0)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 150), max_size=40), st.integers(1, 9), st.integers(1, 70))
+def test_pack_holds_the_loss_limit(lengths, segments, loss):
+    sequences = packing.pack([np.arange(n) for n in lengths], length=64, segments=segments, loss=loss)
+    held = sorted((i, at + k) for content in sequences for i, at, n in content for k in range(n))
+    assert held == sorted((i, k) for i, n in enumerate(lengths) for k in range(n))
+    for content in sequences:
+        size = sum(n for _, _, n in content)
+        assert len(content) <= segments and (size == 64 or size & (size - 1) == 0)
+        assert sum(n - (at == 0) for _, at, n in content) <= loss
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 100), st.just(1), st.integers(0, 50)), max_size=40))
 def test_uncut_bins_hold_their_limits(rows):
