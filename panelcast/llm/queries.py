@@ -4,7 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import decontam, fingerprints, jaccard, langid, packing, pii, quality, sharding, sql_text, token_counts, warc
+from panelcast.llm import (
+    bpe,
+    decontam,
+    fingerprints,
+    jaccard,
+    langid,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    ranked_search,
+    sharding,
+    sql_search,
+    sql_text,
+    token_counts,
+    warc,
+)
 from panelcast.llm.common import table
 
 SHARDS = 24
@@ -57,6 +73,18 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.learn_and_identify(table(spark, sf_dir, "documents"))
 
 
+def op11_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_warc_derivatives": op2_warc_derivatives,
@@ -68,10 +96,15 @@ QUERIES = {
     "op8_vector_packing": op8_vector_packing,
     "op9_hash_tree": op9_hash_tree,
     "op10_ppm_language": op10_ppm_language,
+    "op11_geometric_blocks": op11_geometric_blocks,
+    "op12_prefix_bpe": op12_prefix_bpe,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 SQL: dict[str, str] = {
     "op1_ngram_jaccard": sql_text.jaccard_groups(4, 85, 100),
     "op2_warc_derivatives": sql_text.warc_derivatives(),
     "op6_fm_decontamination": sql_text.contamination(13),
     "op9_hash_tree": sql_text.placement(3, 2, 4, 4096),
+    "op11_geometric_blocks": sql_search.ranked(),
+    "op13_prefix_trie": sql_search.prefix_trie(),
 }

@@ -111,4 +111,4 @@ def test_stages(spark, rows, sf_dir):
 
 def test_queries_are_named():
     names = [n.split("_")[0] for n in QUERIES]
-    assert names == [f"op{i}" for i in range(1, 11)]
+    assert names == [f"op{i}" for i in range(1, 14)]
