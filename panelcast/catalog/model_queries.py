@@ -18,7 +18,7 @@ from panelcast.catalog.sql_text import (
     seasonal_search,
     series_cte,
 )
-from panelcast.models import additive, arima, sequence, smoothing
+from panelcast.models import additive, arima, moments, sequence, smoothing
 from panelcast.models.series import explode_forecast, hold_out, series_arrays, with_horizon
 from panelcast.operators import metrics, periods, split
 from panelcast.plans import forecasting, reports
@@ -235,6 +235,59 @@ def arima_panel_forecast(spark, sf_dir):
     return _rounded(forecasting.forecast(panel, KEYS, "MS", ["arima"], HORIZON), 0)
 
 
+# --- moments ------------------------------------------------------------------------------
+
+_MOMENT_NAMES = ["w1", "w2", "w3", "w4"]
+_MOMENT_CELLS = [f"a{i}{j}" for i in range(4) for j in range(i + 1)] + [f"r{i}" for i in range(4)]
+_DIFFERENCES = f"""
+    diffs AS (SELECT *, sales - lag(sales) OVER (PARTITION BY City ORDER BY period) AS w FROM panel),
+    lags AS (SELECT *, {", ".join(f"lag(w, {i}) OVER (PARTITION BY City ORDER BY period) AS w{i}" for i in range(1, 5))} FROM diffs),
+    peaks AS (SELECT City, max(sales) AS peak, count(*) AS points FROM panel GROUP BY 1),
+    sums AS (SELECT City, count(*) AS n, {products(_MOMENT_NAMES, "w")} FROM lags WHERE w4 IS NOT NULL GROUP BY 1)"""
+_MOMENTS = f"""WITH panel AS ({CITY_PANEL}), {_DIFFERENCES}
+    SELECT City, points, n, {", ".join(f"round({c} / peak / peak, 9) AS {c}" for c in _MOMENT_CELLS)} FROM sums JOIN peaks USING (City)"""
+
+
+def _moment_columns(table):
+    """The moments in units of the peak, a column each."""
+    flat = F.concat("cross", "target_cross")
+    unit = F.col("peak") * F.col("peak")
+    cells = [F.round(flat[i] / unit, 9).alias(c) for i, c in enumerate(_MOMENT_CELLS)]
+    return table.select("City", "points", "n", *cells)
+
+
+def _city_lags(spark, sf_dir):
+    return moments.lagged_rows(stand_in.city_panel(spark, sf_dir), KEYS)
+
+
+@register("arima_moments", _MOMENTS)
+def arima_moments(spark, sf_dir):
+    """Sums of products of the first regression, one partial and final aggregate for all series."""
+    return _moment_columns(moments.moments(_city_lags(spark, sf_dir), KEYS, _MOMENT_NAMES, "w"))
+
+
+@register("arima_moments_merged", _MOMENTS)
+def arima_moments_merged(spark, sf_dir):
+    """Moments stored by year, added up again."""
+    rows = _city_lags(spark, sf_dir).withColumn("year", F.year("period"))
+    by_year = materialize(moments.moments(rows, ["City", "year"], _MOMENT_NAMES, "w"), "moments")
+    return _moment_columns(moments.merge(by_year, KEYS))
+
+
+@register(
+    "arima_moment_parameters",
+    f"""{_WHOLE}, {arima_211("series")}
+    SELECT City, n::bigint AS n, round(phi1, 6) AS phi1, round(phi2, 6) AS phi2, round(theta, 6) AS theta, adjusted
+    FROM arima JOIN series USING (City)
+    """,
+)
+def arima_moment_parameters(spark, sf_dir):
+    """The two-stage fit without a series in a row."""
+    found = moments.arima_coefficients(stand_in.city_panel(spark, sf_dir), KEYS)
+    coef = [F.round(F.col("coef")[i], 6).alias(c) for i, c in enumerate(("phi1", "phi2", "theta"))]
+    return found.select("City", "n", *coef, "adjusted")
+
+
 # --- hold-out evaluation -----------------------------------------------------------------
 
 _HW_TEST = f"""

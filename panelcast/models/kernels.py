@@ -212,6 +212,12 @@ def stable(phi, theta):
     return phi, theta
 
 
+def limited(raw, p):
+    """Coefficients inside the limits, and which rows they were moved for."""
+    fixed = np.concatenate(stable(raw[:, :p], raw[:, p:]), axis=1)
+    return fixed, ~np.isclose(fixed, raw, rtol=0, atol=1e-12).all(axis=1)
+
+
 def arma_rows(p, q):
     def run(w: pd.Series) -> pd.DataFrame:
         found = [(None, None)] * len(w)
@@ -219,9 +225,48 @@ def arma_rows(p, q):
             raw = two_stage(matrix, p, q)
             solved = np.isfinite(raw).all(axis=1)  # a failed solve has no coefficients
             rows, raw = np.array(rows)[solved], raw[solved]
-            fixed = np.concatenate(stable(raw[:, :p], raw[:, p:]), axis=1)
-            changed = ~np.isclose(fixed, raw, rtol=0, atol=1e-12).all(axis=1)
-            for i, coef, flag in zip(rows, fixed, changed, strict=True):
+            for i, coef, flag in zip(rows, *limited(raw, p), strict=True):
+                found[i] = (coef, bool(flag))
+        return pd.DataFrame(found, columns=["coef", "adjusted"], dtype=object)
+
+    return run
+
+
+def solve_moments(
+    n: pd.Series, peak: pd.Series, centre: pd.Series, sums: pd.Series, cross: pd.Series, target_sum: pd.Series, target_cross: pd.Series
+) -> pd.Series:
+    """Least-squares coefficients from moment rows: products about ``centre`` in units of ``peak``."""
+    if not len(n):
+        return pd.Series([], dtype=object)
+    sums, cross, target_cross = (np.stack([np.asarray(x, float) for x in column]) for column in (sums, cross, target_cross))
+    k = sums.shape[1]
+    count, mean, target = (column.to_numpy(float)[:, None] for column in (n, centre, target_sum))
+    unit = peak.to_numpy(float) ** 2
+    unit[unit == 0] = 1.0
+    gram = np.zeros((len(n), k, k))
+    low = np.tril_indices(k)
+    gram[:, low[0], low[1]] = cross - mean * (sums[:, low[0]] + sums[:, low[1]]) + count * mean**2
+    gram[:, low[1], low[0]] = gram[:, low[0], low[1]]
+    gram /= unit[:, None, None]
+    gram[:, np.arange(k), np.arange(k)] += RIDGE
+    right = (target_cross - mean * (sums + target) + count * mean**2) / unit[:, None]
+    found = [None] * len(n)
+    with np.errstate(all="ignore"):
+        usable = np.isfinite(gram).all(axis=(1, 2)) & np.isfinite(right).all(axis=1)
+        coefs = np.linalg.solve(gram[usable], right[usable][:, :, None])[:, :, 0]
+    for i, row in zip(np.flatnonzero(usable), coefs, strict=True):
+        if np.isfinite(row).all():
+            found[i] = row
+    return pd.Series(found, dtype=object)
+
+
+def stable_rows(p):
+    """Limits on AR (the first ``p``) and MA coefficients of every row; null rows stay null."""
+
+    def run(raw: pd.Series) -> pd.DataFrame:
+        found = [(None, None)] * len(raw)
+        for rows, matrix in by_length(raw):
+            for i, coef, flag in zip(rows, *limited(matrix, p), strict=True):
                 found[i] = (coef, bool(flag))
         return pd.DataFrame(found, columns=["coef", "adjusted"], dtype=object)
 
