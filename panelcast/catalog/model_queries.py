@@ -22,7 +22,7 @@ from panelcast.models import additive, arima, moments, sequence, smoothing
 from panelcast.models.series import explode_forecast, hold_out, series_arrays, with_horizon
 from panelcast.operators import metrics, periods, split
 from panelcast.plans import forecasting, reports
-from panelcast.session import materialize
+from panelcast.session import materialize, scratch_path
 
 KEYS = ["City"]
 HORIZON = 6
@@ -452,6 +452,61 @@ _register_sequence("sequence_linear_forecast", sequence_kind="linear")
 _register_sequence("sequence_forecast")
 
 
+@register("sequence_stored_forecast", SEQUENCE_AHEAD)
+def sequence_stored_forecast(spark, sf_dir):
+    """Model and states written as tables; the forecast reads these and trains nothing."""
+    panel = stand_in.city_panel(spark, sf_dir)
+    path = scratch_path(spark, "sequence_model")
+    model = forecasting.train_sequence(panel, KEYS)
+    forecasting.save_sequence(model, path)
+    states = materialize(forecasting.fit_parameters(panel, KEYS, "sequence", sequence_model=model), "states")
+    again = forecasting.load_sequence(spark, path)
+    return _rounded(forecasting.forecast_parameters(states, KEYS, "sequence", sequence_model=again), 0)
+
+
+# One tree with one cut: of 31 candidates a feature at equal shares of the rows, that of the largest gain.
+_STUMP_AHEAD = f"""WITH RECURSIVE panel AS ({CITY_PANEL}),
+    bounds AS (SELECT City, min(sales) AS low, max(sales) AS high, max(period) AS last_period FROM panel GROUP BY 1),
+    scaled AS (SELECT City, period, (sales - low) / (high - low) AS v FROM panel JOIN bounds USING (City)),
+    rows AS (
+      SELECT *, row_number() OVER (PARTITION BY City ORDER BY period) AS pos, count(*) OVER (PARTITION BY City) AS n
+      FROM (SELECT City, period, v, {_LAGS} FROM scaled) WHERE f0 IS NOT NULL),
+    train AS (SELECT * FROM rows WHERE pos <= greatest(1, floor(n * 0.8::double))),
+    long AS (SELECT v AS y, unnest([0, 1, 2, 3, 4, 5]) AS feature, unnest([f0, f1, f2, f3, f4, f5]) AS x FROM train),
+    steps AS (
+      SELECT feature, x, sum(count(*)) OVER (PARTITION BY feature ORDER BY x) AS upto, (SELECT count(*) FROM train) / 32.0::double AS share,
+             lead(x) OVER (PARTITION BY feature ORDER BY x) AS following, lead(count(*)) OVER (PARTITION BY feature ORDER BY x) AS more
+      FROM long GROUP BY feature, x),
+    passed AS (SELECT *, ceil((upto + more / 2.0::double) / share) - 1 AS e FROM steps WHERE following IS NOT NULL),
+    cuts AS (
+      SELECT feature, (x + following) / 2 AS cut FROM (
+        SELECT *, coalesce(lag(e) OVER (PARTITION BY feature ORDER BY x), 0) AS before FROM passed) WHERE e > before),
+    sides AS (
+      SELECT c.feature, cut, sum(y) FILTER (x <= cut) AS sl, count(*) FILTER (x <= cut) AS nl, sum(y) FILTER (x > cut) AS sr, count(*) FILTER (x > cut) AS nr
+      FROM cuts c JOIN long l ON l.feature = c.feature GROUP BY 1, 2),
+    tree AS (SELECT feature, cut, sl / nl AS low_value, sr / nr AS high_value FROM sides ORDER BY sl * sl / nl + sr * sr / nr DESC, feature LIMIT 1),
+    ahead AS (
+      SELECT City, 0 AS step, list(v ORDER BY period)[-6:] AS s FROM scaled GROUP BY City
+      UNION ALL
+      SELECT City, step + 1 AS step, list_concat(s[2:6], [CASE WHEN s[feature + 1] <= cut THEN low_value ELSE high_value END]) AS s
+      FROM ahead, tree WHERE step < 6),
+    f AS (
+      SELECT City, cast(last_period + to_months(step::int) AS date) AS ds, s[6] * (high - low) + low AS yhat
+      FROM ahead JOIN bounds USING (City) WHERE step > 0)
+    SELECT City, 'sequence' AS model, 'sequence' AS variant, ds, round(yhat, 0) AS yhat,
+           round(yhat * 0.92::double, 0) AS yhat_lower, round(yhat * 1.08::double, 0) AS yhat_upper
+    FROM f
+    """
+
+
+@register("sequence_stump_forecast", _STUMP_AHEAD)
+def sequence_stump_forecast(spark, sf_dir):
+    """The recursion over trees, with the smallest tree."""
+    panel = stand_in.city_panel(spark, sf_dir)
+    model = forecasting.train_sequence(panel, KEYS, "gbt", rounds=1, depth=1)
+    return _rounded(forecasting.forecast(panel, KEYS, "MS", ["sequence"], HORIZON, sequence_model=model), 0)
+
+
 _CALENDAR = (
     "(isodow({d}) - 1)::double", "month({d})::double", "quarter({d})::double",
     "(month({d}) IN (3, 9, 10, 11))::int::double", "(floor(((month({d}) + 8) % 12) / 3) + 1)::double",

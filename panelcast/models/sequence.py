@@ -1,7 +1,8 @@
 """Sequence regression: the next value from the ``length`` values before it.
 
 One model is trained over the sequences of all series (min-max scaled per series), so the
-training set grows with the panel and is processed by distributed ``pyspark.ml`` regressors.
+training set grows with the panel and is processed by distributed ``pyspark.ml`` regressors. What was
+learned, linear weights or trees, is a small row of numbers that can be stored and used again without training.
 """
 
 from __future__ import annotations
@@ -11,10 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import calendar_columns, shift_label
+from panelcast.models.forest import Forest, flatten
 from panelcast.models.series import array_total, explode_rows
 from panelcast.operators.scale import scale_value, unscale_value
 from panelcast.operators.split import train_size
@@ -35,29 +37,87 @@ def _calendar(ds: Column) -> Column:
     return F.array(*[columns[c].cast("double") for c in CALENDAR_INPUTS])
 
 
+def _plain_inputs(seq: Column, ds: Column, calendar: bool) -> Column:
+    return F.concat(seq, _calendar(ds)) if calendar else seq
+
+
 def _inputs(seq: Column, ds: Column, calendar: bool) -> Column:
-    return array_to_vector(F.concat(seq, _calendar(ds)) if calendar else seq)
+    return array_to_vector(_plain_inputs(seq, ds, calendar))
 
 
 @dataclass(frozen=True)
+class Linear:
+    """Weights of the inputs and what is added to their sum."""
+
+    weights: tuple[float, ...]
+    bias: float
+
+    def predict(self, inputs: Column) -> Column:
+        return F.lit(self.bias) + _dot(inputs, self.weights)
+
+
+def _dot(values: Column, weights: Sequence[float]) -> Column:
+    return array_total(F.zip_with(values, F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w))
+
+
 class SequenceModel:
-    """A fitted regressor, the history length it reads, and whether it reads the calendar."""
+    """What was learned, the history length it reads, and whether it reads the calendar.
+
+    ``regressor`` is the trained ``pyspark.ml`` model, absent where the rule comes from a table.
+    """
 
-    length: int
-    regressor: object
-    calendar: bool = False
+    def __init__(self, length: int, regressor=None, calendar: bool = False, rule: Linear | Forest | None = None):
+        self.length, self.regressor, self.calendar, self._rule = length, regressor, calendar, rule
 
     @property
     def is_linear(self) -> bool:
-        return hasattr(self.regressor, "coefficients")
+        return hasattr(self.regressor, "coefficients") if self._rule is None else isinstance(self._rule, Linear)
+
+    @property
+    def rule(self) -> Linear | Forest:
+        if self._rule is None:
+            if self.is_linear:
+                self._rule = Linear(tuple(map(float, self.regressor.coefficients)), float(self.regressor.intercept))
+            else:
+                self._rule = flatten(SparkSession.active(), self.regressor)
+        return self._rule
 
     def predict(self, rows: DataFrame, out: str = "predicted") -> DataFrame:
         """Add the (scaled) value that follows each ``seq`` and falls on ``ds``."""
+        if self.regressor is None:
+            return rows.withColumn(out, self.rule.predict(_plain_inputs(F.col("seq"), F.col("ds"), self.calendar)))
         featured = rows.withColumn("features", _inputs(F.col("seq"), F.col("ds"), self.calendar))
         scored = self.regressor.transform(featured)
         return scored.withColumnRenamed("prediction", out).drop("features")
 
 
+MODEL_SCHEMA = """length int, calendar boolean, weights array<double>, bias double, roots array<int>, feature array<int>,
+    threshold array<double>, left array<int>, right array<int>, value array<double>"""
+
+
+def to_table(model: SequenceModel) -> DataFrame:
+    """The model as one row of ``MODEL_SCHEMA``; a linear one has no trees, trees have no weights."""
+    rule, spark = model.rule, SparkSession.active()
+    if isinstance(rule, Linear):
+        row = (list(rule.weights), rule.bias, *[None] * 6)
+    else:
+        row = (None, None, *(list(getattr(rule, c)) for c in ("roots", "feature", "threshold", "left", "right", "value")))
+    return spark.createDataFrame([(model.length, model.calendar, *row)], MODEL_SCHEMA)
+
+
+def from_table(table: DataFrame) -> SequenceModel:
+    """The model of a one-row table written from :func:`to_table`; training is not repeated."""
+    rows = table.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("a table of one model has one row")
+    row = rows[0]
+    if row["weights"] is not None:
+        rule = Linear(tuple(row["weights"]), row["bias"])
+    else:
+        rule = Forest(*(tuple(row[c]) for c in ("roots", "feature", "threshold", "left", "right", "value")))
+    return SequenceModel(row["length"], calendar=row["calendar"], rule=rule)
+
+
 def _bounds(series: DataFrame) -> DataFrame:
     """Add ``low`` and ``high`` of the fitted part of each series."""
     return series.withColumns({"low": F.array_min("ys"), "high": F.array_max("ys")})
@@ -165,28 +225,49 @@ def predict_test(model: SequenceModel, series: DataFrame, keys: Sequence[str] =
     return scored.select(*keys, F.lit(MODEL).alias("model"), "ds", "y", yhat.alias("yhat"))
 
 
-def _linear_path(model: SequenceModel, dates: Column) -> Column:
-    """Recursion over the future dates; what a date adds is known before the recursion."""
-    weights = [float(c) for c in model.regressor.coefficients]
-    bias = F.lit(float(model.regressor.intercept))
-    on_history = F.array(*[F.lit(c) for c in weights[: model.length]])
-    on_calendar = F.array(*[F.lit(c) for c in weights[model.length :]])
+def _path(model: SequenceModel, dates: Column) -> Column:
+    """Recursion over the future dates: one fold, whatever the horizon, in which each value becomes the newest
+    input. What a linear rule adds for a date is known before the recursion."""
+    rule, length = model.rule, model.length
 
-    def dot(values: Column, coefs: Column) -> Column:
-        return array_total(F.zip_with(values, coefs, lambda x, w: x * w))
+    def ahead(seq: Column, extra: Column) -> Column:
+        if isinstance(rule, Linear):
+            return _dot(seq, rule.weights[:length]) + extra
+        return rule.predict(F.concat(seq, extra) if model.calendar else seq)
 
-    def fixed_part(ds: Column) -> Column:
-        return bias + dot(_calendar(ds), on_calendar) if model.calendar else bias
+    def by_date(ds: Column) -> Column:
+        if isinstance(rule, Linear):
+            bias = F.lit(rule.bias)
+            return bias + _dot(_calendar(ds), rule.weights[length:]) if model.calendar else bias
+        return _calendar(ds) if model.calendar else F.lit(0.0)
 
     def step(state: Column, extra: Column) -> Column:
-        nxt = dot(state["seq"], on_history) + extra
-        return F.struct(
-            F.concat(F.slice(state["seq"], 2, model.length - 1), F.array(nxt)).alias("seq"),
-            F.concat(state["out"], F.array(nxt)).alias("out"),
-        )
+        # The value is bound once, since both fields of the next state use it.
+        return F.transform(
+            F.array(ahead(state["seq"], extra)),
+            lambda nxt: F.struct(
+                F.concat(F.slice(state["seq"], 2, length - 1), F.array(nxt)).alias("seq"),
+                F.concat(state["out"], F.array(nxt)).alias("out"),
+            ),
+        )[0]
 
     start = F.struct(F.col("seq").alias("seq"), F.array().cast("array<double>").alias("out"))
-    return F.aggregate(F.transform(dates, fixed_part), start, step, lambda s: s["out"])
+    return F.aggregate(F.transform(dates, by_date), start, step, lambda s: s["out"])
+
+
+def states(model: SequenceModel, series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Persistable rows ``keys…, model, n, last_period, low, high, seq`` of the series that the model can read: the
+    scale and the last scaled values, all that a forecast needs besides the model."""
+    ready = _bounds(series.where(usable(model))).withColumn("seq", F.slice(_scaled("ys"), -model.length, model.length))
+    return ready.select(*keys, F.lit(MODEL).alias("model"), "n", "last_period", "low", "high", "seq")
+
+
+def forecast_states(model: SequenceModel, rows: DataFrame, horizon: int, freq: str = "MS", out: str = "yhat") -> DataFrame:
+    """Add a forecast array to rows of :func:`states`."""
+    last = F.col("last_period")
+    dates = F.transform(F.sequence(F.lit(1), F.lit(int(horizon))), lambda k: shift_label(last, freq, k))
+    path = _path(model, dates)
+    return rows.withColumn(out, F.transform(path, lambda z: unscale_value(z, F.col("low"), F.col("high"))))
 
 
 def forecast_array(
@@ -199,20 +280,4 @@ def forecast_array(
     ready = _bounds(series.where(usable(model))).withColumn(
         "seq", F.slice(_scaled("ys"), -model.length, model.length)
     )
-    last = F.col("last_period")
-    if model.is_linear:
-        steps = F.sequence(F.lit(1), F.lit(int(horizon)))
-        dates = F.transform(steps, lambda k: shift_label(last, freq, k))
-        path = ready.withColumn("_path", _linear_path(model, dates))
-    else:
-        path = ready.withColumn("_path", F.array().cast("array<double>"))
-        for k in range(1, int(horizon) + 1):
-            path = model.predict(path.withColumn("ds", shift_label(last, freq, F.lit(k))), "_next")
-            path = path.withColumns(
-                {
-                    "_path": F.concat("_path", F.array("_next")),
-                    "seq": F.concat(F.slice("seq", 2, model.length - 1), F.array("_next")),
-                }
-            ).drop("_next", "ds")
-    unscaled = F.transform("_path", lambda z: unscale_value(z, F.col("low"), F.col("high")))
-    return path.withColumn(out, unscaled).drop("_path", "seq")
+    return forecast_states(model, ready, horizon, freq, out).drop("seq")

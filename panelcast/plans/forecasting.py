@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import resolve_freq
@@ -58,6 +58,7 @@ def backtest(
     sequence_kind: str = "linear",
     length: int = sequence.DEFAULT_LENGTH,
     calendar: bool = False,
+    sequence_model: sequence.SequenceModel | None = None,
 ) -> DataFrame:
     """Predictions of the held-out periods: ``keys…, model, variant, ds, y, yhat, status``.
 
@@ -65,7 +66,7 @@ def backtest(
     smoother, as ``variant`` tells. ``fit_scope='all'`` (smoothing and additive models) fits on the
     whole series and reads the in-sample values of the test periods. A series under five points has
     one row per model with ``status='too_short'`` and nothing to score. ``calendar`` adds calendar
-    features to the inputs of the sequence model.
+    features to the inputs of the sequence model; ``sequence_model`` is used as it is instead of training one.
     """
     names, m = _check(models), _season(season, freq)
     packed = series_arrays(panel, keys)
@@ -89,8 +90,7 @@ def backtest(
             rest = series.where(F.col("n") < additive.MIN_POINTS)
             parts.append(_tagged(_smoothing_test(rest, keys, freq, m, in_sample), name))
         else:
-            rows = sequence.training_rows(series, keys, length)
-            model = sequence.fit(rows, length, sequence_kind, calendar=calendar)
+            model = sequence_model or _trained(series, keys, sequence_kind, length, calendar)
             if model is not None:
                 parts.append(_tagged(sequence.predict_test(model, series, keys), name))
             rest = series.where(~sequence.usable(model))
@@ -132,13 +132,15 @@ def forecast(
     calendar: bool = False,
     band: float = BAND,
     history: bool = False,
+    sequence_model: sequence.SequenceModel | None = None,
 ) -> DataFrame:
     """Future periods of every series, fitted on its whole history:
     ``keys…, model, variant, ds, yhat, yhat_lower, yhat_upper``.
 
     The additive model has its own band, the others a relative one. A series that a model cannot read
     is forecast by the smoother, as ``variant`` tells. ``history`` puts the fitted values of the
-    smoothing and additive models, with their bands, before the forecast.
+    smoothing and additive models, with their bands, before the forecast. ``sequence_model`` is used as it is
+    instead of training one.
     """
     names, m = _check(models), _season(season, freq)
     if horizon < 1:
@@ -167,8 +169,7 @@ def forecast(
             if history:
                 parts.append(_past(rest, keys, m, name, band))
         else:
-            rows = sequence.training_rows(series, keys, length)
-            model = sequence.fit(rows, length, sequence_kind, calendar=calendar)
+            model = sequence_model or _trained(series, keys, sequence_kind, length, calendar)
             if model is not None:
                 path = sequence.forecast_array(model, series, horizon, freq).withColumn("model", F.lit(name))
                 parts.append(_future(path, keys, freq, name, band))
@@ -193,6 +194,33 @@ def _past(fitted: DataFrame, keys: Sequence[str], m: int, name: str, band: float
     return relative_band(_tagged(rows, name), share=band)
 
 
+def _trained(series: DataFrame, keys: Sequence[str], kind: str, length: int, calendar: bool, **options):
+    rows = sequence.training_rows(series, keys, length)
+    return sequence.fit(rows, length, kind, calendar=calendar, **options)
+
+
+def train_sequence(
+    panel: DataFrame,
+    keys: Sequence[str] = (),
+    kind: str = "linear",
+    length: int = sequence.DEFAULT_LENGTH,
+    calendar: bool = False,
+    **options,
+) -> sequence.SequenceModel | None:
+    """The sequence model of a whole panel, to be stored and used again; none where no series is long enough.
+    ``options`` are those of :func:`sequence.fit` (rounds, depth, seed)."""
+    return _trained(series_arrays(panel, keys), keys, kind, length, calendar, **options)
+
+
+def save_sequence(model: sequence.SequenceModel, path: str, mode: str = "errorifexists") -> None:
+    """Write the model as a table of one row."""
+    sequence.to_table(model).coalesce(1).write.mode(mode).parquet(path)
+
+
+def load_sequence(spark: SparkSession, path: str) -> sequence.SequenceModel:
+    return sequence.from_table(spark.read.schema(sequence.MODEL_SCHEMA).parquet(path))
+
+
 def fit_parameters(
     panel: DataFrame,
     keys: Sequence[str] = (),
@@ -200,20 +228,29 @@ def fit_parameters(
     freq: str = "MS",
     season: int | None = None,
     order: tuple[int, int, int] = (2, 1, 1),
+    sequence_model: sequence.SequenceModel | None = None,
 ) -> DataFrame:
-    """One row of parameters and state per series, ready to be stored as a table."""
+    """One row of parameters and state per series, ready to be stored as a table. That of ``'sequence'`` has the
+    scale and last values of each series under ``sequence_model``, which is stored by itself."""
     series = series_arrays(panel, keys)
     if model == "holt_winters":
         return smoothing.parameters(smoothing.smooth(series, _season(season, freq)), keys)
     if model == "arima":
         return arima.parameters(arima.fit(series, order), keys)
+    if model == "sequence":
+        if sequence_model is None:
+            raise ValueError("the states of 'sequence' belong to a model, see train_sequence")
+        rows = sequence.states(sequence_model, series, keys)
+        rest = smoothing.smooth(series.where(~sequence.usable(sequence_model)), _season(season, freq))
+        # One table: a row has the values before the forecast, or the state of the smoother that stands in.
+        return rows.unionByName(smoothing.parameters(rest, keys), allowMissingColumns=True)
     if model == "additive":
         curves = additive.parameters(additive.fit(series), keys)
         rest = smoothing.smooth(series.where(F.col("n") < additive.MIN_POINTS), _season(season, freq))
         states = smoothing.parameters(rest, keys)
         # One table: a row has a curve, or the state of the smoother that stands in for it.
         return curves.where(F.col("n") >= additive.MIN_POINTS).unionByName(states, allowMissingColumns=True)
-    raise ValueError("parameter tables are for 'holt_winters', 'arima' and 'additive'")
+    raise ValueError(f"models are {MODELS}, got {model!r}")
 
 
 def forecast_parameters(
@@ -224,6 +261,7 @@ def forecast_parameters(
     horizon: int = DEFAULT_HORIZON,
     order: tuple[int, int, int] = (2, 1, 1),
     band: float = BAND,
+    sequence_model: sequence.SequenceModel | None = None,
 ) -> DataFrame:
     """Forecast from stored parameter rows, without the history: the columns of :func:`forecast`.
 
@@ -234,6 +272,14 @@ def forecast_parameters(
         states = smoothing.forecast_parameters(params.where(F.col("curve").isNull()), horizon)
         columns = _forecast_columns(keys)
         rows = rows.select(*columns).unionByName(_future(states, keys, freq, model, band).select(*columns))
+    elif model == "sequence":
+        if sequence_model is None:
+            raise ValueError("the states of 'sequence' belong to a model, see load_sequence")
+        own = sequence.forecast_states(sequence_model, params.where(F.col("seq").isNotNull()), horizon, freq)
+        rest = smoothing.forecast_parameters(params.where(F.col("seq").isNull()), horizon)
+        columns = _forecast_columns(keys)
+        rows = _future(own, keys, freq, model, band).select(*columns)
+        rows = rows.unionByName(_future(rest, keys, freq, model, band).select(*columns))
     elif model == "arima":
         rows = _future(arima.forecast_array(with_horizon(params, horizon), order), keys, freq, model, band)
     else:
