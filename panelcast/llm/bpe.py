@@ -19,10 +19,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 import sys
-from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CONTEXT = 4
-#: Pieces and verdicts a worker keeps; beyond these it starts anew.
+#: Pieces and verdicts a worker keeps; of pieces it keeps those of the last two spells of so many.
 KEPT_PIECES, KEPT_PAIRS = 500_000, 2_000_000
 #: Characters of the longest piece that is kept.
 KEPT_LENGTH = 200
@@ -49,13 +49,15 @@ class Vocabulary:
         import ahocorasick
 
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.tokens: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
         self.longest = max(map(len, ranks))
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.split: dict[int, list[int]] = {}
 
     @classmethod
@@ -108,7 +110,8 @@ class Vocabulary:
 
     def follows(self, left: int, right: int) -> bool:
         """Whether ``right`` may stand after ``left`` (-1: at the beginning)."""
-        known = self.pairs.get((left, right))
+        pair = left * len(self.tokens) + right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
@@ -118,28 +121,38 @@ class Vocabulary:
             except KeyError:
                 tokens = [right] if left < 0 else [left, right]
                 known = self.merged(b"".join(self.tokens[t] for t in tokens)) == tokens
-            self.pairs[left, right] = known
+            self.pairs[pair] = known
         return known
 
-    def steps(self, data: bytes, last: array) -> Iterator[int]:
+    def steps(self, data: bytes, last: list[int]) -> Iterator[int]:
         """Extend ``last``, the last tokens of the first ``len(last) - 1`` bytes' prefixes, byte by byte."""
-        done, follows = len(last) - 1, self.follows
-        for end, (token, size) in self.automaton.iter(data.decode("latin-1"), max(0, done + 1 - self.longest)):
+        for end, (token, size) in self.automaton.iter(data.decode("latin-1"), max(0, len(last) - self.longest)):
             i = end + 1
             # Exactly one token fits each prefix, so the first one found decides.
-            if i == len(last) and size <= i and follows(last[i - size], token):
+            if i == len(last) and size <= i and self.follows(last[i - size], token):
                 last.append(token)
                 yield i
 
-    def last_tokens(self, data: bytes, last: array | None = None) -> array:
+    def last_tokens(self, data: bytes, last: list[int] | None = None) -> list[int]:
         """The last token of every prefix of ``data``; ``last`` holds those of a shorter prefix, if known.
         Entry 0 stands for the empty prefix."""
-        last = array("i", [-1]) if last is None else last
-        for _ in self.steps(data, last):
-            pass
+        if last:
+            for _ in self.steps(data, last):
+                pass
+            return last
+        # The same as ``steps``, with nothing around the loop.
+        last, known, follows, n = [-1], self.pairs.get, self.follows, len(self.tokens)
+        i = 1
+        for end, (token, size) in self.automaton.iter(data.decode("latin-1")):
+            if end + 1 == i:
+                left = last[i - size]
+                fits = known(left * n + token)
+                if follows(left, token) if fits is None else fits:
+                    last.append(token)
+                    i += 1
         return last
 
-    def replaced(self, old: bytes, last: array, new: bytes) -> tuple[array, int]:
+    def replaced(self, old: bytes, last: list[int], new: bytes) -> tuple[list[int], int]:
         """The table of ``new`` from that of ``old``, and how many of its entries were worked out."""
         same = _common(old, new)
         tail = min(_common(old[::-1], new[::-1]), len(old) - same, len(new) - same)
@@ -151,7 +164,7 @@ class Vocabulary:
                 return out, i - same
         return out, len(new) - same
 
-    def read_off(self, data: bytes, last: array) -> list[int]:
+    def read_off(self, data: bytes, last: list[int]) -> list[int]:
         """The encoding that a table of last tokens ends in."""
         if data in self.ranks:
             return [self.ranks[data]]
@@ -182,26 +195,39 @@ class Coder:
         import regex
 
         self.words, self.pattern = Vocabulary.load(vocabulary), regex.compile(public_tokenizers.PATTERN)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def piece(self, text: str) -> tuple[int, ...]:
-        data = text.encode()
-        ids = (self.words.ranks[data],) if data in self.words.ranks else tuple(self.words.read_off(data, self.words.last_tokens(data)))
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def piece(self, text: str) -> bytes:
+        """The ids of a piece as little-endian unsigned 32-bit integers."""
+        ids = self.before.get(text)
+        if ids is None:
+            data = text.encode()
+            whole = self.words.ranks.get(data)
+            found = self.words.read_off(data, self.words.last_tokens(data)) if whole is None else [whole]
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(text) <= KEPT_LENGTH:
             if len(self.known) >= KEPT_PIECES:
-                self.known.clear()
+                self.before, self.known = self.known, {}
             self.known[text] = ids
         return ids
 
+    def coded(self, text: str) -> bytes:
+        """The ids of a text, like those of a piece."""
+        pieces = self.pattern.findall(text)
+        ids = list(map(self.known.get, pieces))
+        if None in ids:
+            ids = [self.known.get(p) or self.piece(p) if x is None else x for x, p in zip(ids, pieces, strict=True)]
+        return b"".join(ids)
+
     def encode(self, text: str) -> list[int]:
-        known = self.known.get
-        return list(chain.from_iterable(known(x) or self.piece(x) for x in self.pattern.findall(text)))
+        return np.frombuffer(self.coded(text), "<u4").tolist()
 
 
 class Stored:
     """A text with its pieces and their tables."""
 
-    def __init__(self, coder: Coder, pieces: list[str], tables: list[array]):
+    def __init__(self, coder: Coder, pieces: list[str], tables: list[list[int]]):
         self.coder, self.pieces, self.tables = coder, pieces, tables
 
     @classmethod
@@ -216,7 +242,7 @@ class Stored:
         for n in lengths:
             pieces.append(text[at : at + n])
             size = len(pieces[-1].encode())
-            tables.append(array("i", [-1, *last[byte : byte + size]]))
+            tables.append([-1, *last[byte : byte + size].tolist()])
             at, byte = at + n, byte + size
         return cls(coder, pieces, tables)
 
@@ -273,7 +299,7 @@ def _encode(vocabulary: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(vocabulary)
         for batch in batches:
-            ids = [np.array(coder.encode(x.as_py() or ""), np.int32) for x in batch["text"]]
+            ids = [np.frombuffer(coder.coded(x.as_py() or ""), "<i4") for x in batch["text"]]
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "ids": _lists(ids, pa.int32())})
 
     return run
@@ -306,10 +332,10 @@ def _digests(vocabulary: str | None):
         for batch in batches:
             counts, coded, decoded = [], [], []
             for x in batch["text"]:
-                ids = coder.encode(x.as_py() or "")
-                counts.append(len(ids))
-                coded.append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(coder.words.decode(ids)).hexdigest())
+                ids = coder.coded(x.as_py() or "")
+                counts.append(len(ids) // 4)
+                coded.append(hashlib.sha256(ids).hexdigest())
+                decoded.append(hashlib.sha256(coder.words.decode(np.frombuffer(ids, "<u4").tolist())).hexdigest())
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch["doc_id"], "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(coded, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())}
             )
