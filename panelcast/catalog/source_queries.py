@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from panelcast.catalog import facts as stand_in
 from panelcast.catalog.registry import register
 from panelcast.catalog.sql_text import NET
-from panelcast.operators import roles, summaries
+from panelcast.operators import roles, sketches, summaries
 from panelcast.operators.periods import to_periods
-from panelcast.session import scratch_path
+from panelcast.session import materialize, scratch_path
 from panelcast.sources import profile, readers
 
 
@@ -199,6 +201,57 @@ def csv_load_periods(spark, sf_dir):
     return to_periods(readers.load_sales(spark, path), ["City"], "MS", scale=2)
 
 
+def _defective_csv(spark, sf_dir) -> str:
+    """Orders as lines of a CSV file, with blank, unreadable and impossible months, amounts that are no numbers, and
+    records of five fields under a header of four."""
+    orders = stand_in.table(spark, sf_dir, "orders")
+    day, status, how = F.col("o_orderdate"), F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
+    month = (
+        F.when((how == "2") & (status == "F"), F.lit(" "))
+        .when((how == "3") & (status == "O"), F.lit("13"))
+        .when((how == "4") & (status == "P"), F.lit("xx"))
+        .when(how == "5", F.lit("someday"))
+        .when(how == "1", F.date_format(day, "MMMM"))
+        .otherwise(F.month(day).cast("string"))
+    )
+    amount = F.when((how == "1") & (status == "P"), F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    fields = [month, F.year(day).cast("string"), F.col("o_orderstatus"), amount, F.when(how == "4", F.lit("beyond"))]
+    line = F.concat_ws(",", *fields).alias("Month,Year,City,Revenue")
+    path = scratch_path(spark, "defects-csv")
+    # One column, written as it is: its name is the header line.
+    orders.select(line).write.options(header=True, sep="\u0001", quote="\u0000").csv(path)
+    return path
+
+
+_DEFECTS = """
+    SELECT CASE WHEN how = '2' AND o_orderstatus = 'F' THEN 'missing' WHEN how = '3' AND o_orderstatus = 'O' THEN 'out_of_range'
+                WHEN how = '4' AND o_orderstatus = 'P' THEN 'malformed' WHEN how = '5' THEN 'unreadable' END AS reject_reason,
+           how = '4' AND o_orderstatus <> 'P' AS kept_malformed, how = '1' AND o_orderstatus = 'P' AS bad_amount
+    FROM (SELECT *, substr(o_orderpriority, 1, 1) AS how FROM orders)"""
+
+
+@register("load_reasons", f"SELECT reject_reason, count(*) AS n_rows FROM ({_DEFECTS}) GROUP BY 1")
+def load_reasons(spark, sf_dir):
+    """Kept (null) and dropped rows of a load by reason."""
+    rows = readers.labelled_sales(spark, _defective_csv(spark, sf_dir))
+    return rows.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register(
+    "load_report",
+    f"""SELECT count(*) AS n_rows, count(*) FILTER (reject_reason IS NULL) AS n_kept,
+           {", ".join(f"count(*) FILTER (reject_reason = '{r}') AS rejected_{r}" for r in readers.REASONS)},
+           count(*) FILTER (kept_malformed) AS kept_malformed, count(*) FILTER (bad_amount) AS unreadable_amounts
+    FROM ({_DEFECTS})""",
+)
+def load_report(spark, sf_dir):
+    """The numbers that came by while the panel was written, without another scan."""
+    facts, report = readers.observed_sales(spark, _defective_csv(spark, sf_dir))
+    materialize(to_periods(facts, ["City"], "MS", scale=2), "panel")
+    counts = report.counts()
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 @register("city_list", "SELECT DISTINCT n_name AS City FROM nation JOIN customer ON c_nationkey = n_nationkey "
           "JOIN orders ON o_custkey = c_custkey")
 def city_list(spark, sf_dir):
@@ -223,6 +276,27 @@ def store_count(spark, sf_dir):
     return summaries.count_distinct_values(stand_in.line_facts(spark, sf_dir), "Store_ID")
 
 
+@register(
+    "part_count_sketches",
+    """
+    SELECT n_name AS City, count(DISTINCT l_partkey) AS n_parts, true AS within_3_percent
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+    WHERE l_shipdate >= '1996-01-01' AND l_shipdate < '1999-01-01' GROUP BY 1
+    """,
+)
+def part_count_sketches(spark, sf_dir):
+    """Sketches stored by store and month, merged to cities over three years, next to the exact counts."""
+    lines = stand_in.line_facts(spark, sf_dir)
+    by_store = materialize(sketches.distinct_sketches(lines, "l_partkey", ["Store_ID"]), "sketches")
+    by_city = stand_in.with_store_city(spark, sf_dir, by_store)
+    found = sketches.count_between(by_city, ["City"], (dt.date(1996, 1, 1), dt.date(1998, 12, 1)), "estimate")
+    inside = lines.where((F.col("date") >= "1996-01-01") & (F.col("date") < "1999-01-01"))
+    pairs = stand_in.with_store_city(spark, sf_dir, inside.select("Store_ID", "l_partkey").distinct())
+    exact = pairs.groupBy("City").agg(F.count_distinct("l_partkey").alias("n_parts"))
+    near = F.abs(F.col("estimate") - F.col("n_parts")) <= F.col("n_parts") * 0.03
+    return exact.join(found, "City").select("City", "n_parts", near.alias("within_3_percent"))
+
+
 @register(
     "sales_by_city",
     """

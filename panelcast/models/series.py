@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import periods_between, resolve_freq, shift_label
 from panelcast.operators.split import MIN_POINTS, train_size
+from panelcast.session import materialize
+
+
+#: Points of a panel that one task packs and fits; a parameter search takes well under a second for them.
+POINTS_PER_TASK = 20_000
+
+
+def work_partitions(points: int) -> int:
+    """How many tasks a panel of so many points is worth."""
+    return max(1, -(-points // POINTS_PER_TASK))
 
 
 def series_arrays(
@@ -22,14 +32,16 @@ def series_arrays(
 
     Takes a panel, never raw facts: its rows per series are bounded by the number of calendar
     periods, so a row stays small however many facts the series was summed from. Rows are few bytes but
-    much work, which size-based coalescing would pack into too few tasks, so the shuffle has
-    ``partitions`` partitions: give a number that suits the series; the default is the session's
-    ``spark.sql.shuffle.partitions``. A null or NaN value fails the query: left out, it would shift
+    much work, which size-based coalescing would pack into too few tasks. So a keyed panel is stored, its
+    points are counted from the files, and the shuffle gets a partition for every ``POINTS_PER_TASK``
+    (or ``partitions``, without storing). A null or NaN value fails the query: left out, it would shift
     every later lag and season.
     """
     if keys:
-        count = partitions or int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        panel = panel.repartition(count, *keys)
+        if partitions is None:
+            panel = materialize(panel.select(*keys, order, target), "panel")
+            partitions = work_partitions(panel.count())
+        panel = panel.repartition(partitions, *keys)
     value = F.col(target).cast("double")
     missing = F.raise_error(F.concat(F.lit("no value at "), F.col(order).cast("string"))).cast("double")
     value = F.when(value.isNull() | F.isnan(value), missing).otherwise(value)

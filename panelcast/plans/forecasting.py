@@ -42,6 +42,13 @@ def _tagged(rows: DataFrame, model: str, variant: Column | None = None) -> DataF
     return rows.withColumn("variant", used).withColumn("model", F.lit(model))
 
 
+def _packed(panel: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The series that all models read; each packs the stored panel into tasks by its points. The single
+    series of a panel without keys is stored packed."""
+    packed = series_arrays(panel, keys)
+    return materialize(packed, "series") if len(names) > 1 and not keys else packed
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -69,9 +76,7 @@ def backtest(
     features to the inputs of the sequence model; ``sequence_model`` is used as it is instead of training one.
     """
     names, m = _check(models), _season(season, freq)
-    packed = series_arrays(panel, keys)
-    if len(names) > 1:
-        packed = materialize(packed, "series")  # all models read the panel once
+    packed = _packed(panel, keys, names)
     marked = hold_out(packed, freq, test_ratio, fit_scope)
     series = marked.where(F.col("status") == "ok")
     in_sample = fit_scope == "all"
@@ -147,10 +152,7 @@ def forecast(
         raise ValueError("horizon is at least 1")
     if history and set(names) - {"holt_winters", "additive"}:
         raise ValueError("history is for the models 'holt_winters' and 'additive'")
-    packed = series_arrays(panel, keys)
-    if len(names) > 1:
-        packed = materialize(packed, "series")  # all models read the panel once
-    series = with_horizon(packed, horizon)
+    series = with_horizon(_packed(panel, keys, names), horizon)
     parts = []
     for name in names:
         if name == "holt_winters":

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+
 def build_session(app: str = "panelcast", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are designed for.
 
-    AQE coalesces small shuffle partitions and splits skewed join partitions, so no
-    operator fixes a partition count itself.
+    AQE coalesces small shuffle partitions and splits skewed join partitions. Only the exchange that
+    packs series has a partition count of its own, taken from the points of the panel.
     """
     builder = SparkSession.builder.appName(app)
     if master:
