@@ -658,6 +658,41 @@ def additive_given_curve(spark, sf_dir):
     return _rounded(forecasting.forecast_parameters(params, KEYS, "additive"))
 
 
+# One yearly pair, one change of slope, noise given: the posterior mean by normal equations.
+_PRIORS = (5.0, 5.0, 0.05, 10.0, 10.0)
+_TURN = f"(d * {2 * math.pi / 365.25!r}::double)"
+_REDUCED_X = ("1.0::double", "(d - t0) / span", "greatest((d - c0) / span, 0)", f"sin({_TURN})", f"cos({_TURN})")
+
+
+@register(
+    "additive_reduced",
+    f"""{_WHOLE},
+    c AS (
+      SELECT City, last_period, list_max(ys) AS scale, datediff('day', DATE '1970-01-01', periods[1])::double AS t0,
+             datediff('day', periods[1], last_period)::double AS span,
+             datediff('day', DATE '1970-01-01', periods[floor(0.8::double * n)::int])::double AS c0 FROM series),
+    p AS (
+      SELECT City, scale, t0, span, c0, sales / scale AS v, datediff('day', DATE '1970-01-01', period)::double AS d FROM panel JOIN c USING (City)),
+    x AS (SELECT City, v, {", ".join(f"{w!r}::double * ({e}) AS f{i}" for i, (w, e) in enumerate(zip(_PRIORS, _REDUCED_X, strict=True)))} FROM p),
+    b AS ({cholesky(f"SELECT City, {products([f'f{i}' for i in range(5)], 'v', ' + 0.0025::double')} FROM x GROUP BY City", 5)}),
+    a AS (
+      SELECT *, datediff('day', DATE '1970-01-01', ds)::double AS d
+      FROM (SELECT c.*, cast(last_period + to_months(h::int) AS date) AS ds FROM c, (SELECT unnest(range(1, 7)) AS h)) c),
+    f AS (
+      SELECT City, ds, scale, scale * ({" + ".join(f"x{i} * {w!r}::double * ({e})" for i, (w, e) in enumerate(zip(_PRIORS, _REDUCED_X, strict=True)))}) AS yhat
+      FROM a JOIN b USING (City))
+    SELECT City, 'additive' AS model, ds, round(yhat, 0) AS yhat, round(yhat - 0.05::double * scale * 1.2816::double, 0) AS yhat_lower,
+           round(yhat + 0.05::double * scale * 1.2816::double, 0) AS yhat_upper
+    FROM f
+    """,
+)
+def additive_reduced(spark, sf_dir):
+    """The fit itself, small enough for SQL: given noise, one yearly pair and one change of slope."""
+    seasons = ((365.25, 1),)
+    fitted = additive.fit(_series(spark, sf_dir), seasons, changes=1, noise=0.05)
+    return _rounded(additive.forecast(fitted, KEYS, "MS", history=False, seasons=seasons), 0)
+
+
 # --- models without a SQL equivalent -----------------------------------------------------
 
 

@@ -276,27 +276,27 @@ def stable_rows(p):
 # --- additive regression --------------------------------------------------------------
 
 
-def changepoint_days(days):
+def changepoint_days(days, most=MAX_CHANGEPOINTS):
     """Evenly spaced dates inside the first part of the history."""
     head = math.floor(CHANGEPOINT_SHARE * len(days))
-    count = min(MAX_CHANGEPOINTS, head - 1)
+    count = min(most, head - 1)
     if count < 1:
         return np.empty(0)
     return days[np.linspace(0, head - 1, count + 1).round().astype(int)][1:]
 
 
-def design_matrix(days, t0, span, changes):
+def design_matrix(days, t0, span, changes, seasons=SEASONS):
     t = (days - t0) / span
     blocks = [np.ones((len(days), 1)), t[:, None]]
     blocks.append(np.maximum(t[:, None] - (changes[None, :] - t0) / span, 0.0))
-    for period, pairs in SEASONS:
+    for period, pairs in seasons:
         angle = 2 * np.pi * days[:, None] / period * np.arange(1, pairs + 1)[None, :]
         blocks += [np.sin(angle), np.cos(angle)]
     return np.concatenate(blocks, axis=1)
 
 
-def prior_scales(n_changes):
-    n_season = 2 * sum(pairs for _, pairs in SEASONS)
+def prior_scales(n_changes, seasons=SEASONS):
+    n_season = 2 * sum(pairs for _, pairs in seasons)
     return np.concatenate(
         [np.full(2, PRIOR_TREND), np.full(n_changes, PRIOR_CHANGE), np.full(n_season, PRIOR_SEASON)]
     )
@@ -320,32 +320,59 @@ def ridge_fit(design, prior, ys):
     return prior[:, None] * (vt.T @ (weights * projected)), np.sqrt(variance)
 
 
-def fit_calendar(days, ys):
-    """Parameter rows of all series (columns of ``ys``) observed on the same ``days``."""
+def posterior_fit(design, prior, ys, noise):
+    """Coefficients (columns) of each column of ``ys`` for a given noise deviation, by one Cholesky
+    factor for all of them."""
+    scaled = design * prior
+    factor = np.linalg.cholesky(scaled.T @ scaled + noise**2 * np.eye(len(prior)))
+    half = np.linalg.solve(factor, scaled.T @ ys)
+    return prior[:, None] * np.linalg.solve(factor.T, half), np.full(ys.shape[1], float(noise))
+
+
+def fit_calendar(days, ys, seasons=SEASONS, most=MAX_CHANGEPOINTS, noise=None):
+    """Parameter rows of all series (columns of ``ys``) observed on the same ``days``; none for a series
+    whose solve gave no numbers."""
     t0, span = float(days[0]), max(float(days[-1] - days[0]), 1.0)
-    changes = changepoint_days(days)
+    changes = changepoint_days(days, most)
     scale = np.abs(ys).max(axis=0)
     scale[scale == 0] = 1.0
-    beta, sigma = ridge_fit(design_matrix(days, t0, span, changes), prior_scales(len(changes)), ys / scale)
+    design, prior = design_matrix(days, t0, span, changes, seasons), prior_scales(len(changes), seasons)
+    with np.errstate(all="ignore"):
+        fit = ridge_fit(design, prior, ys / scale) if noise is None else posterior_fit(design, prior, ys / scale, noise)
+    beta, sigma = fit
     last = 2 + len(changes)
     return [
         (t0, span, float(scale[j]), float(sigma[j]), beta[:2, j], changes, beta[2:last, j], beta[last:, j])
+        if np.isfinite(beta[:, j]).all() and np.isfinite(sigma[j])
+        else None
         for j in range(ys.shape[1])
     ]
 
 
-def fit_curves(days: pd.Series, ys: pd.Series) -> pd.DataFrame:
-    """Fit a batch of series; those with identical calendars share one factorisation."""
-    found = [(None,) * len(CURVE_FIELDS)] * len(days)
-    calendars = {}
-    for i, d in enumerate(days):
-        if d is not None and len(d) >= MIN_CURVE_POINTS:
-            calendars.setdefault(np.asarray(d, dtype=float).tobytes(), []).append(i)
-    for key, members in calendars.items():
-        stacked = np.stack([np.asarray(ys.iloc[i], dtype=float) for i in members], axis=1)
-        for i, row in zip(members, fit_calendar(np.frombuffer(key), stacked), strict=True):
-            found[i] = row
-    return pd.DataFrame(found, columns=list(CURVE_FIELDS))
+def curve_rows(seasons=SEASONS, most=MAX_CHANGEPOINTS, noise=None):
+    """Fit a batch of series; those with identical calendars share one factorisation. A series whose solve
+    fails has no parameters, whatever the others of its batch are."""
+
+    def solved(days, ys):
+        try:
+            return fit_calendar(days, ys, seasons, most, noise)
+        except np.linalg.LinAlgError:
+            return [None] if ys.shape[1] == 1 else [solved(days, ys[:, [j]])[0] for j in range(ys.shape[1])]
+
+    def run(days: pd.Series, ys: pd.Series) -> pd.DataFrame:
+        none = (None,) * len(CURVE_FIELDS)
+        found = [none] * len(days)
+        calendars = {}
+        for i, d in enumerate(days):
+            if d is not None and len(d) >= MIN_CURVE_POINTS:
+                calendars.setdefault(np.asarray(d, dtype=float).tobytes(), []).append(i)
+        for key, members in calendars.items():
+            stacked = np.stack([np.asarray(ys.iloc[i], dtype=float) for i in members], axis=1)
+            for i, row in zip(members, solved(np.frombuffer(key), stacked), strict=True):
+                found[i] = row or none
+        return pd.DataFrame(found, columns=list(CURVE_FIELDS))
+
+    return run
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

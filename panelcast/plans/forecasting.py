@@ -90,10 +90,13 @@ def backtest(
             fitted = arima.forecast_array(arima.fit(series, order), order)
             parts.append(_tagged(explode_test(fitted, keys, freq, F.col("model")), name))
         elif name == "additive":
-            parts.append(_tagged(additive.predict_test(additive.fit(series), keys), name))
-            # Too few fitted points for the curve: the smoother stands in.
-            rest = series.where(F.col("n") < additive.MIN_POINTS)
-            parts.append(_tagged(_smoothing_test(rest, keys, freq, m, in_sample), name))
+            # Where there is no curve (too few points, or a failed solve) the smoother stands in.
+            fitted = additive.fit(series)
+            if in_sample:
+                parts.append(_tagged(additive.predict_test(fitted, keys), name))
+                parts.append(_tagged(_smoothing_test(fitted.where(F.col("curve").isNull()), keys, freq, m, True), name))
+            else:
+                parts.append(_tagged(additive.predict_test_all(additive.stood_in(fitted, m), keys, freq), name))
         else:
             model = sequence_model or _trained(series, keys, sequence_kind, length, calendar)
             if model is not None:
@@ -164,12 +167,14 @@ def forecast(
             fitted = arima.forecast_array(arima.fit(series, order), order)
             parts.append(_future(fitted, keys, freq, name, band))
         elif name == "additive":
-            curve = additive.forecast(additive.fit(series), keys, freq, history=history)
-            parts.append(_tagged(curve, name))
-            rest = smoothing.smooth(series.where(F.col("n") < additive.MIN_POINTS), m)
-            parts.append(_future(smoothing.forecast_array(rest), keys, freq, name, band))
+            fitted = additive.fit(series)
             if history:
+                parts.append(_tagged(additive.forecast(fitted, keys, freq), name))
+                rest = smoothing.smooth(fitted.where(F.col("curve").isNull()), m)
+                parts.append(_future(smoothing.forecast_array(rest), keys, freq, name, band))
                 parts.append(_past(rest, keys, m, name, band))
+            else:
+                parts.append(_tagged(additive.forecast_all(additive.stood_in(fitted, m), keys, freq, band), name))
         else:
             model = sequence_model or _trained(series, keys, sequence_kind, length, calendar)
             if model is not None:
@@ -247,11 +252,10 @@ def fit_parameters(
         # One table: a row has the values before the forecast, or the state of the smoother that stands in.
         return rows.unionByName(smoothing.parameters(rest, keys), allowMissingColumns=True)
     if model == "additive":
-        curves = additive.parameters(additive.fit(series), keys)
-        rest = smoothing.smooth(series.where(F.col("n") < additive.MIN_POINTS), _season(season, freq))
-        states = smoothing.parameters(rest, keys)
         # One table: a row has a curve, or the state of the smoother that stands in for it.
-        return curves.where(F.col("n") >= additive.MIN_POINTS).unionByName(states, allowMissingColumns=True)
+        stood = additive.stood_in(additive.fit(series), _season(season, freq))
+        state = smoothing.parameters(stood, [*keys, "curve"])
+        return state.select(*keys, "model", "n", "last_period", "curve", "alpha", "beta", "gamma", "sse", "level", "trend", "season")
     raise ValueError(f"models are {MODELS}, got {model!r}")
 
 

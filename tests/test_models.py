@@ -219,6 +219,37 @@ def test_shared_calendar_equals_own_fit():
         np.testing.assert_allclose(np.concatenate(together[j][4:]), np.concatenate(alone[4:]), rtol=1e-9, atol=1e-12)
 
 
+def test_given_noise_is_the_posterior_mean():
+    rng = np.random.default_rng(2)
+    days, ys = np.arange(40) * 30.4, rng.standard_normal((40, 3))
+    design = kernels.design_matrix(days, 0.0, float(days[-1]), kernels.changepoint_days(days, 4), ((365.25, 2),))
+    prior = kernels.prior_scales(4, ((365.25, 2),))
+    beta, sigma = kernels.posterior_fit(design, prior, ys, 0.3)
+    direct = np.linalg.solve(design.T @ design / 0.09 + np.diag(1 / prior**2), design.T @ ys / 0.09)
+    np.testing.assert_allclose(beta, direct, rtol=1e-8, atol=1e-10)
+    assert list(sigma) == [0.3] * 3
+
+
+def test_one_failed_curve_leaves_the_others(spark, monkeypatch):
+    days = pd.Series([np.arange(30) * 30.0] * 3)
+    good = seasonal_values(30, 5)
+    ys = pd.Series([good, [np.inf, *good[1:]], good[::-1]])
+    for noise in (None, 0.1):
+        found = kernels.curve_rows(noise=noise)(days, ys)
+        assert found["scale"].notna().tolist() == [True, False, True]
+        alone = kernels.curve_rows(noise=noise)(days[:1], ys[:1])
+        np.testing.assert_allclose(found["season"][0], alone["season"][0])
+    broken = panel(spark, {"good": good, "bad": [np.inf, *good[1:]]})
+    rows = forecasting.forecast(broken, ["City"], "MS", ["additive"], 2).collect()
+    assert {r["City"]: r["variant"] for r in rows} == {"good": "additive", "bad": "ses"}
+    stored = forecasting.fit_parameters(broken, ["City"], "additive")
+    again = forecasting.forecast_parameters(stored, ["City"], "additive", horizon=2).collect()
+    assert {(r["City"], r["ds"], r["variant"]) for r in again} == {(r["City"], r["ds"], r["variant"]) for r in rows}
+    tested = forecasting.backtest(broken, ["City"], "MS", ["additive"]).collect()
+    assert {r["City"]: r["variant"] for r in tested}["good"] == "additive" and len(tested) == 12
+
+
+
 def test_linear_sequence_model(series):
     long = series.where("n = 40")
     rows = sequence.training_rows(long, ["City"])
