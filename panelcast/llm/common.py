@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 
 from pyspark import cloudpickle
@@ -12,7 +13,7 @@ from panelcast.session import materialize, scratch_path, shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["bind", "each", "gapless", "hinted", "materialize", "reading", "scratch_path", "shared_dir", "small_batches", "table"]
+__all__ = ["Blocks", "bind", "gapless", "hinted", "materialize", "reading", "scratch_path", "shared_dir", "shipped", "small_batches", "table"]
 
 ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 BROADCAST_ROWS = 1_000_000
@@ -69,11 +70,23 @@ def gapless(df: DataFrame, group: str, bucket: str, order: list[str], weight: st
     return ranked.join(firsts, [group, bucket]).withColumn(name, F.col("_first") + F.col("_inside")).drop("_first", "_inside")
 
 
-def each(blocks: list):
-    """The values of broadcast blocks, one after the other. A single block stays with the Python worker;
-    of several only the one in use is held."""
-    if len(blocks) == 1:
-        yield blocks[0].value
-    else:
-        for block in blocks:
-            yield block.load_from_path(block._path)
+def shipped(spark: SparkSession, value):
+    """A broadcast of any value for :class:`Blocks`. It travels as bytes that hold the code of its classes too, since
+    executors do not have this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+class Blocks:
+    """The values of :func:`shipped` blocks, one after the other. A single block stays unpacked; of several only
+    the one in use is held."""
+
+    def __init__(self, blocks: list):
+        self.blocks, self.only = blocks, None
+
+    def __iter__(self):
+        if len(self.blocks) == 1:
+            self.only = pickle.loads(self.blocks[0].value) if self.only is None else self.only
+            yield self.only
+        else:
+            for block in self.blocks:
+                yield pickle.loads(block.load_from_path(block._path))

@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import each, materialize, reading, small_batches
+from panelcast.llm.common import Blocks, materialize, reading, shipped, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -221,12 +221,13 @@ def search_batches(blocks: list, fields: list[str], kind: pa.DataType):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Blocks(blocks)
         for batch in batches:
             for start, texts in chunks(batch["text"].to_pylist()):
                 docs = [words_of(x) for x in texts]
                 spans: list[list] = [[] for _ in docs]
                 items: list[set] = [set() for _ in docs]
-                for block in each(blocks):
+                for block in held:
                     doc, first, phrase = block.occurrences(docs)
                     ends = first + block.lengths[phrase]
                     for d, a, b in zip(doc.tolist(), first.tolist(), ends.tolist(), strict=True):
@@ -286,7 +287,7 @@ def phrase_blocks(items: DataFrame, window: int = WINDOW) -> list:
     blocks = []
     for i in range(count):
         found = rows.filter(F.col("block") == i).select("phrase", "item_id").collect()
-        blocks.append(spark.sparkContext.broadcast(Block([(bytes(p), item) for p, item in found])))
+        blocks.append(shipped(spark, Block([(bytes(p), item) for p, item in found])))
     return blocks
 
 

@@ -23,7 +23,6 @@ N-grams are compared by 64-bit hashes.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import math
 import sys
@@ -48,6 +47,8 @@ RISK, SEEDS = 0.25, 12
 PARTS, FINE_PARTS, FINE_FROM = 64, 1024, 1000
 CHUNK = 2_000_000
 FEW = 8
+#: Sizes up to which layouts are worked out once for all tasks.
+KNOWN = 100_000
 CROWD, LEVELS = 32, 2
 BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 512, 400_000, 8192
 
@@ -141,10 +142,20 @@ def _risk(rule: Rule, segments: int, allocation: int, n: int, hi: int) -> float:
     return _tail(_weak(n, segments, allocation), spare // allocation) if spare >= 0 else 1.0
 
 
-@functools.cache
+#: Layouts worked out so far. A plain table, so that functions that use it are pickled by value.
+LAYOUTS: dict[tuple, tuple[int, int]] = {}
+
+
 def layout(rule: Rule, lo: int, hi: int, allocations: tuple[int, ...] = (1, 2)) -> tuple[int, int]:
     """Segments and allocation of the band whose larger sets have ``lo`` to ``hi`` elements: the cheapest
     in entries and chance agreements, further seeds included."""
+    key = rule.num, rule.den, lo, hi, allocations
+    if key not in LAYOUTS:
+        LAYOUTS[key] = _layout(rule, lo, hi, allocations)
+    return LAYOUTS[key]
+
+
+def _layout(rule: Rule, lo: int, hi: int, allocations: tuple[int, ...]) -> tuple[int, int]:
     options, sizes = [], sorted({max(1, lo * rule.num // rule.den), lo, hi})
     for allocation in allocations:
         fewest = -(-(rule.difference(2 * hi) + 1) // allocation)
@@ -233,6 +244,10 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def index_batches(rule: Rule):
+    for lo, hi in itertools.takewhile(lambda band: band[1] <= KNOWN, band_tops()):
+        if rule.difference(2 * hi):
+            layout(rule, lo, hi)  # travels with the function
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in _chunks(batch["text"].to_pylist()):

@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import each, hinted, materialize, reading, small_batches
+from panelcast.llm.common import Blocks, hinted, materialize, reading, shipped, small_batches
 from panelcast.llm.lookup import Lookup
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -218,7 +218,7 @@ def shards_of(model: DataFrame) -> list:
     for i in range(count):
         needed = F.col("seen_in").isin(-1, i) | F.col("back_in").isin(-1, i)
         found = keyed.filter(needed).select("length", "key", "logp", "back").toArrow()
-        out.append(model.sparkSession.sparkContext.broadcast(Shard(i, count, found)))
+        out.append(shipped(model.sparkSession, Shard(i, count, found)))
     return out
 
 
@@ -231,6 +231,7 @@ def train(trusted: DataFrame) -> list:
 
 def score_batches(shards: list, fields: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Blocks(shards)
         for batch in batches:
             bits: list[float | None] = [None] * len(batch)
             for rows, texts in chunks(batch["text"].to_pylist() if shards else [], SCORE_CHUNK):
@@ -241,7 +242,7 @@ def score_batches(shards: list, fields: list[str]):
                 for i in range(ORDER - 1):
                     inside[first - 1 - i] = False
                 at = np.flatnonzero(inside)
-                for shard in each(shards):
+                for shard in held:
                     mine = at if shard.shards == 1 else at[shard.owns(points[at - 1])]
                     logp[mine] = shard.logp(keys, mine)
                 lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1

@@ -212,13 +212,17 @@ def apply_edits(
 
     ``edits`` holds ``doc_id, edits``: per document an array of ``start, end, insertion`` in order, each
     in positions of the text that the ones before it left (an edit with a null position is skipped).
+    Several rows of one ``doc_id`` are applied one after the other, in ascending order of their arrays.
+    With a column ``key`` (see :func:`key_of`) the rows are those of one text; equal ones count once.
     Returns ``doc_id, n_tokens, n_edits, edited_tokens, edited_chars, encoded_chars, text, chars,
     tokens``; documents without edits keep their tree. Repeated documents share a tree and are edited
     alike; a null id has no edits. Edits meet their trees first, so texts are shuffled once.
     """
     rows = reading(df, doc_id=doc_id, text=text).withColumn("key", key_of(F.col("doc_id"), F.col("text")))
-    wanted = edits.select("doc_id", "edits").dropDuplicates(["doc_id"])
-    planned = trees.join(wanted, "doc_id", "left").groupBy("key")
+    on = "key" if "key" in edits.columns else "doc_id"
+    wanted = edits.filter(F.col("doc_id").isNotNull()).select(on, "edits")
+    wanted = (wanted.distinct() if on == "key" else wanted).groupBy(on).agg(F.flatten(F.sort_array(F.collect_list("edits"))).alias("edits"))
+    planned = trees.join(wanted, on, "left").groupBy("key")
     planned = planned.agg(F.first(F.struct("chars", "tokens", "edits")).alias("plan"))
     met = rows.join(planned, "key").select("doc_id", "text", "plan.*")
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -245,7 +249,7 @@ def sample_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             F.substring(body, F.lit(1), pick(seed + 2, F.lit(added + 1))).alias("insertion"),
         )
 
-    return rows.select("doc_id", F.array(edit(1, 40, 60), edit(11, 8, 8)).alias("edits"))
+    return rows.select("doc_id", key_of(F.col("doc_id"), F.col("text")).alias("key"), F.array(edit(1, 40, 60), edit(11, 8, 8)).alias("edits"))
 
 
 def count_through_edits(df: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -430,3 +430,31 @@ def test_lookup(keys, others):
     table, at = Lookup(np.array(keys, np.uint64)), {k: i for i, k in enumerate(keys)}
     asked = keys + others
     assert table.find(np.array(asked, np.uint64)).tolist() == [at.get(k, -1) for k in asked]
+
+
+# --- edits of one id --------------------------------------------------------------------------
+
+
+def test_no_edit_of_an_id_is_lost(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "alpha beta")], "doc_id long, text string")
+    schema = "doc_id long, edits array<struct<start:int,end:int,insertion:string>>"
+    edits = spark.createDataFrame([(1, [(4, 7, "2")]), (1, [(0, 3, "1")]), (2, [(0, 0, "x ")])], schema)
+    found = {r["doc_id"]: r for r in token_counts.apply_edits(docs, token_counts.build(docs), edits).collect()}
+    assert found[1]["n_edits"] == 2 and found[1]["text"] == "1 tw2hree"  # the array that starts first comes first
+    assert found[2]["text"] == "x alpha beta"
+
+
+def test_texts_under_one_id_keep_their_own_edits(spark):
+    docs = spark.createDataFrame([(1, "a text of its own " * 9), (1, "another one " * 20), (1, "another one " * 20)], "doc_id long, text string")
+    sampled = token_counts.sample_edits(docs)
+    rows = token_counts.apply_edits(docs, token_counts.build(docs), sampled).collect()
+    plans = {r["key"]: r["edits"] for r in sampled.collect()}
+    assert len(rows) == 3 and len(plans) == 2 and all(r["n_edits"] == 2 for r in rows)
+    counter, expected = token_counts.Counter(), []
+    for r in docs.withColumn("key", token_counts.key_of(docs["doc_id"], docs["text"])).collect():
+        text = r["text"]
+        for e in plans[r["key"]]:
+            start = min(e["start"], len(text))
+            text = text[:start] + e["insertion"] + text[min(max(e["end"], start), len(text)) :]
+        expected.append((text, int(counter.numbers(counter.pattern.findall(text)).sum())))
+    assert sorted((r["text"], r["edited_tokens"]) for r in rows) == sorted(expected)
