@@ -30,18 +30,36 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
 
 
+def nodes(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``node``, one number for each text of an id: the id itself for its first text (by a 64-bit
+    digest), and numbers beyond all ids for further ones. Ids with several texts are the only ones that are stored."""
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = docs.select("doc_id", digest.alias("digest"))
+    several = keyed.groupBy("doc_id").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).filter("first <> last")
+    several = materialize(several.select("doc_id", "first"), "several")
+    if several.isEmpty():
+        return docs.withColumn("node", F.col("doc_id").cast("long"))
+    further = materialize(keyed.join(several, "doc_id").filter("digest <> first").select("doc_id", "digest").distinct(), "further")
+    highest = docs.agg(F.max("doc_id")).first()[0]
+    further = materialize(further.withColumn("beyond", F.monotonically_increasing_id() + F.lit(highest + 1)), "beyond")
+    met = docs.withColumn("digest", digest).join(further, ["doc_id", "digest"], "left")
+    return met.withColumn("node", F.coalesce("beyond", F.col("doc_id").cast("long"))).drop("digest", "beyond")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar ones (five-word shingles, 0.8). Rows
-    under one id are one document, of which one row stays; rows with a null id stay."""
+    """The document with the smallest id of each group of similar ones (five-word shingles, 0.8). Several texts
+    under one id are documents of their own: the first by digest has the id's place, further ones come after all
+    ids. Of equal rows of one text one stays, that of the least other columns; rows with a null id stay. Null
+    and empty texts are similar to nothing; an empty table stays empty."""
     docs = docs.select(COLUMNS)
-    groups = materialize(jaccard.similar_groups(docs, jaccard.Rule()), "groups")
-    first = groups.filter("doc_id = component_id").select("doc_id")
-    ids = materialize(first.distinct(), "kept")
-    n = ids.count()
-    kept = docs.join(hinted(ids), "doc_id", "left_semi")
-    if first.count() > n:
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.union(docs.filter("doc_id is null"))
+    placed = nodes(docs.filter("doc_id is not null"))
+    groups = materialize(jaccard.similar_groups(placed, jaccard.Rule(), doc_id="node"), "groups")
+    first = groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("node")).agg(F.count(F.lit(1)).alias("rows"))
+    first = materialize(first, "kept")
+    kept = placed.join(hinted(first.filter("rows = 1").select("node")), "node", "left_semi").select(COLUMNS)
+    repeated = placed.join(hinted(first.filter("rows > 1").select("node")), "node", "left_semi")
+    one = repeated.groupBy("node").agg(F.min(F.struct(COLUMNS)).alias("row")).select("row.*")
+    return kept.union(one).union(docs.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
