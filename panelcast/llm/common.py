@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 import sys
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +17,7 @@ from panelcast.session import materialize, scratch_path, shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["Blocks", "bind", "gapless", "hinted", "materialize", "reading", "scratch_path", "shared_dir", "shipped", "small_batches", "table"]
+__all__ = ["Blocks", "bind", "gapless", "hinted", "materialize", "reading", "release", "scratch_path", "shared_dir", "shipped", "small_batches", "stored", "table", "temporary"]
 
 ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 BROADCAST_ROWS = 1_000_000
@@ -40,6 +44,43 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(size, f"{ARROW_BYTES}b")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, like ``materialize``, as a table that :func:`release`
+    can drop."""
+    spark = df.sparkSession
+    base = f"{shared_dir(spark)}/panelcast-scratch"
+    name = f"scratch_{hashlib.md5(base.encode()).hexdigest()[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{base}'")
+    table_name = f"{label}_{uuid.uuid4().hex}".lower()
+    df.write.format("parquet").saveAsTable(f"{name}.{table_name}")
+    out = spark.read.schema(df.schema).parquet(f"{base}/{table_name}")
+    out._scratch = f"{name}.{table_name}"
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Drop :func:`stored` tables, files included, that nothing reads any more."""
+    for t in tables:
+        name = getattr(t, "_scratch", None) if t is not None else None
+        if name:
+            t.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@contextmanager
+def temporary() -> Iterator:
+    """A function like :func:`stored` whose tables go when the block ends, also by an error."""
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        held.append(stored(df, label))
+        return held[-1]
+
+    try:
+        yield keep
+    finally:
+        release(*held)
+
+
 def hinted(small: DataFrame) -> DataFrame:
     """A stored table of few bytes a row to join with: broadcast if its rows are few, else left to a
     shuffled join."""

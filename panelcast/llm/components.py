@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import materialize
+from panelcast.llm.common import release, stored, temporary
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -14,14 +14,15 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     )
 
 
-def _star(pairs: DataFrame, keep) -> DataFrame:
-    """Edges from every neighbour ``v`` of ``u`` that ``keep`` admits to the least of the neighbours
+def _star(pairs: DataFrame, keep: Column, label: str) -> DataFrame:
+    """Stored edges from every neighbour ``v`` of ``u`` that ``keep`` admits to the least of the neighbours
     and ``u``. Both join inputs are read from stored tables, so the partition of a hub can be split."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
-    least = materialize(least, "least")
-    met = pairs.join(least, "u").filter(keep).select(F.col("v").alias("b"), F.col("m").alias("a"))
-    own = least.filter("u <> m").select(F.col("u").alias("b"), F.col("m").alias("a"))
-    return met.union(own).filter("a <> b").select("a", "b").distinct()
+    with temporary() as temp:
+        least = pairs.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
+        least = temp(least, "least")
+        met = pairs.join(least, "u").filter(keep).select(F.col("v").alias("b"), F.col("m").alias("a"))
+        own = least.filter("u <> m").select(F.col("u").alias("b"), F.col("m").alias("a"))
+        return stored(met.union(own).filter("a <> b").select("a", "b").distinct(), label)
 
 
 def _state(edges: DataFrame):
@@ -29,21 +30,26 @@ def _state(edges: DataFrame):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, label`` of every node on an edge ``a, b``: the smallest node it is connected with.
+    """``node, label`` of every node on an edge ``a, b``: the smallest node it is connected with, as a stored table.
 
     Each pass hangs neighbours under smaller ones until every edge leads to its component's smallest
     node; passes grow with the logarithm of the longest path. Only a count and a checksum of the
-    edges reach the driver.
+    edges reach the driver, and only the last pass's tables stay until the labels are stored.
     """
     edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = materialize(edges, "edges")
+    edges = stored(edges, "edges")
     state = _state(edges)
     while state[0]:
-        edges = materialize(_star(_both_ways(edges), F.col("v") > F.col("u")), "large")
-        down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        edges = materialize(_star(down, F.lit(True)), "small")
+        large = _star(_both_ways(edges), F.col("v") > F.col("u"), "large")
+        release(edges)
+        down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        edges = _star(down, F.lit(True), "small")
+        release(large)
         before, state = state, _state(edges)
         if state == before:
             break
     labels = edges.select(F.col("b").alias("node"), F.col("a").alias("label"))
-    return labels.union(edges.select(F.col("a").alias("node"), F.col("a").alias("label"))).distinct()
+    labels = labels.union(edges.select(F.col("a").alias("node"), F.col("a").alias("label"))).distinct()
+    labels = stored(labels, "labels")
+    release(edges)
+    return labels

@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import hinted, materialize, reading, small_batches
+from panelcast.llm.common import hinted, materialize, reading, release, small_batches, stored, temporary
 from panelcast.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -295,10 +295,9 @@ def level_batches(rule: Rule, level: int):
 # --- join -----------------------------------------------------------------------------
 
 
-def involved(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The sets of the documents in stored ``pairs``, so that no join moves the others."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    return sets.join(hinted(materialize(ids, "involved")), "id", "left_semi")
+def ids_of(pairs: DataFrame) -> DataFrame:
+    """The documents in ``pairs``."""
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule, parts: str = "parts") -> DataFrame:
@@ -315,9 +314,9 @@ def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule, parts: str = "parts
     return met.select("a", "b").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The stored pairs ``a, b`` whose sets link."""
-    sets = involved(sets, pairs)
+def verified(pairs: DataFrame, sets: DataFrame, involved: DataFrame, rule: Rule) -> DataFrame:
+    """The stored pairs ``a, b`` whose sets link; ``involved`` are their documents, so no join moves others."""
+    sets = sets.join(hinted(involved), "id", "left_semi")
     a = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     b = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     met = pairs.join(b, "b").join(a, "a")
@@ -334,39 +333,45 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return met.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def link_all(
-    pairs: DataFrame, sets: DataFrame, links: DataFrame, labels: DataFrame, rule: Rule
-) -> tuple[DataFrame, DataFrame]:
-    """Links grown by those among ``pairs``, and the components of all links.
+def link_all(pairs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """The components grown by the links among ``pairs``.
 
     A first pass tries each document with one partner only, which joins most groups; the second tries
     whatever pairs still lie in different components.
     """
-    pairs = materialize(plausible(pairs, sets, rule), "plausible")
-    if not pairs.isEmpty():  # long documents need a finer division
-        pairs = materialize(plausible(pairs, involved(sets, pairs), rule, "fine"), "finer")
-    for one_each in (True, False):
+    with temporary() as temp:
+        pairs = temp(plausible(pairs, sets, rule), "plausible")
         if pairs.isEmpty():
-            break
-        tried = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried") if one_each else pairs
-        links, labels = grown(links, labels, verified(tried, sets, rule))
-        pairs = materialize(apart(pairs, labels), "apart") if one_each else pairs
-    return links, labels
-
-
-def grown(links: DataFrame, labels: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
-    more = materialize(more, "linked")
-    if more.isEmpty():
-        return links, labels
-    links = links.union(more)
-    return links, materialize(components(links), "labels")
+            return labels
+        # Long documents need a finer division.
+        involved = sets.join(hinted(temp(ids_of(pairs), "involved")), "id", "left_semi")
+        pairs = temp(plausible(pairs, involved, rule, "fine"), "finer")
+        for one_each in (True, False):
+            if pairs.isEmpty():
+                break
+            tried = temp(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried") if one_each else pairs
+            labels = grown(labels, verified(tried, sets, temp(ids_of(tried), "involved"), rule))
+            pairs = temp(apart(pairs, labels), "apart") if one_each else pairs
+        return labels
+
+
+def grown(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """The components of stored ``labels`` joined by further links; the labels given are dropped if there are any."""
+    with temporary() as temp:
+        more = temp(more, "linked")
+        if more.isEmpty():
+            return labels
+        known = labels.select(F.col("label").alias("a"), F.col("node").alias("b"))
+        found = components(known.union(more.select("a", "b")))
+        release(labels)
+        return found
 
 
 def gram_tables(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
-    """``id, n, parts, grams`` of the documents in ``ids``, from their texts."""
+    """``id, n, parts, grams`` of the documents in ``ids``, from their texts, as a stored table."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.join(hinted(ids), "doc_id", "left_semi")
-    return materialize(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, fine array<short>, grams array<long>"), "sets")
+    return stored(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, fine array<short>, grams array<long>"), "sets")
 
 
 def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -389,41 +394,47 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
     docs = reading(df, doc_id=doc_id, text=text)
     kind = docs.schema["doc_id"].dataType.simpleString()
     index = docs.mapInArrow(index_batches(rule), f"doc_id {kind}, n long, digest binary, entries array<long>")
-    index = materialize(index, "index")
+    index = stored(index, "index")
     known = index.filter("doc_id is not null and digest is not null")
     reps = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("id")), "reps")
-    links = same_document(known, reps)
-
-    labels = materialize(components(links), "labels")
-    few = known.select("doc_id", "digest", F.slice("entries", 1, FEW).alias("entries"))
-    copies = known.select("doc_id", "digest").join(reps, "digest").filter("doc_id <> id")
-    copies = hinted(materialize(copies.select("doc_id", "digest").distinct(), "copies"))
-    near = materialize(shared_entries(few.join(copies, ["doc_id", "digest"], "left_anti"), labels), "near")
-    ids = materialize(near.select(F.col("id").alias("doc_id")).distinct(), "ids")
-    sets = gram_tables(docs, ids, rule)
-    pairs = near.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links, labels = link_all(pairs, sets, links, labels, rule)
-
-    rows = known.select("doc_id", "digest", "entries").join(copies, ["doc_id", "digest"], "left_anti")
-    members = materialize(shared_entries(rows, labels), "members")
-    more = members.select(F.col("id").alias("doc_id")).distinct().join(ids, "doc_id", "left_anti")
-    sets = sets.unionByName(gram_tables(docs, materialize(more, "more"), rule))
-    for level in range(1, LEVELS + 1):
-        links, labels = settle(members.filter(F.col("bucket.held") <= CROWD), sets, links, labels, rule)
-        crowded = materialize(members.filter(F.col("bucket.held") > CROWD).select("pivot", "id"), "crowded")
-        if crowded.isEmpty():
-            break
-        if level == LEVELS:
-            links, labels = grown(links, labels, crowd_links(crowded, sets, labels, rule))
-        else:
-            again = hinted(materialize(crowded.select("id").distinct(), "again"))
-            rows = sets.select("id", "grams").join(again, "id", "left_semi")
-            rows = rows.mapInArrow(level_batches(rule, level), f"doc_id {kind}, entries array<long>")
-            members = materialize(shared_entries(rows, labels), "members")
+    labels = components(same_document(known, reps))
+    with temporary() as temp:
+        few = known.select("doc_id", "digest", F.slice("entries", 1, FEW).alias("entries"))
+        copies = known.select("doc_id", "digest").join(reps, "digest").filter("doc_id <> id")
+        copies = hinted(temp(copies.select("doc_id", "digest").distinct(), "copies"))
+        near = temp(shared_entries(few.join(copies, ["doc_id", "digest"], "left_anti"), labels), "near")
+        ids = temp(near.select(F.col("id").alias("doc_id")).distinct(), "ids")
+        first = sets = gram_tables(docs, ids, rule)
+        pairs = near.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+        labels = link_all(pairs, sets, labels, rule)
+
+        rows = known.select("doc_id", "digest", "entries").join(copies, ["doc_id", "digest"], "left_anti")
+        members = stored(shared_entries(rows, labels), "members")
+        # Of the index only what the result needs stays; the entries are most of it.
+        out = materialize(index.select("doc_id", "n", "digest"), "documents")
+        release(index)
+        more = members.select(F.col("id").alias("doc_id")).distinct().join(ids, "doc_id", "left_anti")
+        second = gram_tables(docs, temp(more, "more"), rule)
+        sets = first.unionByName(second)
+        for level in range(1, LEVELS + 1):
+            labels = settle(members.filter(F.col("bucket.held") <= CROWD), sets, labels, rule)
+            crowded = temp(members.filter(F.col("bucket.held") > CROWD).select("pivot", "id"), "crowded")
+            release(members)
+            if crowded.isEmpty():
+                break
+            if level == LEVELS:
+                labels = crowd_links(crowded, sets, labels, rule)
+            else:
+                again = hinted(temp(crowded.select("id").distinct(), "again"))
+                rows = sets.select("id", "grams").join(again, "id", "left_semi")
+                rows = rows.mapInArrow(level_batches(rule, level), f"doc_id {kind}, entries array<long>")
+                members = stored(shared_entries(rows, labels), "members")
+        release(first, second)
 
     found = reps.join(labels, reps["id"] == labels["node"], "left")
     found = materialize(found.select("digest", F.coalesce("label", "id").alias("component")), "found")
-    out = index.select("doc_id", "n", "digest").join(found, "digest", "left")
+    release(labels)
+    out = out.join(found, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
@@ -465,40 +476,42 @@ def block_links(rule: Rule):
 
 
 def crowd_links(crowded: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
-    """Links ``a, b`` that join all linked documents which share a crowded bucket.
+    """The components after joining all linked documents which share a crowded bucket.
 
     Documents that crowded buckets tie together are dealt to blocks of bounded size; every two blocks
     meet in one task, which counts common n-grams of all its documents at once and returns a forest.
     Rows move once per block of their crowd, never per pair.
     """
-    clouds = materialize(components(crowded.select(F.col("pivot").alias("a"), F.col("id").alias("b"))), "clouds")
-    clouds = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud"))
-    rows = clouds.join(labels, clouds["id"] == labels["node"], "left").select("id", "cloud", F.coalesce("label", "id").alias("label"))
-    rows = rows.join(sets.select("id", "n"), "id")
-    dense = rows.groupBy("cloud").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).alias("blocks"),
-        F.min("label").alias("x"),
-        F.max("label").alias("y"),
-    ).filter("x < y")
-    rows = clouds.join(materialize(dense.select("cloud", "blocks"), "dense"), "cloud")
-    rows = rows.select("id", "cloud", "blocks", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
-    rows = sets.select("id", "grams").join(hinted(materialize(rows, "dealt")), "id")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("id", "grams", "cloud", "block", other)
-    rows = rows.select("id", "grams", "cloud", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    kind = sets.schema["id"].dataType.simpleString()
-    return rows.groupBy("cloud", "x", "y").applyInArrow(block_links(rule), f"a {kind}, b {kind}").distinct()
-
-
-def settle(
-    members: DataFrame, sets: DataFrame, links: DataFrame, labels: DataFrame, rule: Rule
-) -> tuple[DataFrame, DataFrame]:
-    """Links and components after trying all pairs that lie in one bucket of at most ``CROWD`` documents
+    clouds = components(crowded.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+    with temporary() as temp:
+        rows = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud")).alias("c")
+        rows = rows.join(labels, F.col("c.id") == labels["node"], "left").select("id", "cloud", F.coalesce("label", "id").alias("label"))
+        rows = rows.join(sets.select("id", "n"), "id")
+        dense = rows.groupBy("cloud").agg(
+            F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).alias("blocks"),
+            F.min("label").alias("x"),
+            F.max("label").alias("y"),
+        ).filter("x < y")
+        rows = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud")).join(temp(dense.select("cloud", "blocks"), "dense"), "cloud")
+        rows = rows.select("id", "cloud", "blocks", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+        rows = sets.select("id", "grams").join(hinted(temp(rows, "dealt")), "id")
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+        rows = rows.select("id", "grams", "cloud", "block", other)
+        rows = rows.select("id", "grams", "cloud", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+        kind = sets.schema["id"].dataType.simpleString()
+        labels = grown(labels, rows.groupBy("cloud", "x", "y").applyInArrow(block_links(rule), f"a {kind}, b {kind}").distinct())
+    release(clouds)
+    return labels
+
+
+def settle(members: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """The components after trying all pairs that lie in one bucket of at most ``CROWD`` documents
     and in different components."""
-    rows = unresolved(members.select("bucket", "id"), labels)
-    sizes = sets.groupBy("id").agg(F.min("n").alias("low"), F.max("n").alias("high"))  # an id may have several texts
-    rows = materialize(rows.join(hinted(materialize(sizes, "sizes")), "id"), "rows")
-    return link_all(between(rows, rule), sets, links, labels, rule)
+    with temporary() as temp:
+        rows = unresolved(members.select("bucket", "id"), labels)
+        sizes = sets.groupBy("id").agg(F.min("n").alias("low"), F.max("n").alias("high"))  # an id may have several texts
+        rows = temp(rows.join(hinted(temp(sizes, "sizes")), "id"), "rows")
+        return link_all(between(rows, rule), sets, labels, rule)
 
 
 def shared_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -544,4 +557,4 @@ def same_document(known: DataFrame, reps: DataFrame) -> DataFrame:
     """Links between the representatives of different texts under one id."""
     several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y")
     rows = known.select("doc_id", "digest").join(several.select("doc_id"), "doc_id").join(reps, "digest")
-    return materialize(rows.select(F.col("id").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct(), "same")
+    return rows.select(F.col("id").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct()
