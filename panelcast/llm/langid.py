@@ -5,7 +5,8 @@ word (a run of letters, lower-cased, in UTF-8) is coded byte by byte and closed
 context of spaces: a byte seen after the deepest known context costs ``-log2(n / (T + D))`` (``T``
 bytes, ``D`` different ones seen there); otherwise the escape ``-log2(D / (T + D))`` is paid and the
 context shortened. Below order 0 every byte costs 8 bits. The language with the shortest code of all
-words wins (the alphabetically first of equal ones); its score is its share of ``2 ** -length``.
+words wins (the alphabetically first of equal ones); its score is its share of ``2 ** -length`` with lengths
+per letter, so that it tells how clear the choice is and not how long the text.
 
 Training reads a bounded sample: the documents of a language whose hash falls in a share that holds about
 ``docs_per_lang`` of them (all of a smaller language). Training and prediction read whole texts.
@@ -117,10 +118,10 @@ class Scorer:
         self.rows.update(zip(words, range(n, n + len(words)), strict=True))
         self.bits[n : n + len(words)] = self.model.of_words(words)
 
-    def lengths(self, texts: list[str]) -> tuple[np.ndarray, list[bool]]:
-        """Bits of each text by language, and whether it has a letter."""
+    def lengths(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Bits of each text by language, and its letters."""
         words = [WORDS.findall(x.lower()) for x in texts]
-        letters = [any(any(map(str.isalpha, w)) for w in part) for part in words]
+        counts = [sum(map(len, part)) if any(any(map(str.isalpha, w)) for w in part) else 0 for part in words]
         flat = list(itertools.chain.from_iterable(words))
         if len(self.rows) > CACHED:
             self.clear()
@@ -131,18 +132,18 @@ class Scorer:
         bits = np.zeros((len(texts), len(self.model.langs)))
         for i, (end, part) in enumerate(zip(ends, words, strict=True)):
             bits[i] = self.bits[at[end - len(part) : end]].sum(axis=0)
-        return bits, letters
+        return bits, counts
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out = [(UNKNOWN, 0.0)] * len(texts)
         if not self.model.langs:
             return out
         for rows in groups(texts):
-            bits, letters = self.lengths([texts[i] for i in rows])
-            for i, b, known in zip(rows, bits, letters, strict=True):
-                if known:
+            bits, counts = self.lengths([texts[i] for i in rows])
+            for i, b, n in zip(rows, bits, counts, strict=True):
+                if n:
                     best = int(np.argmin(b))
-                    share = 1 / np.exp2(np.maximum(b[best] - b, -1000)).sum()
+                    share = 1 / np.exp2(np.maximum(b[best] - b, -1000 * n) / n).sum()
                     out[i] = self.model.langs[best], float(share)
         return out
 

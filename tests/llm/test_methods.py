@@ -458,3 +458,12 @@ def test_texts_under_one_id_keep_their_own_edits(spark):
             text = text[:start] + e["insertion"] + text[min(max(e["end"], start), len(text)) :]
         expected.append((text, int(counter.numbers(counter.pattern.findall(text)).sum())))
     assert sorted((r["text"], r["edited_tokens"]) for r in rows) == sorted(expected)
+
+
+def test_score_tells_clearness_not_length(spark):
+    rows = [(i, w, "x" if i % 2 else "y") for i in range(40) for w in [("abc bca cab " if i % 2 else "uvw vwu wuv ") * 5]]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    scorer = langid.Scorer(model)
+    short, long, mixed = scorer.predict(["abc bca", "abc bca " * 500, "abc bca uvw vwu abc"])
+    assert short[0] == long[0] == mixed[0] == "x"
+    assert abs(short[1] - long[1]) < 1e-9 and 0.5 < mixed[1] < short[1] < 1

@@ -97,3 +97,33 @@ def test_stages_against_plain_version(spark, corpus):
 
 def test_first_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "personal_data", "packing"]
+
+
+A = "a text of some ten words that many others will never share with it at all"
+B = "something else entirely stands in this second text and no word of it is close"
+
+
+def kept(spark, rows):
+    docs = spark.createDataFrame([(i, t, s, None, 1) for i, t, s in rows], DOCS)
+    return sorted((r["doc_id"], r["text"], r["lang"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+
+
+def test_no_text_of_an_id_is_lost(spark):
+    assert kept(spark, [(5, A, "x"), (5, B, "x"), (1, A, "x")]) == [(1, A, "x"), (5, B, "x")]
+    assert kept(spark, [(5, A, "x"), (5, B, "x")]) == sorted([(5, A, "x"), (5, B, "x")])
+    found = kept(spark, [(5, A, "x"), (5, B, "x"), (9, A, "x"), (9, B, "x"), (9, B, "x"), (7, "c d e f g h i", "x")])
+    assert sorted(t for _, t, _ in found) == sorted([A, B, "c d e f g h i"]) and (7, "c d e f g h i", "x") in found
+
+
+def test_of_equal_rows_the_least_stays(spark):
+    assert kept(spark, [(2, A, "b"), (2, A, "a"), (2, A, "c"), (3, B, "z")]) == [(2, A, "a"), (3, B, "z")]
+
+
+def test_nodes_keep_plain_ids(spark):
+    docs = spark.createDataFrame([(4, A), (4, B), (4, B), (8, A), (8, None)], "doc_id long, text string")
+    rows = [tuple(r) for r in corpus_pipeline.nodes(docs).select("doc_id", "text", "node").collect()]
+    by_text = {}
+    for i, t, n in rows:
+        by_text.setdefault((i, t), set()).add(n)
+    assert all(len(n) == 1 for n in by_text.values()) and len({min(n) for n in by_text.values()}) == 4
+    assert {n for (i, _), ns in by_text.items() for n in ns if n == i} == {4, 8}
