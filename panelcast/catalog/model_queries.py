@@ -824,3 +824,63 @@ def customer_backtest_status(spark, sf_dir):
     """Every model is scored on the same dates; series too short to be cut say so."""
     rows = forecasting.backtest(_customer_panel(spark, sf_dir), CUSTOMERS, "QS")
     return rows.groupBy("o_custkey", "model", "variant", "status").agg(F.count("yhat").alias("n_scored"))
+
+
+def _short_search(kind: str) -> str:
+    """CTEs that end in ``{kind}_final(o_custkey, l, b)``: the grid search of a smoother without a season, one pass
+    around the winner, and the last state under the winning parameters."""
+    trend = kind == smoothing.TREND
+    start = "ys[2] AS l, ys[2] - ys[1] AS b, 2 AS i" if trend else "ys[1] AS l, 0.0::double AS b, 1 AS i"
+    level = "alpha * y + (1 - alpha) * (l + b)"
+    slope = f"beta * (({level}) - l) + (1 - beta) * b" if trend else "b"
+    grid = ", ".join(f"({round(0.1 * i, 1)}::double)" for i in range(1, 10))
+    betas = grid if trend else "(0.0::double)"
+    moves = "(-0.05::double), (0.0::double), (0.05::double)"
+    clip = "greatest(0.01::double, least(0.99::double, {}))"
+    around = clip.format("beta + db") if trend else "beta"
+
+    def run(name: str, candidates: str) -> str:
+        return f"""
+    {name} AS (
+      SELECT o_custkey, alpha, beta, i, l, b, 0.0::double AS sse FROM {kind}_start JOIN {candidates} USING (o_custkey)
+      UNION ALL
+      SELECT o_custkey, alpha, beta, i + 1 AS i, {level} AS l, {slope} AS b, sse + (y - (l + b)) * (y - (l + b)) AS sse
+      FROM (SELECT r.*, p.ys[r.i + 1] AS y FROM {name} r JOIN {kind}_series p USING (o_custkey) WHERE r.i < p.n))"""
+
+    def winner(name: str, source: str) -> str:
+        return f"""
+    {name} AS (
+      SELECT * FROM (
+        SELECT r.*, row_number() OVER (PARTITION BY r.o_custkey ORDER BY sse, alpha, beta) AS place
+        FROM {source} r JOIN {kind}_series p USING (o_custkey) WHERE r.i = p.n) WHERE place = 1)"""
+
+    return f"""
+    {kind}_series AS (SELECT * FROM series WHERE {"n BETWEEN 3 AND 7" if trend else "n < 3"}),
+    {kind}_start AS (SELECT o_custkey, {start} FROM {kind}_series),
+    {kind}_coarse AS (SELECT o_custkey, alpha, beta FROM {kind}_series, (VALUES {grid}) x(alpha), (VALUES {betas}) y(beta)),
+    {run(f"{kind}_run", f"{kind}_coarse")}, {winner(f"{kind}_best", f"{kind}_run")},
+    {kind}_fine AS (
+      SELECT DISTINCT o_custkey, {clip.format("alpha + da")} AS alpha, {around} AS beta
+      FROM {kind}_best, (VALUES {moves}) x(da), (VALUES {moves}) y(db)),
+    {run(f"{kind}_fine_run", f"{kind}_fine")}, {winner(f"{kind}_final", f"{kind}_fine_run")}"""
+
+
+@register(
+    "customer_short_values",
+    f"""
+    WITH RECURSIVE panel AS (
+      SELECT o_custkey, cast(date_trunc('quarter', o_orderdate) AS date) AS period, cast(sum(cast(o_totalprice AS decimal(18,2))) AS double) AS sales
+      FROM orders GROUP BY 1, 2 HAVING sum(cast(o_totalprice AS decimal(18,2))) > 0),
+    series AS (
+      SELECT o_custkey, list(sales ORDER BY period) AS ys, count(*) AS n, max(period) AS last_period FROM panel GROUP BY 1),
+    {_short_search(smoothing.TREND)}, {_short_search(smoothing.LEVEL)}
+    SELECT o_custkey, kind AS variant, cast(last_period + to_months((3 * h)::int) AS date) AS ds, round(l + h * b, 1) AS yhat
+    FROM (SELECT o_custkey, 'holt' AS kind, l, b FROM holt_final UNION ALL SELECT o_custkey, 'ses', l, b FROM ses_final)
+      JOIN series USING (o_custkey), (SELECT unnest(range(1, 7)) AS h)
+    """,
+)
+def customer_short_values(spark, sf_dir):
+    """Forecasts of the customers too short for a season: the searched trend, and the level below three quarters."""
+    rows = forecasting.forecast(_customer_panel(spark, sf_dir), CUSTOMERS, "QS", ["holt_winters"])
+    short = rows.where(F.col("variant").isin(smoothing.TREND, smoothing.LEVEL))
+    return short.select("o_custkey", "variant", "ds", F.round("yhat", 1).alias("yhat"))
