@@ -113,14 +113,14 @@ class ForecastStore:
         return both.withColumn("change", change).where(F.col("change").isNotNull()).drop("_before")
 
     def update(self, panel: DataFrame, retrain: bool = False) -> DataFrame:
-        """Bring the table up to date with ``panel`` (``keys…, period, sales``); returns the stored table of changes
-        (see :meth:`outdated`). Series that left the panel leave the table, other models' folders stay."""
+        """Bring the table up to date with ``panel`` (``keys…, period, sales``, a stored table at best, as it is read
+        for the digests and for the fits); returns the stored table of changes (see :meth:`outdated`). Series that left the panel leave the table, other models' folders stay."""
         if "sequence" in self.models and (retrain or self._sequence is None):
             model = forecasting.train_sequence(panel, self.keys, **self._training())
             if model is None:
                 raise ValueError("no series is long enough to train the sequence model")
             forecasting.save_sequence(model, f"{self.path}/sequence", "overwrite")
-            del self.__dict__["_sequence"]
+            self.__dict__.pop("_sequence", None)
         changes = materialize(self.outdated(panel), "changes")
         models = sorted(r["model"] for r in changes.select("model").distinct().collect())
         if not models:
