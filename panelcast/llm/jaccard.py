@@ -45,7 +45,7 @@ BAND_GROWTH = 1.4
 CHANCE, WEIGHT = 0.3, 200.0
 RISK, SEEDS = 0.25, 12
 PARTS, FINE_PARTS, FINE_FROM = 64, 1024, 1000
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 FEW = 8
 #: Sizes up to which layouts are worked out once for all tasks.
 KNOWN = 100_000

@@ -34,7 +34,7 @@ ORDER = 4
 DOCS_PER_LANG = 400
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
-CHUNK, CACHED = 1_000_000, 400_000
+CHUNK, CACHED = 1_000_000, 150_000
 
 
 def symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
