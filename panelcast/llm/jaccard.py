@@ -8,6 +8,8 @@ allocation is 1, or up to one element, if it is 2. A segment with allocation 1 i
 its subset, one with allocation 2 also by the hashes of its subset without one element. ``layout``
 chooses segments and allocation for each band of sizes by a cost of entries and chance agreements:
 few large segments with one-deletion entries for short documents, many small ones for long documents.
+A set stops at the first segment at which the allocations of its filled ones exceed the differences that its
+own size allows: of two linked sets the one that stops first has an agreeing segment by then.
 
 Empty segments (or, with allocation 2, nearly empty ones) agree by chance and are left out; a layout has
 slack for them. A set whose slack does not suffice is indexed once more under another seed, and so on: of
@@ -47,6 +49,8 @@ RISK, SEEDS = 0.25, 12
 PARTS, FINE_PARTS, FINE_FROM = 64, 1024, 1000
 CHUNK = 1_000_000
 FEW = 8
+#: Entries keep 48 bits, which chance lets agree once in 1e14 pairs of entries and the exchange compresses.
+SPARE_BITS = np.uint64(16)
 #: Sizes up to which layouts are worked out once for all tasks.
 KNOWN = 100_000
 CROWD, LEVELS = 32, 2
@@ -189,13 +193,14 @@ def entries(grams: np.ndarray, rule: Rule, level: int = 0) -> np.ndarray:
                 out.append(found)
                 if enough:
                     break
-    return np.unique(np.concatenate(out)) if out else grams[:0]
+    return np.unique(np.concatenate(out) >> SPARE_BITS) if out else grams[:0]
 
 
 def _entries(
     grams: np.ndarray, scheme: int, segments: int, allocation: int, most: int, last: bool
 ) -> tuple[np.ndarray, bool]:
-    """Entries of one scheme, and whether its filled segments outweigh ``most`` differences."""
+    """Entries of one scheme up to the segment whose filled ones outweigh ``most`` differences, and whether there
+    is one; else all entries."""
     with np.errstate(over="ignore"):
         tokens = mix(grams + np.uint64(scheme + 1))
         segment = (tokens >> np.uint64(11)) % np.uint64(segments)
@@ -206,12 +211,15 @@ def _entries(
         sums = np.zeros(segments, np.uint64)
         sums[used] = np.add.reduceat(tokens, (np.cumsum(held) - held)[used])
         label = mix(np.arange(segments, dtype=np.uint64) + (np.uint64(scheme) << np.uint64(40)))
+        empty = held < allocation
+        outweighed = np.flatnonzero(allocation * np.cumsum(~empty) > most)
+        enough = len(outweighed) > 0
+        end = int(outweighed[0]) + 1 if enough else segments
+        used = used[used < end]
         parts = [mix(sums[used] + label[used])]
         if allocation == 2:
-            drop = held[segment] > 1
+            drop = (held[segment] > 1) & (segment < end)
             parts.append(mix((sums[segment] - tokens + label[segment])[drop]))
-        empty = held < allocation
-        enough = allocation * (segments - int(empty.sum())) > most
         if last and not enough:
             parts.append(mix(label[empty]))
     return np.concatenate(parts), enough
@@ -295,9 +303,11 @@ def level_batches(rule: Rule, level: int):
 # --- join -----------------------------------------------------------------------------
 
 
-def ids_of(pairs: DataFrame) -> DataFrame:
-    """The documents in ``pairs``."""
-    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def of_pairs(sets: DataFrame, pairs: DataFrame, *sides: str) -> DataFrame:
+    """The rows of ``sets`` whose documents are on the given sides of stored ``pairs``. Rows of sets stay where
+    they are while the pairs are few."""
+    ids = [pairs.select(F.col(side).alias("id")) for side in sides]
+    return sets.join(hinted(ids[0] if len(ids) == 1 else ids[0].union(ids[1])), "id", "left_semi")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule, parts: str = "parts") -> DataFrame:
@@ -311,25 +321,25 @@ def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule, parts: str = "parts
     most = F.when((F.size("pa") == 0) | (F.size("pb") == 0), small).otherwise(most)
     met = met.filter(small * rule.den >= large * rule.num)
     met = met.withColumn("most", most).filter(F.col("most") * rule.den >= (F.col("na") + F.col("nb") - F.col("most")) * rule.num)
-    return met.select("a", "b").distinct()
+    return met.select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, involved: DataFrame, rule: Rule) -> DataFrame:
-    """The stored pairs ``a, b`` whose sets link; ``involved`` are their documents, so no join moves others."""
-    sets = sets.join(hinted(involved), "id", "left_semi")
-    a = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The stored pairs ``a, b`` whose sets link. Few pairs go to the sets of ``b``; what then moves is a set for each
+    pair, and the sets of ``a`` once."""
+    a = of_pairs(sets, pairs, "a").select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     b = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
-    met = pairs.join(b, "b").join(a, "a")
+    met = b.join(hinted(pairs), "b").join(a, "a")
     met = met.withColumn("both", F.size(F.array_intersect("ga", "gb")).cast("long"))
     union = F.size("ga") + F.size("gb") - F.col("both")
-    return met.filter(F.col("both") * rule.den >= union * rule.num).select("a", "b").distinct()
+    return met.filter(F.col("both") * rule.den >= union * rule.num).select("a", "b")
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose documents are in different components so far."""
     a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    met = pairs.join(a, "a", "left").join(b, "b", "left")
+    met = pairs.join(hinted(a), "a", "left").join(hinted(b), "b", "left")
     return met.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
@@ -344,13 +354,12 @@ def link_all(pairs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -
         if pairs.isEmpty():
             return labels
         # Long documents need a finer division.
-        involved = sets.join(hinted(temp(ids_of(pairs), "involved")), "id", "left_semi")
-        pairs = temp(plausible(pairs, involved, rule, "fine"), "finer")
+        pairs = temp(plausible(pairs, of_pairs(sets, pairs, "a", "b"), rule, "fine"), "finer")
         for one_each in (True, False):
             if pairs.isEmpty():
                 break
             tried = temp(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried") if one_each else pairs
-            labels = grown(labels, verified(tried, sets, temp(ids_of(tried), "involved"), rule))
+            labels = grown(labels, verified(tried, sets, rule))
             pairs = temp(apart(pairs, labels), "apart") if one_each else pairs
         return labels
 
@@ -536,7 +545,7 @@ def shared_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``bucket, id, label`` of the rows of buckets that hold more than one component."""
-    rows = members.join(labels, members["id"] == labels["node"], "left")
+    rows = members.join(hinted(labels), members["id"] == labels["node"], "left")
     rows = rows.select("bucket", "id", F.coalesce("label", "id").alias("label"))
     bucket = Window.partitionBy("bucket")
     rows = rows.withColumns({"x": F.min("label").over(bucket), "y": F.max("label").over(bucket)})

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelcast.llm import decontam, jaccard, langid, packing, pii, quality, token_counts
+from panelcast.llm import components, decontam, jaccard, langid, packing, pii, quality, token_counts
 from panelcast.llm.common import Blocks
 from panelcast.llm.lookup import Lookup
 
@@ -33,6 +33,48 @@ def test_linked_sets_share_an_entry(rule):
     assert linked > 200
 
 
+def test_a_set_has_no_more_entries_than_its_size_needs():
+    rng = np.random.default_rng(4)
+    for rule in (jaccard.Rule(4, 85, 100), jaccard.Rule(5, 80, 100)):
+        for n in (200, 300, 450, 600, 850):
+            grams = np.unique(rng.integers(0, 2**62, n).astype(np.uint64))
+            needs = []
+            for lo, hi in itertools.takewhile(lambda band: band[0] <= rule.partner(n), jaccard.band_tops()):
+                if hi >= n:
+                    assert jaccard.layout(rule, lo, hi)[1] == 1
+                    needs.append(rule.difference(n + min(hi, rule.partner(n))) + 1)
+            assert 0 < len(jaccard.entries(grams, rule)) <= sum(needs)
+
+
+def test_components_against_a_walk(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(components, "stored", lambda df, label, keep=components.stored: made.append(label) or keep(df, label))
+    rng = random.Random(8)
+    for block in (components.BLOCK, 7):
+        monkeypatch.setattr(components, "BLOCK", block)
+        edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(90)] + [(i, i + 1) for i in range(300, 340)] + [(5, 5), (400, 400), (7, 6), (6, 7)]
+        near = {}
+        for a, b in edges:
+            if a != b:
+                near.setdefault(a, set()).add(b)
+                near.setdefault(b, set()).add(a)
+        least = {}
+        for i in sorted(near):
+            todo = [i] if i not in least else []
+            while todo:
+                at = todo.pop()
+                if at not in least:
+                    least[at] = i
+                    todo += near[at]
+        made.clear()
+        found = components.components(spark.createDataFrame(edges, "a long, b long").repartition(5))
+        assert sorted((r["node"], r["label"]) for r in found.collect()) == sorted(least.items())
+        assert made == ["edges", "stars", "labels"] if block > 7 else "large" in made  # one block needs no passes
+    text = components.components(spark.createDataFrame([("é", "z"), ("z", "\U0001f600")], "a string, b string"))
+    assert {(r["node"], r["label"]) for r in text.collect()} == {("z", "z"), ("é", "z"), ("\U0001f600", "z")}
+    assert components.components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
 def test_difference_bounds_linked_pairs():
     rule = jaccard.Rule(4, 85, 100)
     for a, b in itertools.product(range(1, 60), repeat=2):
