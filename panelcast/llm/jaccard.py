@@ -233,6 +233,13 @@ def parts_of(grams: np.ndarray, parts: int = PARTS) -> np.ndarray:
     return np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % parts, minlength=parts).astype(np.int16)
 
 
+def odd_parts(grams: np.ndarray) -> np.ndarray:
+    """Which parts of the finer division hold an odd number of elements, as bits of 64-bit words. Two sets differ in
+    at least as many elements as they differ in bits."""
+    held = np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % FINE_PARTS, minlength=FINE_PARTS)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
     part, start, size = [], 0, 0
     for i, x in enumerate(texts):
@@ -283,6 +290,7 @@ def set_batches(rule: Rule):
                         "n": pa.array([len(s) for s in sets], pa.int64()),
                         "parts": _lists([parts_of(s) for s in sets], pa.int16()),
                         "fine": _lists([parts_of(s, FINE_PARTS if len(s) >= FINE_FROM else 0) for s in sets], pa.int16()),
+                        "odd": _lists([odd_parts(s) for s in sets], pa.int64()),
                         "grams": _lists([s.view(np.int64) for s in sets], pa.int64()),
                     }
                 )
@@ -324,6 +332,16 @@ def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule, parts: str = "parts
     return met.select("a", "b")
 
 
+def few_differences(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``a, b`` whose odd parts differ in no more bits than linked sets of their sizes do."""
+    a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa"))
+    b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob"))
+    met = b.join(hinted(pairs), "b").join(a, "a")
+    bits = F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0).cast("long"), lambda s, x: s + x)
+    return met.filter(differ * (rule.den + rule.num) <= (F.col("na") + F.col("nb")) * (rule.den - rule.num)).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The stored pairs ``a, b`` whose sets link. Few pairs go to the sets of ``b``; what then moves is a set for each
     pair, and the sets of ``a`` once."""
@@ -353,7 +371,10 @@ def link_all(pairs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -
         pairs = temp(plausible(pairs, sets, rule), "plausible")
         if pairs.isEmpty():
             return labels
-        # Long documents need a finer division.
+        # Odd parts tell most sets of some hundred elements; long documents need the sizes of a finer division.
+        pairs = temp(few_differences(pairs, of_pairs(sets, pairs, "a", "b"), rule), "close")
+        if pairs.isEmpty():
+            return labels
         pairs = temp(plausible(pairs, of_pairs(sets, pairs, "a", "b"), rule, "fine"), "finer")
         for one_each in (True, False):
             if pairs.isEmpty():
@@ -380,7 +401,7 @@ def gram_tables(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """``id, n, parts, grams`` of the documents in ``ids``, from their texts, as a stored table."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.join(hinted(ids), "doc_id", "left_semi")
-    return stored(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, fine array<short>, grams array<long>"), "sets")
+    return stored(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, fine array<short>, odd array<long>, grams array<long>"), "sets")
 
 
 def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -46,6 +46,25 @@ def test_a_set_has_no_more_entries_than_its_size_needs():
             assert 0 < len(jaccard.entries(grams, rule)) <= sum(needs)
 
 
+def test_odd_parts_rule_out_only_unlinked_pairs(spark):
+    rng, rule = np.random.default_rng(6), jaccard.Rule(4, 85, 100)
+    sets, linked, apart = [], set(), set()
+    for i in range(120):
+        n = int(rng.integers(1, 900))
+        whole = np.unique(rng.integers(0, 2**62, 2 * n + 2).astype(np.uint64))
+        rng.shuffle(whole)
+        cut = int(rng.integers(0, n // 2 + 1)) if i % 2 else int(n * 0.08)
+        a, b = np.sort(whole[:n]), np.sort(whole[cut : n + cut])
+        both = len(np.intersect1d(a, b))
+        assert sum(int(x).bit_count() for x in (jaccard.odd_parts(a) ^ jaccard.odd_parts(b)).view(np.uint64)) <= len(a) + len(b) - 2 * both
+        (linked if both * rule.den >= (2 * n - both) * rule.num else apart).add((2 * i, 2 * i + 1))
+        sets += [(2 * i, n, jaccard.odd_parts(a).tolist()), (2 * i + 1, n, jaccard.odd_parts(b).tolist())]
+    pairs = spark.createDataFrame(sorted(linked | apart), "a long, b long")
+    kept = {tuple(r) for r in jaccard.few_differences(pairs, spark.createDataFrame(sets, "id long, n long, odd array<long>"), rule).collect()}
+    assert len(linked) > 20 and linked <= kept
+    assert len(apart - kept) > 0.6 * len(apart)
+
+
 def test_components_against_a_walk(spark, monkeypatch):
     made = []
     monkeypatch.setattr(components, "stored", lambda df, label, keep=components.stored: made.append(label) or keep(df, label))
