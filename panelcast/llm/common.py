@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import pickle
 import sys
@@ -9,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from panelcast.session import materialize, scratch_path, shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["Blocks", "bind", "gapless", "hinted", "materialize", "reading", "release", "scratch_path", "shared_dir", "shipped", "small_batches", "stored", "table", "temporary"]
+__all__ = ["Blocks", "bind", "gapless", "give_back", "hinted", "lean", "materialize", "reading", "release", "scratch_path", "shared_dir", "shipped", "small_batches", "stored", "table", "temporary"]
 
 ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 BROADCAST_ROWS = 1_000_000
@@ -44,6 +46,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(size, f"{ARROW_BYTES}b")
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system. Python workers are used again, and what one task held for a
+    moment would otherwise count against the executor's memory in all later ones."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def lean(run):
+    """``run``, a function over the batches of a task, that starts and leaves its worker without freed memory."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back, like ``materialize``, as a table that :func:`release`
     can drop."""

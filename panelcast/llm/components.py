@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import release, stored, temporary
+from panelcast.llm.common import lean, release, stored, temporary
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -55,7 +55,7 @@ def star_batches(block: int):
         if top:
             yield stars(top, kind)
 
-    return run
+    return lean(run)
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import Blocks, materialize, reading, shipped, small_batches
+from panelcast.llm.common import Blocks, lean, materialize, reading, shipped, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -245,7 +245,7 @@ def search_batches(blocks: list, fields: list[str], kind: pa.DataType):
                 rows["spans"] = pa.array([[{"start": a, "end": b} for a, b in s] for s in removal], span)
                 yield pa.RecordBatch.from_pydict(rows)
 
-    return run
+    return lean(run)
 
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:

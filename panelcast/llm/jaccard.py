@@ -38,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import hinted, materialize, reading, release, small_batches, stored, temporary
+from panelcast.llm.common import give_back, hinted, lean, materialize, reading, release, small_batches, stored, temporary
 from panelcast.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -49,12 +49,12 @@ RISK, SEEDS = 0.25, 12
 PARTS, FINE_PARTS, FINE_FROM = 64, 1024, 1000
 CHUNK = 1_000_000
 FEW = 8
-#: Entries keep 48 bits, which chance lets agree once in 1e14 pairs of entries and the exchange compresses.
+#: Entries keep their upper 48 bits, which chance lets agree once in 1e14 pairs of entries and files and the exchange compress.
 SPARE_BITS = np.uint64(16)
 #: Sizes up to which layouts are worked out once for all tasks.
 KNOWN = 100_000
 CROWD, LEVELS = 32, 2
-BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 512, 400_000, 8192
+BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 512, 400_000, 2048
 
 
 @dataclass(frozen=True)
@@ -193,7 +193,7 @@ def entries(grams: np.ndarray, rule: Rule, level: int = 0) -> np.ndarray:
                 out.append(found)
                 if enough:
                     break
-    return np.unique(np.concatenate(out) >> SPARE_BITS) if out else grams[:0]
+    return np.unique(np.concatenate(out) >> SPARE_BITS) << SPARE_BITS if out else grams[:0]
 
 
 def _entries(
@@ -276,7 +276,7 @@ def index_batches(rule: Rule):
                     }
                 )
 
-    return run
+    return lean(run)
 
 
 def set_batches(rule: Rule):
@@ -295,7 +295,7 @@ def set_batches(rule: Rule):
                     }
                 )
 
-    return run
+    return lean(run)
 
 
 def level_batches(rule: Rule, level: int):
@@ -305,7 +305,7 @@ def level_batches(rule: Rule, level: int):
             found = _lists([entries(s, rule, level).view(np.int64) for s in sets], pa.int64())
             yield pa.RecordBatch.from_pydict({"doc_id": batch["id"], "entries": found})
 
-    return run
+    return lean(run)
 
 
 # --- join -----------------------------------------------------------------------------
@@ -482,7 +482,7 @@ def block_links(rule: Rule):
         column, owner = column[token[shared]], owner[shared]
         order = np.argsort(column, kind="stable")
         column, owner = column[order], owner[order]
-        both = np.zeros((len(sets), len(sets)), np.float32)
+        both, part = np.zeros((len(sets), len(sets)), np.float32), None
         for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
             low, high = np.searchsorted(column, [start, start + COLUMNS])
             part = np.zeros((len(sets), COLUMNS), np.float32)
@@ -490,6 +490,8 @@ def block_links(rule: Rule):
             both += part @ part.T
         both = both.astype(np.int64)
         linked = both * rule.den >= (sizes[:, None] + sizes[None] - both) * rule.num
+        del both, part, flat, token, column, owner, order, shared
+        give_back()
         first = {}
         for i in sorted(range(len(ids)), key=ids.__getitem__):
             todo = [i] if i not in first else []
@@ -544,18 +546,25 @@ def settle(members: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -
         return link_all(between(rows, rule), sets, labels, rule)
 
 
+def moved_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``entry, id, label``, a row for each entry, dealt by entry: most of what the join writes to disk. Nothing else
+    moves; a window alone would move what it computes from a row as well, such as the hash of its id. An entry's
+    varying bytes stand next to those of the id, and a label that is the id itself is left out (null), so that
+    compression leaves little more of a row than them."""
+    rows = rows.join(hinted(labels), rows["doc_id"] == labels["node"], "left")
+    rows = rows.select("doc_id", F.when(F.col("label") != F.col("doc_id"), F.col("label")).alias("label"), F.explode("entries").alias("entry"))
+    return rows.select("entry", F.col("doc_id").alias("id"), "label").repartition("entry")
+
+
 def shared_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``bucket, pivot, id`` of the entries that several components share; ``pivot`` is the least id of
     the bucket. Buckets with the same documents are one bucket."""
-    rows = rows.join(hinted(labels), rows["doc_id"] == labels["node"], "left")
-    rows = rows.select(
-        F.col("doc_id").alias("id"), F.coalesce("label", "doc_id").alias("label"), F.explode("entries").alias("entry")
-    )
-    bucket = Window.partitionBy("entry")
+    rows = moved_entries(rows, labels)
+    bucket, label = Window.partitionBy("entry"), F.coalesce("label", "id")
     rows = rows.select(
         "id",
-        F.min("label").over(bucket).alias("x"),
-        F.max("label").over(bucket).alias("y"),
+        F.min(label).over(bucket).alias("x"),
+        F.max(label).over(bucket).alias("y"),
         F.min("id").over(bucket).alias("pivot"),
         F.count("id").over(bucket).alias("held"),
         F.bit_xor(F.xxhash64("id")).over(bucket).alias("mark"),

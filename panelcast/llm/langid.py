@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import hinted, materialize, reading, small_batches
+from panelcast.llm.common import hinted, lean, materialize, reading, small_batches
 from panelcast.llm.lookup import Lookup
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -203,7 +203,7 @@ def predictor(model: Model, others: list[str]):
             columns["score"] = pa.array([x for _, x in found], pa.float64())
             yield pa.RecordBatch.from_pydict(columns)
 
-    return run
+    return lean(run)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 
-from panelcast.llm.common import reading, small_batches
+from panelcast.llm.common import lean, reading, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -192,7 +192,7 @@ def pack_batches(fields: list[str], vocabulary: str | None, length: int, segment
                 sequence += len(sequences)
                 yield pa.RecordBatch.from_pydict({k: pa.array(v) if isinstance(v, np.ndarray) else v for k, v in rows.items()})
 
-    return run
+    return lean(run)
 
 
 def pack_documents(

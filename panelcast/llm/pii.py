@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from panelcast.llm.common import reading, small_batches
+from panelcast.llm.common import lean, reading, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -448,7 +448,7 @@ def redact_batches(field: Field, schema: list[str]):
                 rows["n_chars"] = pa.array(lengths, batch["n_chars"].type)
             yield pa.RecordBatch.from_pydict(rows)
 
-    return run
+    return lean(run)
 
 
 def redact(df: DataFrame, field: Field) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelcast.llm import components, decontam, jaccard, langid, packing, pii, quality, token_counts
+from panelcast.llm import common, components, decontam, jaccard, langid, packing, pii, quality, queries, token_counts
 from panelcast.llm.common import Blocks
 from panelcast.llm.lookup import Lookup
 
@@ -65,6 +65,42 @@ def test_odd_parts_rule_out_only_unlinked_pairs(spark):
     assert len(apart - kept) > 0.6 * len(apart)
 
 
+def test_the_exchange_of_entries_moves_nothing_else(spark):
+    rows = spark.createDataFrame([(1, [256, 512]), (2, [512]), (3, [512]), (4, [768]), (5, [768])], "doc_id long, entries array<long>")
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "node long, label long")
+    moved = jaccard.moved_entries(rows, labels)
+    found = {(r["entry"], r["id"]): r["label"] for r in moved.collect()}
+    assert found == {(256, 1): None, (512, 1): None, (512, 2): 1, (512, 3): None, (768, 4): None, (768, 5): None}
+    shared = jaccard.shared_entries(rows, labels)
+    assert {(r["pivot"], r["id"]) for r in shared.collect()} == {(1, 1), (1, 2), (1, 3), (4, 4), (4, 5)}
+    plan = shared._jdf.queryExecution().optimizedPlan().toString()
+    dealt = re.search(r"RepartitionByExpression \[entry.*\n[ :+-]*(.*)", plan)
+    assert dealt and "xxhash64" not in plan[dealt.start() :] and re.match(r"Project \[entry[^,]*, doc_id[^,]*, (if|CASE|label)", dealt[1]), plan
+    assert plan.index("xxhash64") < dealt.start()  # computed where the rows have arrived
+    sets = [np.unique(np.random.default_rng(9).integers(0, 2**62, 300).astype(np.uint64))]
+    assert not (jaccard.entries(sets[0], jaccard.Rule()) & np.uint64(0xFFFF)).any()
+
+
+def test_workers_give_memory_back_around_a_task(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda keep=common.give_back: calls.append(len(seen)) or keep())
+    seen = []
+    for x in common.lean(lambda batches: (2 * x for x in batches))(iter([1, 2, 3])):
+        seen.append(x)
+    assert seen == [2, 4, 6] and calls == [0, 3]
+    for run in (jaccard.index_batches(jaccard.Rule()), jaccard.set_batches(jaccard.Rule()), jaccard.level_batches(jaccard.Rule(), 1), components.star_batches(9)):
+        calls.clear()
+        assert not list(run(iter([]))) and len(calls) == 2
+
+
+def test_labelled_rows_need_no_python_workers(spark, monkeypatch):
+    monkeypatch.setattr(pii, "fit", lambda labelled: labelled)
+    rows = queries.personal_data_field(spark)
+    assert rows.schema.simpleString() == "struct<text:string,spans:array<struct<kind:string,start:int,end:int>>>"
+    assert "LocalTableScan" in rows._jdf.queryExecution().executedPlan().toString()
+    assert [(r["text"], [tuple(x) for x in r["spans"]]) for r in rows.collect()] == pii.examples()
+
+
 def test_components_against_a_walk(spark, monkeypatch):
     made = []
     monkeypatch.setattr(components, "stored", lambda df, label, keep=components.stored: made.append(label) or keep(df, label))
