@@ -19,10 +19,12 @@ from panelcast.session import materialize, scratch_path, shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["Blocks", "bind", "gapless", "give_back", "hinted", "lean", "materialize", "reading", "release", "scratch_path", "shared_dir", "shipped", "small_batches", "stored", "table", "temporary"]
+__all__ = ["Blocks", "bind", "fitted", "gapless", "give_back", "hinted", "lean", "materialize", "reading", "release", "scratch_path", "shared_dir", "shipped", "small_batches", "stored", "table", "temporary"]
 
 ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 BROADCAST_ROWS = 1_000_000
+#: Short rows, such as a few numbers, that a task may as well write alone.
+ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +112,12 @@ def hinted(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
 
 
+def fitted(df: DataFrame, rows: int, each: int = ROWS) -> DataFrame:
+    """``df``, which has at most ``rows`` rows, in no more partitions than hold ``each`` of them. The partitions of a
+    shuffle are counted for the whole input; without this, a table of a few rows costs as many tasks and files."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
 def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, also where lambdas use it per element."""
     return F.transform(F.array(value), body)[0]

@@ -38,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import give_back, hinted, lean, materialize, reading, release, small_batches, stored, temporary
+from panelcast.llm.common import fitted, give_back, hinted, lean, materialize, reading, release, small_batches, stored, temporary
 from panelcast.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -55,6 +55,8 @@ SPARE_BITS = np.uint64(16)
 KNOWN = 100_000
 CROWD, LEVELS = 32, 2
 BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 512, 400_000, 2048
+#: Pairs compared in a task: by the sizes of their parts, and by whole sets.
+PAIRS, WHOLE = 2_000, 500
 
 
 @dataclass(frozen=True)
@@ -318,17 +320,18 @@ def of_pairs(sets: DataFrame, pairs: DataFrame, *sides: str) -> DataFrame:
     return sets.join(hinted(ids[0] if len(ids) == 1 else ids[0].union(ids[1])), "id", "left_semi")
 
 
-def plausible(pairs: DataFrame, sets: DataFrame, rule: Rule, parts: str = "parts") -> DataFrame:
-    """The pairs ``a, b`` that sizes and part sizes do not rule out (sets without parts pass)."""
+def plausible(pairs: DataFrame, most: int, sets: DataFrame, rule: Rule, parts: str = "parts") -> DataFrame:
+    """The pairs ``a, b``, at most ``most``, that sizes and part sizes do not rule out (sets without parts pass)."""
     a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col(parts).alias("pa"))
     b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col(parts).alias("pb"))
-    met = pairs.join(a, "a").join(b, "b")
+    # An id may have several texts, so that a pair is met several times; the bound only counts partitions.
+    met = fitted(fitted(pairs.join(a, "a"), most, PAIRS).join(b, "b"), most, PAIRS)
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     shared = F.zip_with("pa", "pb", lambda x, y: F.coalesce(F.least(x, y), F.lit(0)))
-    most = F.aggregate(shared, F.lit(0).cast("long"), lambda s, x: s + x)
-    most = F.when((F.size("pa") == 0) | (F.size("pb") == 0), small).otherwise(most)
+    both = F.aggregate(shared, F.lit(0).cast("long"), lambda s, x: s + x)
+    both = F.when((F.size("pa") == 0) | (F.size("pb") == 0), small).otherwise(both)
     met = met.filter(small * rule.den >= large * rule.num)
-    met = met.withColumn("most", most).filter(F.col("most") * rule.den >= (F.col("na") + F.col("nb") - F.col("most")) * rule.num)
+    met = met.withColumn("both", both).filter(F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num)
     return met.select("a", "b")
 
 
@@ -361,27 +364,34 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return met.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def link_all(pairs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
-    """The components grown by the links among ``pairs``.
+def untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that are not among the stored ``tried`` ones."""
+    return pairs.join(hinted(tried), ["a", "b"], "left_anti")
+
+
+def link_all(pairs: DataFrame, most: int, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """The components grown by the links among ``pairs``, of which there are at most ``most``.
 
     A first pass tries each document with one partner only, which joins most groups; the second tries
-    whatever pairs still lie in different components.
+    whatever other pairs still lie in different components.
     """
     with temporary() as temp:
-        pairs = temp(plausible(pairs, sets, rule), "plausible")
-        if pairs.isEmpty():
+        pairs = temp(plausible(pairs, most, sets, rule), "plausible")
+        most = pairs.count()
+        if not most:
             return labels
         # Odd parts tell most sets of some hundred elements; long documents need the sizes of a finer division.
-        pairs = temp(few_differences(pairs, of_pairs(sets, pairs, "a", "b"), rule), "close")
-        if pairs.isEmpty():
+        pairs = temp(fitted(few_differences(pairs, of_pairs(sets, pairs, "a", "b"), rule), most, PAIRS), "close")
+        most = pairs.count()
+        if not most:
             return labels
-        pairs = temp(plausible(pairs, of_pairs(sets, pairs, "a", "b"), rule, "fine"), "finer")
+        pairs = temp(plausible(pairs, most, of_pairs(sets, pairs, "a", "b"), rule, "fine"), "finer")
         for one_each in (True, False):
             if pairs.isEmpty():
                 break
-            tried = temp(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried") if one_each else pairs
-            labels = grown(labels, verified(tried, sets, rule))
-            pairs = temp(apart(pairs, labels), "apart") if one_each else pairs
+            tried = temp(fitted(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), most), "tried") if one_each else pairs
+            labels = grown(labels, fitted(verified(tried, sets, rule), most, WHOLE))
+            pairs = temp(fitted(apart(untried(pairs, tried), labels), most), "apart") if one_each else pairs
         return labels
 
 
@@ -392,7 +402,7 @@ def grown(labels: DataFrame, more: DataFrame) -> DataFrame:
         if more.isEmpty():
             return labels
         known = labels.select(F.col("label").alias("a"), F.col("node").alias("b"))
-        found = components(known.union(more.select("a", "b")))
+        found = components(known.union(more.select("a", "b")), kept=True)
         release(labels)
         return found
 
@@ -425,18 +435,20 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
     kind = docs.schema["doc_id"].dataType.simpleString()
     index = docs.mapInArrow(index_batches(rule), f"doc_id {kind}, n long, digest binary, entries array<long>")
     index = stored(index, "index")
-    known = index.filter("doc_id is not null and digest is not null")
-    reps = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("id")), "reps")
-    labels = components(same_document(known, reps))
+    known, total = index.filter("doc_id is not null and digest is not null"), index.count()
+    reps = materialize(fitted(known.groupBy("digest").agg(F.min("doc_id").alias("id")), total), "reps")
+    labels = components(fitted(same_document(known, reps), total))
     with temporary() as temp:
         few = known.select("doc_id", "digest", F.slice("entries", 1, FEW).alias("entries"))
         copies = known.select("doc_id", "digest").join(reps, "digest").filter("doc_id <> id")
-        copies = hinted(temp(copies.select("doc_id", "digest").distinct(), "copies"))
-        near = temp(shared_entries(few.join(copies, ["doc_id", "digest"], "left_anti"), labels), "near")
-        ids = temp(near.select(F.col("id").alias("doc_id")).distinct(), "ids")
+        copies = hinted(temp(fitted(copies.select("doc_id", "digest").distinct(), total), "copies"))
+        near = shared_entries(few.join(copies, ["doc_id", "digest"], "left_anti"), labels)
+        near = temp(fitted(near, FEW * total), "near")
+        most = near.count()
+        ids = temp(fitted(near.select(F.col("id").alias("doc_id")).distinct(), min(most, total)), "ids")
         first = sets = gram_tables(docs, ids, rule)
         pairs = near.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        labels = link_all(pairs, sets, labels, rule)
+        labels = link_all(fitted(pairs, most), most, sets, labels, rule)
 
         rows = known.select("doc_id", "digest", "entries").join(copies, ["doc_id", "digest"], "left_anti")
         members = stored(shared_entries(rows, labels), "members")
@@ -444,25 +456,28 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
         out = materialize(index.select("doc_id", "n", "digest"), "documents")
         release(index)
         more = members.select(F.col("id").alias("doc_id")).distinct().join(ids, "doc_id", "left_anti")
-        second = gram_tables(docs, temp(more, "more"), rule)
+        second = gram_tables(docs, temp(fitted(more, total), "more"), rule)
         sets = first.unionByName(second)
+        sizes = sets.groupBy("id").agg(F.min("n").alias("low"), F.max("n").alias("high"))  # an id may have several texts
+        sizes = temp(fitted(sizes, total), "sizes")
         for level in range(1, LEVELS + 1):
-            labels = settle(members.filter(F.col("bucket.held") <= CROWD), sets, labels, rule)
-            crowded = temp(members.filter(F.col("bucket.held") > CROWD).select("pivot", "id"), "crowded")
+            labels = settle(members.filter(F.col("bucket.held") <= CROWD), sets, sizes, labels, rule)
+            crowded = members.filter(F.col("bucket.held") > CROWD).select("pivot", "id")
+            crowded = temp(fitted(crowded, crowded.count()), "crowded")
             release(members)
             if crowded.isEmpty():
                 break
             if level == LEVELS:
                 labels = crowd_links(crowded, sets, labels, rule)
             else:
-                again = hinted(temp(crowded.select("id").distinct(), "again"))
+                again = hinted(temp(fitted(crowded.select("id").distinct(), total), "again"))
                 rows = sets.select("id", "grams").join(again, "id", "left_semi")
                 rows = rows.mapInArrow(level_batches(rule, level), f"doc_id {kind}, entries array<long>")
                 members = stored(shared_entries(rows, labels), "members")
         release(first, second)
 
     found = reps.join(labels, reps["id"] == labels["node"], "left")
-    found = materialize(found.select("digest", F.coalesce("label", "id").alias("component")), "found")
+    found = materialize(fitted(found.select("digest", F.coalesce("label", "id").alias("component")), total), "found")
     release(labels)
     out = out.join(found, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -514,7 +529,8 @@ def crowd_links(crowded: DataFrame, sets: DataFrame, labels: DataFrame, rule: Ru
     meet in one task, which counts common n-grams of all its documents at once and returns a forest.
     Rows move once per block of their crowd, never per pair.
     """
-    clouds = components(crowded.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+    clouds = components(crowded.select(F.col("pivot").alias("a"), F.col("id").alias("b")), kept=True)
+    most = clouds.count()
     with temporary() as temp:
         rows = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud")).alias("c")
         rows = rows.join(labels, F.col("c.id") == labels["node"], "left").select("id", "cloud", F.coalesce("label", "id").alias("label"))
@@ -524,26 +540,29 @@ def crowd_links(crowded: DataFrame, sets: DataFrame, labels: DataFrame, rule: Ru
             F.min("label").alias("x"),
             F.max("label").alias("y"),
         ).filter("x < y")
-        rows = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud")).join(temp(dense.select("cloud", "blocks"), "dense"), "cloud")
+        rows = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud")).join(temp(fitted(dense.select("cloud", "blocks"), most), "dense"), "cloud")
         rows = rows.select("id", "cloud", "blocks", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
-        rows = sets.select("id", "grams").join(hinted(temp(rows, "dealt")), "id")
+        dealt = temp(fitted(rows, most), "dealt")
+        most = dealt.agg(F.sum("blocks")).first()[0] or 0  # of links: one for each row that moves
+        rows = sets.select("id", "grams").join(hinted(dealt), "id")
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
         rows = rows.select("id", "grams", "cloud", "block", other)
         rows = rows.select("id", "grams", "cloud", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
         kind = sets.schema["id"].dataType.simpleString()
-        labels = grown(labels, rows.groupBy("cloud", "x", "y").applyInArrow(block_links(rule), f"a {kind}, b {kind}").distinct())
+        links = rows.groupBy("cloud", "x", "y").applyInArrow(block_links(rule), f"a {kind}, b {kind}")
+        labels = grown(labels, fitted(links.distinct(), most))
     release(clouds)
     return labels
 
 
-def settle(members: DataFrame, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+def settle(members: DataFrame, sets: DataFrame, sizes: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """The components after trying all pairs that lie in one bucket of at most ``CROWD`` documents
-    and in different components."""
+    and in different components. ``sizes``, a stored table, has the least and largest set of each id."""
     with temporary() as temp:
         rows = unresolved(members.select("bucket", "id"), labels)
-        sizes = sets.groupBy("id").agg(F.min("n").alias("low"), F.max("n").alias("high"))  # an id may have several texts
-        rows = temp(rows.join(hinted(temp(sizes, "sizes")), "id"), "rows")
-        return link_all(between(rows, rule), sets, labels, rule)
+        rows = temp(fitted(rows.join(hinted(sizes), "id"), members.count()), "rows")
+        most = rows.agg(F.sum(F.col("bucket.held") - 1)).first()[0]
+        return link_all(between(rows, most // 2, rule), most // 2, sets, labels, rule) if most else labels
 
 
 def moved_entries(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -582,14 +601,14 @@ def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.filter("x <> y").select("bucket", "id", "label")
 
 
-def between(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs ``a < b`` of documents of one bucket in different components whose sizes may link."""
+def between(rows: DataFrame, most: int, rule: Rule) -> DataFrame:
+    """Pairs ``a < b``, at most ``most``, of documents of one bucket in different components whose sizes may link."""
     own = {"id": "{}", "label": "l{}", "low": "low{}", "high": "high{}"}
     a = rows.select("bucket", *(F.col(c).alias(name.format("a")) for c, name in own.items()))
     b = rows.select(F.col("bucket").alias("other"), *(F.col(c).alias(name.format("b")) for c, name in own.items()))
     near = (F.col("higha") * rule.den >= F.col("lowb") * rule.num) & (F.col("highb") * rule.den >= F.col("lowa") * rule.num)
     met = a.join(b, (F.col("bucket") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near)
-    return met.select("a", "b").distinct()
+    return fitted(fitted(met.select("a", "b"), most).distinct(), most)
 
 
 def same_document(known: DataFrame, reps: DataFrame) -> DataFrame:

@@ -174,6 +174,49 @@ def test_groups_against_all_pairs(spark):
         assert {r["doc_id"]: r["n_shingles"] for r in found} == {i: len(s) for i, s in sets.items()}
 
 
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    rng, files = random.Random(12), {}
+
+    def counted(df, label, keep=common.stored):
+        out = keep(df, label)
+        files[label] = max(files.get(label, 0), len(out.inputFiles()))
+        return out
+
+    for module in (common, components):
+        monkeypatch.setattr(module, "stored", counted)
+    monkeypatch.setattr(jaccard, "CROWD", 4)
+    rows = []
+    for group in range(30):
+        body = [f"w{rng.randrange(5000)}" for _ in range(80)]
+        rows += [(100 * group + i, " ".join([*body[:i], f"x{group}-{i}", *body[i + 1 :]])) for i in range(8)]
+        rows += [(100 * group + 50 + i, " ".join([*body[:66], *(f"y{group}-{i}-{j}" for j in range(14))])) for i in range(6)]  # just short of similar
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(docs, jaccard.Rule(4, 85, 100)).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert found == {i: i - i % 100 if i % 100 < 50 else i for i, _ in rows}
+    few = {"near", "ids", "plausible", "close", "tried", "linked", "labels", "sizes", "rows", "crowded", "again"}
+    assert few <= files.keys() and {k: n for k, n in files.items() if k in few and n > 1} == {}
+    assert [common.fitted(spark.range(90).repartition(9), n, 10).rdd.getNumPartitions() for n in (0, 10, 11, 900)] == [1, 1, 2, 9]
+
+
+def test_no_pair_is_tried_twice(spark, monkeypatch):
+    tried = []
+    monkeypatch.setattr(jaccard, "plausible", lambda pairs, *_: pairs)
+    monkeypatch.setattr(jaccard, "few_differences", lambda pairs, *_: pairs)
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *_: tried.extend(map(tuple, pairs.collect())) or pairs.filter("a = 1"))
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 6), (5, 6)], "a long, b long")
+    sets, none = spark.createDataFrame([(i,) for i in range(1, 7)], "id long"), spark.createDataFrame([], "node long, label long")
+    labels = jaccard.link_all(pairs, 5, sets, none, jaccard.Rule())
+    assert {tuple(r) for r in labels.collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert sorted(tried) == [(1, 2), (1, 3), (4, 6), (5, 6)]
+
+
 # --- contamination -----------------------------------------------------------------------
 
 
