@@ -19,10 +19,10 @@ from panelcast.session import materialize, scratch_path, shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["Blocks", "bind", "fitted", "gapless", "give_back", "hinted", "lean", "materialize", "reading", "release", "scratch_path", "shared_dir", "shipped", "small_batches", "stored", "table", "temporary"]
+__all__ = ["BROADCAST_ROWS", "ROWS", "Blocks", "among", "bind", "fitted", "gapless", "give_back", "hinted", "lean", "materialize", "reading", "release", "scratch_path", "shared_dir", "shipped", "small_batches", "stored", "table", "temporary"]
 
 ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS, BITS = 1_000_000, 16
 #: Short rows, such as a few numbers, that a task may as well write alone.
 ROWS = 50_000
 
@@ -112,6 +112,22 @@ def hinted(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
 
 
+def among(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in the stored ``ids``, a table of one column, where they lie. Of many ids only
+    bits of their hashes are broadcast, ``BITS`` for each, which lets some further rows pass; rows of a null key never do."""
+    known = ids.toDF(key)
+    rows = known.count()
+    if rows <= BROADCAST_ROWS:
+        return df.join(F.broadcast(known), key, "left_semi")
+    place = F.pmod(F.xxhash64(key), F.lit(rows * BITS)) + 1
+    held = known.filter(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("_bucket"))
+    held = held.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+    at = F.bitmap_bit_position(place)
+    met = df.filter(F.col(key).isNotNull()).withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(held), "_bucket")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return met.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(df.columns)
+
+
 def fitted(df: DataFrame, rows: int, each: int = ROWS) -> DataFrame:
     """``df``, which has at most ``rows`` rows, in no more partitions than hold ``each`` of them. The partitions of a
     shuffle are counted for the whole input; without this, a table of a few rows costs as many tasks and files."""

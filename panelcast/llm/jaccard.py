@@ -18,13 +18,18 @@ segments are indexed too. Candidates share an entry; they are verified on their
 
 Equal sets are merged first, and groups of near copies by a first round over few entries of each set. Only
 buckets that then hold several components are compared: small ones pair by pair, crowded ones at a further
-level or in blocks. So a group of n similar documents costs about n comparisons while no link between
-components is lost.
+level or in blocks of signatures. So a group of n similar documents costs about n comparisons while no link
+between components is lost.
+
+What a step writes to disk is bounded by the whole table: the entries of a further level are moved in shares, a
+part of the entries each, blocks in rounds, and whole sets for a part of the pairs at a time. Sets and texts are
+filtered where they lie, never moved to be filtered.
 N-grams are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import sys
@@ -33,12 +38,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import fitted, give_back, hinted, lean, materialize, reading, release, small_batches, stored, temporary
+from panelcast.llm.common import BROADCAST_ROWS, ROWS, among, fitted, give_back, hinted, lean, materialize, reading, release, small_batches, stored, temporary
 from panelcast.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,7 +60,10 @@ SPARE_BITS = np.uint64(16)
 #: Sizes up to which layouts are worked out once for all tasks.
 KNOWN = 100_000
 CROWD, LEVELS = 32, 2
-BLOCK_DOCS, BLOCK_GRAMS, COLUMNS = 512, 400_000, 2048
+#: Documents and n-grams of a block, and words of a comparison within a task.
+BLOCK_DOCS, BLOCK_GRAMS, BLOCK_WORDS = 2048, 16_000_000, 1 << 20
+#: Entries of a share, unless a fourth of the table's n-grams are more; an n-gram of a further level makes about so many.
+SHARE, PER_GRAM = 10_000_000, 2.5
 #: Pairs compared in a task: by the sizes of their parts, and by whole sets.
 PAIRS, WHOLE = 2_000, 500
 
@@ -235,13 +244,24 @@ def parts_of(grams: np.ndarray, parts: int = PARTS) -> np.ndarray:
     return np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % parts, minlength=parts).astype(np.int16)
 
 
-def odd_parts(grams: np.ndarray) -> np.ndarray:
+def odd_parts(grams: np.ndarray, parts: int = FINE_PARTS) -> np.ndarray:
     """Which parts of the finer division hold an odd number of elements, as bits of 64-bit words. Two sets differ in
     at least as many elements as they differ in bits."""
-    held = np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % FINE_PARTS, minlength=FINE_PARTS)
+    held = np.bincount((mix(grams) >> np.uint64(20)).astype(np.int64) % parts, minlength=parts)
     return np.packbits((held & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def signature(grams: np.ndarray) -> np.ndarray:
+    """The odd parts of a division that grows with the set, by powers of two: two bits for an element at least, so
+    that a long set's differences show too."""
+    return odd_parts(grams, max(FINE_PARTS, 1 << (2 * len(grams) - 1).bit_length()))
+
+
+def folded(odd: np.ndarray, words: int) -> np.ndarray:
+    """A signature as that of a smaller division of ``words`` 64-bit words."""
+    return np.bitwise_xor.reduce(odd.reshape(-1, words), axis=0)
+
+
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
     part, start, size = [], 0, 0
     for i, x in enumerate(texts):
@@ -300,16 +320,30 @@ def set_batches(rule: Rule):
     return lean(run)
 
 
-def level_batches(rule: Rule, level: int):
+def level_batches(rule: Rule, level: int, share: int = 0, shares: int = 1):
+    """The entries of a level, or one of several shares of them: an entry is in the same share for every set."""
+
+    def some(found: np.ndarray) -> np.ndarray:
+        return found if shares == 1 else found[(found >> SPARE_BITS) % np.uint64(shares) == share]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.asarray(x.values).view(np.uint64) for x in batch["grams"]]
-            found = _lists([entries(s, rule, level).view(np.int64) for s in sets], pa.int64())
+            found = _lists([some(entries(s, rule, level)).view(np.int64) for s in sets], pa.int64())
             yield pa.RecordBatch.from_pydict({"doc_id": batch["id"], "entries": found})
 
     return lean(run)
 
 
+def signature_batches():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [signature(np.asarray(x.values).view(np.uint64)) for x in batch["grams"]]
+            yield pa.RecordBatch.from_pydict({"id": batch["id"], "n": batch["n"], "odd": _lists(found, pa.int64())})
+
+    return lean(run)
+
+
 # --- join -----------------------------------------------------------------------------
 
 
@@ -373,7 +407,8 @@ def link_all(pairs: DataFrame, most: int, sets: DataFrame, labels: DataFrame, ru
     """The components grown by the links among ``pairs``, of which there are at most ``most``.
 
     A first pass tries each document with one partner only, which joins most groups; the second tries
-    whatever other pairs still lie in different components.
+    whatever other pairs still lie in different components. Of many pairs a part is tried at a time, since a set
+    moves for each.
     """
     with temporary() as temp:
         pairs = temp(plausible(pairs, most, sets, rule), "plausible")
@@ -390,7 +425,12 @@ def link_all(pairs: DataFrame, most: int, sets: DataFrame, labels: DataFrame, ru
             if pairs.isEmpty():
                 break
             tried = temp(fitted(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), most), "tried") if one_each else pairs
-            labels = grown(labels, fitted(verified(tried, sets, rule), most, WHOLE))
+            parts = -(-most // min(BROADCAST_ROWS, max(ROWS, sets.count() // 4))) if most > ROWS else 1
+            for part in range(parts):
+                some = tried
+                if parts > 1:
+                    some = temp(fitted(apart(tried.filter(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part), labels), most), "part")
+                labels = grown(labels, fitted(verified(some, sets, rule), most, WHOLE))
             pairs = temp(fitted(apart(untried(pairs, tried), labels), most), "apart") if one_each else pairs
         return labels
 
@@ -408,9 +448,10 @@ def grown(labels: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def gram_tables(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
-    """``id, n, parts, grams`` of the documents in ``ids``, from their texts, as a stored table."""
+    """``id, n, parts, grams`` of the documents in the stored ``ids``, and perhaps of some others, from their texts,
+    as a stored table."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chosen = docs.join(hinted(ids), "doc_id", "left_semi")
+    chosen = among(docs, ids, "doc_id")
     return stored(chosen.mapInArrow(set_batches(rule), f"id {kind}, n long, parts array<short>, fine array<short>, odd array<long>, grams array<long>"), "sets")
 
 
@@ -436,6 +477,7 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
     index = docs.mapInArrow(index_batches(rule), f"doc_id {kind}, n long, digest binary, entries array<long>")
     index = stored(index, "index")
     known, total = index.filter("doc_id is not null and digest is not null"), index.count()
+    grams = known.agg(F.sum("n")).first()[0] or 0
     reps = materialize(fitted(known.groupBy("digest").agg(F.min("doc_id").alias("id")), total), "reps")
     labels = components(fitted(same_document(known, reps), total))
     with temporary() as temp:
@@ -470,10 +512,8 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
             if level == LEVELS:
                 labels = crowd_links(crowded, sets, labels, rule)
             else:
-                again = hinted(temp(fitted(crowded.select("id").distinct(), total), "again"))
-                rows = sets.select("id", "grams").join(again, "id", "left_semi")
-                rows = rows.mapInArrow(level_batches(rule, level), f"doc_id {kind}, entries array<long>")
-                members = stored(shared_entries(rows, labels), "members")
+                again = temp(fitted(crowded.select("id").distinct(), total), "again")
+                members = further_members(again, level, grams, sets, labels, rule)
         release(first, second)
 
     found = reps.join(labels, reps["id"] == labels["node"], "left")
@@ -484,40 +524,61 @@ def similar_groups(df: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def block_links(rule: Rule):
-    """Links within one pair of blocks, as a forest: each document to the least of its component."""
+def further_members(again: DataFrame, level: int, grams: int, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """The stored :func:`shared_entries` of a further level, on which the documents of ``again``, and perhaps some
+    others of ``sets``, are indexed; the whole table has ``grams`` n-grams. Their many entries are moved in shares."""
+    kind = sets.schema["id"].dataType.simpleString()
+    rows = among(sets.select("id", "n", "grams"), again, "id")
+    load = PER_GRAM * (rows.agg(F.sum("n")).first()[0] or 0)
+    shares = max(1, math.ceil(load / max(SHARE, grams / 4)))
+    with temporary() as temp:
+        found = []
+        for share in range(shares):
+            some = rows.select("id", "grams").mapInArrow(level_batches(rule, level, share, shares), f"doc_id {kind}, entries array<long>")
+            found.append((temp if shares > 1 else stored)(shared_entries(some, labels), "members"))
+        if shares == 1:
+            return found[0]
+        return stored(functools.reduce(DataFrame.union, found).distinct(), "members")
+
+
+def block_pairs(rule: Rule):
+    """The pairs ``a < b`` of documents of two blocks (or of one) that sizes and signatures do not rule out, of
+    different components."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, sets = table["id"].to_pylist(), [np.asarray(x.values) for x in table["grams"]]
-        sizes = np.array([len(x) for x in sets], np.int64)
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-        _, token, held = np.unique(flat, return_inverse=True, return_counts=True)
-        column = np.cumsum(held > 1) - 1
-        shared = held[token] > 1
-        column, owner = column[token[shared]], owner[shared]
-        order = np.argsort(column, kind="stable")
-        column, owner = column[order], owner[order]
-        both, part = np.zeros((len(sets), len(sets)), np.float32), None
-        for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            low, high = np.searchsorted(column, [start, start + COLUMNS])
-            part = np.zeros((len(sets), COLUMNS), np.float32)
-            part[owner[low:high], column[low:high] - start] = 1
-            both += part @ part.T
-        both = both.astype(np.int64)
-        linked = both * rule.den >= (sizes[:, None] + sizes[None] - both) * rule.num
-        del both, part, flat, token, column, owner, order, shared
+        ids = table["id"].combine_chunks()
+        label = table["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+        block, n = table["block"].to_numpy(), table["n"].to_numpy()
+        rank = np.empty(len(n), np.int64)
+        rank[pc.sort_indices(ids).to_numpy()] = np.arange(len(n))
+        odd = [np.asarray(x.values).view(np.uint64) for x in table["odd"]]
+        words, crossed, found = np.array([len(x) for x in odd]), block.min() != block.max(), []
+        for width in np.unique(words):
+            # Two signatures are compared in the division of the smaller one.
+            rows = np.flatnonzero(words >= width)
+            rows = rows[np.argsort(n[rows], kind="stable")]
+            sizes, matrix = n[rows], np.stack([folded(odd[i], width) for i in rows])
+            own, at = np.flatnonzero(words[rows] == width), 0
+            while at < len(own):
+                low, high = np.searchsorted(sizes, [-(-sizes[own[at]] * rule.num // rule.den), rule.partner(sizes[own[at]]) + 1])
+                some = own[at : at + max(1, BLOCK_WORDS // int((high - low) * width))]
+                at += len(some)
+                high = np.searchsorted(sizes, rule.partner(sizes[some[-1]]) + 1)
+                i, j = rows[some][:, None], rows[low:high][None]
+                differ = np.bitwise_count(matrix[some][:, None] ^ matrix[None, low:high]).sum(2, dtype=np.int64)
+                near = differ * (rule.den + rule.num) <= (n[i] + n[j]) * (rule.den - rule.num)
+                near &= np.minimum(n[i], n[j]) * rule.den >= np.maximum(n[i], n[j]) * rule.num
+                near &= (label[i] != label[j]) & ((words[j] > width) | (rank[i] < rank[j]))
+                if crossed:
+                    near &= block[i] != block[j]
+                x, y = np.nonzero(near)
+                found.append(np.stack([rows[some][x], rows[low:high][y]]))
+        pairs = np.concatenate(found, axis=1)
+        turned = rank[pairs[0]] > rank[pairs[1]]
+        out = pa.table({"a": ids.take(pa.array(np.where(turned, pairs[1], pairs[0]))), "b": ids.take(pa.array(np.where(turned, pairs[0], pairs[1])))})
+        del odd, found, pairs
         give_back()
-        first = {}
-        for i in sorted(range(len(ids)), key=ids.__getitem__):
-            todo = [i] if i not in first else []
-            while todo:
-                at = todo.pop()
-                if at not in first:
-                    first[at] = i
-                    todo += [j for j in np.flatnonzero(linked[at]).tolist() if j not in first]
-        pairs = [(ids[i], ids[at]) for at, i in first.items() if ids[i] != ids[at]]
-        kind = table.schema.field("id").type
-        return pa.table({"a": pa.array([x for x, _ in pairs], kind), "b": pa.array([y for _, y in pairs], kind)})
+        return out
 
     return run
 
@@ -526,11 +587,13 @@ def crowd_links(crowded: DataFrame, sets: DataFrame, labels: DataFrame, rule: Ru
     """The components after joining all linked documents which share a crowded bucket.
 
     Documents that crowded buckets tie together are dealt to blocks of bounded size; every two blocks
-    meet in one task, which counts common n-grams of all its documents at once and returns a forest.
-    Rows move once per block of their crowd, never per pair.
+    meet in one task, which compares their signatures, so that of a document a few bytes an n-gram move once
+    per block of its crowd. Only pairs that signatures do not rule out are tried on whole sets. Block pairs
+    are met in rounds, as many at a time as move about the bytes of ``sets``.
     """
     clouds = components(crowded.select(F.col("pivot").alias("a"), F.col("id").alias("b")), kept=True)
     most = clouds.count()
+    kind = sets.schema["id"].dataType.simpleString()
     with temporary() as temp:
         rows = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud")).alias("c")
         rows = rows.join(labels, F.col("c.id") == labels["node"], "left").select("id", "cloud", F.coalesce("label", "id").alias("label"))
@@ -543,18 +606,33 @@ def crowd_links(crowded: DataFrame, sets: DataFrame, labels: DataFrame, rule: Ru
         rows = clouds.select(F.col("node").alias("id"), F.col("label").alias("cloud")).join(temp(fitted(dense.select("cloud", "blocks"), most), "dense"), "cloud")
         rows = rows.select("id", "cloud", "blocks", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
         dealt = temp(fitted(rows, most), "dealt")
-        most = dealt.agg(F.sum("blocks")).first()[0] or 0  # of links: one for each row that moves
-        rows = sets.select("id", "grams").join(hinted(dealt), "id")
-        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-        rows = rows.select("id", "grams", "cloud", "block", other)
-        rows = rows.select("id", "grams", "cloud", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-        kind = sets.schema["id"].dataType.simpleString()
-        links = rows.groupBy("cloud", "x", "y").applyInArrow(block_links(rule), f"a {kind}, b {kind}")
-        labels = grown(labels, fitted(links.distinct(), most))
+        blocks, most = dealt.agg(F.max("blocks"), F.count(F.lit(1))).first()
+        if most:
+            found = among(sets.select("id", "n", "grams"), dealt.select("id"), "id")
+            found = found.mapInArrow(signature_batches(), f"id {kind}, n long, odd array<long>")
+            found = temp(found.join(hinted(dealt), "id"), "signatures")
+            each = max(1, 8 * sets.count() // most)  # a signature is about a tenth of its set
+            for start in range(0, blocks, each):
+                labels = link_blocks(found, start, start + each, sets, labels, rule)
     release(clouds)
     return labels
 
 
+def link_blocks(dealt: DataFrame, start: int, end: int, sets: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """The components grown by the links between blocks of one cloud whose numbers differ by ``start`` to ``end - 1``."""
+    kind = sets.schema["id"].dataType.simpleString()
+    with temporary() as temp:
+        rows = dealt.join(hinted(labels), dealt["id"] == labels["node"], "left")
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+        rows = rows.select("id", F.coalesce("label", "id").alias("label"), "n", "odd", "cloud", "block", other)
+        rows = rows.filter(F.abs(F.col("block") - F.col("other")).between(start, end - 1))
+        rows = rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other")
+        pairs = rows.groupBy("cloud", "x", "y").applyInArrow(block_pairs(rule), f"a {kind}, b {kind}")
+        pairs = temp(pairs.distinct(), "between")
+        most = pairs.count()
+        return link_all(pairs, most, sets, labels, rule) if most else labels
+
+
 def settle(members: DataFrame, sets: DataFrame, sizes: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """The components after trying all pairs that lie in one bucket of at most ``CROWD`` documents
     and in different components. ``sizes``, a stored table, has the least and largest set of each id."""

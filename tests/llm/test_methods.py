@@ -7,9 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions
 
 from panelcast.llm import common, components, decontam, jaccard, langid, packing, pii, quality, queries, token_counts
 from panelcast.llm.common import Blocks
@@ -217,6 +219,106 @@ def test_no_pair_is_tried_twice(spark, monkeypatch):
     assert sorted(tried) == [(1, 2), (1, 3), (4, 6), (5, 6)]
 
 
+def test_signatures_rule_out_only_unlinked_pairs():
+    rng, rule = np.random.default_rng(4), jaccard.Rule()
+    sets, label = [], []
+    for n in (30, 500, 520, 900, 3000):
+        base = rng.integers(0, 2**62, n).astype(np.uint64)
+        for share in (0, 0.03, 0.08, 0.1, 0.11, 0.14, 0.4):
+            one = base.copy()
+            one[rng.choice(n, int(n * share), replace=False)] = rng.integers(0, 2**62, int(n * share))
+            sets.append(np.unique(one)[: n - int(rng.integers(0, n // 20))])
+            label.append(int(rng.integers(0, 12)))
+    ids = rng.permutation(len(sets))
+    for block in (np.zeros(len(sets), int), np.arange(len(sets)) % 2):
+        odd = jaccard._lists([jaccard.signature(x) for x in sets], pa.int64())
+        table = pa.table({"id": ids, "label": label, "n": [len(x) for x in sets], "odd": odd, "block": block})
+        found = jaccard.block_pairs(rule)(table)
+        found = list(zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True))
+        linked, others = set(), 0
+        for i, j in itertools.combinations(range(len(sets)), 2):
+            if label[i] != label[j] and (not block.any() or block[i] != block[j]):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if both * rule.den >= (len(sets[i]) + len(sets[j]) - both) * rule.num:
+                    linked.add((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+                else:
+                    others += 1
+        assert len(found) == len(set(found)) and len(linked) > 5 and linked <= set(found)
+        assert len(set(found) - linked) < 0.1 * others
+
+
+def crowds(spark):
+    """Sets of two crowds, just short of similar but for some pairs of each, and the component of each."""
+    rng, rows, group = np.random.default_rng(6), [], {}
+    for crowd in range(2):
+        base = rng.integers(0, 2**62, 120)
+        for i in range(20):
+            one = 100 * crowd + i
+            own = rows[-1][2] if i % 5 == 4 else np.concatenate([base[:90], rng.integers(0, 2**62, 30)]).tolist()
+            own = own[:-3] + rng.integers(0, 2**62, 3).tolist()
+            rows.append((one, len(own), own))
+            group[one] = one - 1 if i % 5 == 4 else one
+    parts = [([int(x) for x in jaccard.parts_of(g)], [], jaccard.odd_parts(g).tolist()) for g in (np.array(r[2]).astype(np.uint64) for r in rows)]
+    rows = [(i, n, *p, g) for (i, n, g), p in zip(rows, parts, strict=True)]
+    kind = "id long, n long, parts array<short>, fine array<short>, odd array<long>, grams array<long>"
+    return spark.createDataFrame(rows, kind), group
+
+
+def test_crowds_meet_by_signatures(spark, monkeypatch):
+    sets, group = crowds(spark)
+    crowded = spark.createDataFrame([(i - i % 100, i) for i in group], "pivot long, id long")
+    none, met = common.stored(spark.createDataFrame([], "node long, label long"), "labels"), []
+
+    def rounds(dealt, start, end, *rest, link=jaccard.link_blocks):
+        met.append((start, dealt.columns))
+        return link(dealt, start, end, *rest)
+
+    monkeypatch.setattr(jaccard, "link_blocks", rounds)
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 2)  # ten blocks a crowd, in two rounds
+    labels = {r["node"]: r["label"] for r in jaccard.crowd_links(crowded, sets, none, jaccard.Rule()).collect()}
+    assert {i: labels.get(i, i) for i in group} == group and len(labels) == 16
+    assert [start for start, _ in met] == [0, 8] and not any("grams" in columns for _, columns in met)
+
+
+def test_shares_of_entries_give_the_same_buckets(spark, monkeypatch):
+    sets, group = crowds(spark)
+    again = spark.createDataFrame([(i,) for i in group if i % 100 != 19], "doc_id long")
+    none, moved = spark.createDataFrame([], "node long, label long"), []
+
+    def counted(rows, labels, move=jaccard.moved_entries):
+        moved.append(rows.select(functions.sum(functions.size("entries"))).first()[0])
+        return move(rows, labels)
+
+    monkeypatch.setattr(jaccard, "moved_entries", counted)
+    found = []
+    for share in (10**7, 3000):
+        monkeypatch.setattr(jaccard, "SHARE", share)
+        rows = jaccard.further_members(again, 1, 4 * len(group), sets, none, jaccard.Rule())
+        found.append(sorted((tuple(r["bucket"]), r["pivot"], r["id"]) for r in rows.collect()))
+    assert found[0] == found[1] and len(found[0]) > 60 and {100 * c + 19 for c in range(2)}.isdisjoint(i for *_, i in found[0])
+    assert len(moved) > 3 and max(moved[1:]) < 3000 and sum(moved[1:]) == moved[0]
+
+
+def test_rows_are_filtered_where_they_lie(spark, monkeypatch):
+    ids = common.stored(spark.range(0, 3000, 3).withColumnRenamed("id", "x"), "ids")
+    rows = spark.range(0, 6000, numPartitions=3).selectExpr("if(id % 7 = 0, null, id) AS doc_id", "repeat('t', 9) AS text")
+    want = {i for i in range(0, 3000, 3) if i % 7}
+    assert {r["doc_id"] for r in common.among(rows, ids, "doc_id").collect()} == want
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    some = common.among(rows, ids, "doc_id")
+    assert some.columns == rows.columns
+    found = [r["doc_id"] for r in some.collect()]
+    assert len(found) == len(set(found)) < 1.3 * len(want) and want <= set(found) and None not in found
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    docs = [(i, f"a{i} b c d e f g h i j k l m n o p q r s t") for i in range(60)]
+    docs += [(60 + i, docs[i][1] + " u") for i in range(30)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(docs, jaccard.Rule()).collect()}
+    monkeypatch.undo()
+    assert got == {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(docs, jaccard.Rule()).collect()}
+
+
 # --- contamination -----------------------------------------------------------------------
 
 
